@@ -197,3 +197,18 @@ def node_label_counts(hist: DataFrame, first_feature: str) -> DataFrame:
         .groupBy("node_id", "label")
         .agg(F.sum("cnt").alias("cnt"))
     )
+
+
+def side_counts(hist: DataFrame, thresholds: DataFrame, reference: bool = False) -> DataFrame:
+    """Per candidate and label: ``cnt_in`` (left) and ``cnt_out`` (right).
+
+    Sparse: only (candidate, label) pairs with at least one left row;
+    a label without left rows has ``cnt_out`` equal to its total.
+    """
+    return (
+        left_counts(hist)
+        .join(label_totals(hist, reference), ["node_id", "feature", "label"])
+        .join(thresholds.select("node_id", "feature", "idx", "threshold"), ["node_id", "feature", "idx"], "left")
+        .select("node_id", "feature", "kind", "threshold", "category", "label",
+                F.col("l").alias("cnt_in"), (F.col("base") - F.col("l")).alias("cnt_out"))
+    )
