@@ -25,38 +25,40 @@ HIST_KEYS = ["node_id", "feature", "kind", "bucket", "category", "label"]
 
 def numeric_cells(frame: DataFrame, ordinal_features) -> DataFrame:
     """``(node_id, feature, value double)`` for every ordinal feature."""
-    cells = F.array(
-        *[F.struct(F.lit(f).alias("feature"), col(f).cast("double").alias("value")) for f in ordinal_features]
-    )
-    return frame.select("node_id", F.inline(cells))
+    pairs = []
+    for f in ordinal_features:
+        pairs += [F.lit(f), col(f).cast("double")]
+    return frame.select("node_id", F.stack(F.lit(len(ordinal_features)), *pairs).alias("feature", "value"))
 
 
 def tag_features(frame: DataFrame, label: str, kinds: dict[str, str]) -> DataFrame:
     """Melt to ``(label, feature, kind, num_value, category)``: one row per row and feature."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.lit(k).alias("kind"),
-                (col(f).cast("double") if k == ORDINAL else F.lit(None).cast("double")).alias("num_value"),
-                (col(f) if k == CATEGORICAL else F.lit(None).cast("string")).alias("category"),
-            )
-            for f, k in kinds.items()
-        ]
+    args = []
+    for f, k in kinds.items():
+        num = col(f).cast("double") if k == ORDINAL else F.lit(None).cast("double")
+        cat = col(f) if k == CATEGORICAL else F.lit(None).cast("string")
+        args += [F.lit(f), F.lit(k), num, cat]
+    return frame.select(
+        col(label).alias("label"),
+        F.stack(F.lit(len(kinds)), *args).alias("feature", "kind", "num_value", "category"),
     )
-    return frame.select(col(label).alias("label"), F.inline(cells))
 
 
-def threshold_column(i: int) -> str:
-    return f"__thresholds_{i}"
+def threshold_column(feature_index: int, q_index: int) -> str:
+    return f"__t{feature_index}_{q_index}"
 
 
-def bucket_expression(value, thresholds, n_quantiles: int):
-    """Number of thresholds ``<= value`` (the array is sorted); -1 for NULL."""
-    reached = sum(
-        F.coalesce((value >= F.get(thresholds, i)).cast("int"), F.lit(0)) for i in range(n_quantiles)
-    )
-    return F.when(value.isNull(), F.lit(-1)).otherwise(reached)
+def bucket_expression(value, feature_index: int, n_quantiles: int):
+    """Number of the node's sorted distinct thresholds ``<= value``; -1 for NULL.
+
+    The thresholds are plain double columns (NULL past the last one), and
+    the test runs from the highest down, so a row stops at its bucket.
+    Array lookups here would keep the stage out of compiled code.
+    """
+    e = F.when(value.isNull(), F.lit(-1))
+    for i in reversed(range(n_quantiles)):
+        e = e.when(value >= F.col(threshold_column(feature_index, i)), F.lit(i + 1))
+    return e.otherwise(F.lit(0))
 
 
 def class_histogram(frame: DataFrame, label: str, kinds: dict[str, str], thresholds_wide: DataFrame | None,
@@ -65,31 +67,33 @@ def class_histogram(frame: DataFrame, label: str, kinds: dict[str, str], thresho
 
     ``frame`` has a ``node_id`` column and holds only the rows of the
     nodes being scored.  ``thresholds_wide`` is ``(node_id,
-    __thresholds_<i> array<double>)``, one row per node and one array per
-    ordinal feature in ``kinds`` order; it is joined on ``node_id`` and
-    broadcast when ``max_nodes`` is small enough (it is the tree frontier).
+    __t<j>_<i> double)``: one row per node, threshold i of ordinal feature
+    j (in ``kinds`` order).  It is joined on ``node_id`` and broadcast
+    when ``max_nodes`` is small enough (it is the tree frontier).
+
+    Buckets and categories are projected first and then melted with
+    ``stack``; the aggregation is map-side combined.
     """
     ordinal = [f for f, k in kinds.items() if k == ORDINAL]
     if ordinal and thresholds_wide is not None:
         frame = frame.join(maybe_broadcast(thresholds_wide, max_nodes), "node_id", "left")
-    cells = []
-    for f, k in kinds.items():
+    projected, args = [F.col("node_id"), col(label).alias("label")], []
+    for j, (f, k) in enumerate(kinds.items()):
+        name = f"__v{j}"
         if k == ORDINAL:
             if thresholds_wide is None:
                 b = F.when(col(f).isNull(), F.lit(-1)).otherwise(F.lit(0))
             else:
-                arr = F.col(threshold_column(ordinal.index(f)))
-                b = bucket_expression(col(f).cast("double"), arr, n_quantiles)
-            cells.append(F.struct(F.lit(f).alias("feature"), F.lit(k).alias("kind"),
-                                  b.cast("int").alias("bucket"), F.lit(None).cast("string").alias("category")))
+                b = bucket_expression(col(f).cast("double"), ordinal.index(f), n_quantiles)
+            projected.append(b.cast("int").alias(name))
+            args += [F.lit(f), F.lit(k), F.col(name), F.lit(None).cast("string")]
         else:
-            cells.append(F.struct(F.lit(f).alias("feature"), F.lit(k).alias("kind"),
-                                  F.lit(None).cast("int").alias("bucket"), col(f).alias("category")))
-    return (
-        frame.select("node_id", col(label).alias("label"), F.inline(F.array(*cells)))
-        .groupBy(*HIST_KEYS)
-        .agg(F.count(F.lit(1)).alias("cnt"))
+            projected.append(col(f).alias(name))
+            args += [F.lit(f), F.lit(k), F.lit(None).cast("int"), F.col(name)]
+    melted = frame.select(*projected).select(
+        "node_id", "label", F.stack(F.lit(len(kinds)), *args).alias("feature", "kind", "bucket", "category")
     )
+    return melted.groupBy(*HIST_KEYS).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def value_label_histogram(df: DataFrame, feature: str, label: str) -> DataFrame:

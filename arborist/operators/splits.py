@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.gini import SQUARE_TYPE, side_gini, square, tied_gini, weighted_gini
-from ..session import reliable_checkpoint
+from ..session import materialize
 from ..settings import CATEGORICAL, FILLER_STRING, ORDINAL, TreeSettings
 from .histogram import class_histogram, numeric_cells, threshold_column
-from .thresholds import approx_quantiles, distinct_thresholds, exact_quantiles
+from .thresholds import approx_quantiles, distinct_thresholds, exact_quantiles_cached
 
 CANDIDATE_KEYS = ["node_id", "feature", "kind", "idx", "category"]
 
@@ -70,16 +70,21 @@ def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings, max_no
     if not ordinal:
         return []
     cells = numeric_cells(frame, ordinal)
+    cached = None
     if settings.threshold_mode == "approx":
         q = approx_quantiles(cells, settings.quantiles, settings.approx_accuracy)
     else:
-        q = exact_quantiles(cells, settings.quantiles, max_groups=max_nodes * len(ordinal))
-    return [tuple(r) for r in distinct_thresholds(q).collect()]
+        q, cached = exact_quantiles_cached(cells, settings.quantiles, max_groups=max_nodes * len(ordinal))
+    try:
+        return [tuple(r) for r in distinct_thresholds(q).collect()]
+    finally:
+        if cached is not None:
+            cached.unpersist()
 
 
-def thresholds_frames(spark: SparkSession, rows: list, ordinal) -> tuple[DataFrame, DataFrame | None]:
+def thresholds_frames(spark: SparkSession, rows: list, ordinal, n_quantiles: int) -> tuple[DataFrame, DataFrame | None]:
     """Long ``(node_id, feature, idx, threshold, mult)`` and wide
-    ``(node_id, __thresholds_<i>)`` frames of the collected thresholds."""
+    ``(node_id, __t<j>_<i>)`` frames of the collected thresholds."""
     long_df = spark.createDataFrame(rows, THRESHOLD_SCHEMA)
     if not ordinal:
         return long_df, None
@@ -88,11 +93,19 @@ def thresholds_frames(spark: SparkSession, rows: list, ordinal) -> tuple[DataFra
         by_node.setdefault(node_id, {}).setdefault(feature, []).append((idx, threshold))
     schema = T.StructType(
         [T.StructField("node_id", T.LongType())]
-        + [T.StructField(threshold_column(i), T.ArrayType(T.DoubleType())) for i in range(len(ordinal))]
+        + [
+            T.StructField(threshold_column(j, i), T.DoubleType())
+            for j in range(len(ordinal))
+            for i in range(n_quantiles)
+        ]
     )
-    wide_rows = [
-        (node_id, *[[t for _, t in sorted(per.get(f, []))] for f in ordinal]) for node_id, per in sorted(by_node.items())
-    ]
+    wide_rows = []
+    for node_id, per in sorted(by_node.items()):
+        values = []
+        for f in ordinal:
+            ts = [t for _, t in sorted(per.get(f, []))]
+            values += ts + [None] * (n_quantiles - len(ts))
+        wide_rows.append((node_id, *values))
     return long_df, spark.createDataFrame(wide_rows, schema)
 
 
@@ -100,13 +113,14 @@ def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSet
     """Thresholds job + counts job of one level.
 
     Returns ``(hist, thresholds_long, threshold_rows)``; ``hist`` is
-    written to the checkpoint folder (it is small and read several times).
+    persisted (it is small and read several times) and the caller
+    unpersists it when the level is scored.
     """
     ordinal = [f for f, k in kinds.items() if k == ORDINAL]
     rows = compute_thresholds(frame, ordinal, settings, max_nodes)
-    long_df, wide_df = thresholds_frames(frame.sparkSession, rows, ordinal)
+    long_df, wide_df = thresholds_frames(frame.sparkSession, rows, ordinal, len(settings.quantiles))
     hist = class_histogram(frame, label, kinds, wide_df, len(settings.quantiles), max_nodes)
-    return reliable_checkpoint(hist), long_df, rows
+    return materialize(hist), long_df, rows
 
 
 def label_totals(hist: DataFrame, reference: bool) -> DataFrame:

@@ -11,8 +11,8 @@ Distributed plan of the exact mode, with no group ever held by one task:
 2. range partitioning of the histogram on ``(node_id, feature, value)``
    (Spark samples the bounds, so the partitions are balanced even when one
    group holds every distinct value), tagged with the partition id and
-   written to the checkpoint folder, which freezes the assignment and
-   cuts the lineage;
+   persisted, so both readers below see one assignment (a lost block is
+   recomputed through the same partitioner);
 3. per-partition totals (at most partitions + groups rows) and their
    running sum per group give each partition's rank interval;
 4. each (group, quantile) rank falls into exactly one partition; only
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import maybe_broadcast, reliable_checkpoint
+from ..session import materialize, maybe_broadcast, reliable_checkpoint
 from ..settings import QUANTILES
 
 GROUP = ["node_id", "feature"]
@@ -56,6 +56,18 @@ def exact_quantiles(cells: DataFrame, quantiles=QUANTILES, num_partitions: int |
                     max_groups: int | None = None) -> DataFrame:
     """Exact nearest-rank thresholds ``(node_id, feature, q_index, quantile, threshold)``.
 
+    The ranged histogram is written to the checkpoint folder, so the
+    returned frame can be read any number of times, at any later point.
+    """
+    result, _ = exact_quantiles_cached(cells, quantiles, num_partitions, max_groups, freeze=reliable_checkpoint)
+    return result
+
+
+def exact_quantiles_cached(cells: DataFrame, quantiles=QUANTILES, num_partitions: int | None = None,
+                           max_groups: int | None = None, freeze=materialize):
+    """As :func:`exact_quantiles`, also returning the persisted ranged
+    histogram so that the caller can release it after collecting.
+
     ``cells`` is ``(node_id, feature, value double)``.  ``max_groups`` is an
     upper bound of the number of (node, feature) groups when the caller
     knows one (the tree size); it decides whether the rank targets are
@@ -69,7 +81,7 @@ def exact_quantiles(cells: DataFrame, quantiles=QUANTILES, num_partitions: int |
         .repartitionByRange(parts, *GROUP, "value")
         .withColumn("part", F.spark_partition_id())
     )
-    ranged = reliable_checkpoint(ranged)
+    ranged = freeze(ranged)
 
     group = Window.partitionBy(*GROUP)
     blocks = (
@@ -94,7 +106,7 @@ def exact_quantiles(cells: DataFrame, quantiles=QUANTILES, num_partitions: int |
         local.join(small(targets), [*GROUP, "part"])
         .where((F.col("local_rank") >= F.col("cum") - F.col("cnt")) & (F.col("local_rank") < F.col("cum")))
         .select(*GROUP, "q_index", "quantile", F.col("value").alias("threshold"))
-    )
+    ), ranged
 
 
 def approx_quantiles(cells: DataFrame, quantiles=QUANTILES, accuracy: int = 10000) -> DataFrame:

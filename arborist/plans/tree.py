@@ -198,14 +198,16 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
         )
         hist, thresholds, _ = level_histogram(routed, label, kinds, settings, max_nodes=len(frontier))
         scored = score_candidates(hist, thresholds, settings.reference).where(F.col("child_gini").isNotNull())
-        best = {r["node_id"]: r for r in best_per(scored, ["node_id"]).collect()}
-        stats = {
-            r["node_id"]: r
-            for r in node_label_counts(hist, first_feature)
+        stats = (
+            node_label_counts(hist, first_feature)
             .groupBy("node_id")
             .agg(F.count(F.lit(1)).alias("n_labels"), F.sum("cnt").alias("n_rows"))
-            .collect()
-        }
+        )
+        # One collect per level: node statistics with the node's best split, if any.
+        found = stats.join(best_per(scored, ["node_id"]), "node_id", "left").collect()
+        hist.unpersist()
+        stats = {r["node_id"]: r for r in found}
+        best = {r["node_id"]: r for r in found if r["feature"] is not None}
         next_frontier = []
         for node_id in frontier:
             node = nodes[node_id]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +40,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    The input is persisted for the duration of the write: an eager
+    checkpoint runs one job to compute the rows and another to write them,
+    and without the cache the second would compute them again.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Persist ``df`` and compute it once; the caller unpersists it.
+
+    For per-level intermediates whose lineage is one scan and a few
+    aggregations: a lost cached block is recomputed from that short
+    lineage (same plan, same partitioner), so nothing needs writing out.
+    """
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
