@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,6 +22,7 @@ from arborist import TreeSettings, fit  # noqa: E402
 from arborist.operators import bucketing, histogram, splits, thresholds  # noqa: E402
 from arborist.plans import columns  # noqa: E402
 from arborist.plans.scoring import leaf_rule_stats, split_left_right  # noqa: E402
+from arborist.session import small_frame  # noqa: E402
 from arborist.sources.tables import FEATURE_SETS, read_table  # noqa: E402
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
@@ -59,7 +61,8 @@ def q_droppable_columns(spark, sf_dir):
     customer = read_table(spark, sf_dir, "customer")
     names = ["c_name", "c_mktsegment"]
     kept = bucketing.top_categories(customer, names, 32, 6).select("column").distinct()
-    return spark.createDataFrame([(n,) for n in names], "column string").join(kept, "column", "left_anti")
+    names_df = small_frame(spark, [(n,) for n in names], T.StructType([T.StructField("column", T.StringType())]))
+    return names_df.join(kept, "column", "left_anti")
 
 
 def q_bucket_rare_categories(spark, sf_dir):

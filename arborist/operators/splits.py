@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.gini import SQUARE_TYPE, side_gini, square, tied_gini, weighted_gini
-from ..session import materialize
+from ..session import materialize, small_frame
 from ..settings import CATEGORICAL, FILLER_STRING, ORDINAL, TreeSettings
 from .histogram import class_histogram, numeric_cells, threshold_column
-from .thresholds import approx_quantiles, distinct_thresholds, exact_quantiles_cached
+from .thresholds import approx_quantiles, distinct_threshold_rows, exact_quantiles_cached
 
 CANDIDATE_KEYS = ["node_id", "feature", "kind", "idx", "category"]
 
@@ -76,7 +76,7 @@ def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings, max_no
     else:
         q, cached = exact_quantiles_cached(cells, settings.quantiles, max_groups=max_nodes * len(ordinal))
     try:
-        return [tuple(r) for r in distinct_thresholds(q).collect()]
+        return distinct_threshold_rows(q.collect())
     finally:
         if cached is not None:
             cached.unpersist()
@@ -85,7 +85,7 @@ def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings, max_no
 def thresholds_frames(spark: SparkSession, rows: list, ordinal, n_quantiles: int) -> tuple[DataFrame, DataFrame | None]:
     """Long ``(node_id, feature, idx, threshold, mult)`` and wide
     ``(node_id, __t<j>_<i>)`` frames of the collected thresholds."""
-    long_df = spark.createDataFrame(rows, THRESHOLD_SCHEMA)
+    long_df = small_frame(spark, rows, THRESHOLD_SCHEMA)
     if not ordinal:
         return long_df, None
     by_node: dict[int, dict[str, list]] = {}
@@ -106,61 +106,77 @@ def thresholds_frames(spark: SparkSession, rows: list, ordinal, n_quantiles: int
             ts = [t for _, t in sorted(per.get(f, []))]
             values += ts + [None] * (n_quantiles - len(ts))
         wide_rows.append((node_id, *values))
-    return long_df, spark.createDataFrame(wide_rows, schema)
+    return long_df, small_frame(spark, wide_rows, schema)
 
 
 def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, max_nodes: int):
     """Thresholds job + counts job of one level.
 
-    Returns ``(hist, thresholds_long, threshold_rows)``; ``hist`` is
-    persisted (it is small and read several times) and the caller
-    unpersists it when the level is scored.
+    Returns ``(hist, thresholds_long, threshold_rows)``.  ``hist`` is
+    hash-partitioned on ``(node_id, feature)`` and persisted (it is small
+    and read several times); the caller unpersists it when the level is
+    scored.
     """
     ordinal = [f for f, k in kinds.items() if k == ORDINAL]
     rows = compute_thresholds(frame, ordinal, settings, max_nodes)
     long_df, wide_df = thresholds_frames(frame.sparkSession, rows, ordinal, len(settings.quantiles))
     hist = class_histogram(frame, label, kinds, wide_df, len(settings.quantiles), max_nodes)
-    return materialize(hist), long_df, rows
+    return materialize(hist.repartition("node_id", "feature")), long_df, rows
 
 
-def label_totals(hist: DataFrame, reference: bool) -> DataFrame:
-    """``(node_id, feature, label, base)``: label totals a side split draws from."""
+def with_label_totals(hist: DataFrame, reference: bool) -> DataFrame:
+    """Adds ``base``: the total of the row's label in its (node, feature),
+    the pool a split's two sides are drawn from.  NULL numeric values are
+    part of it except under reference semantics."""
     non_null = (F.col("kind") == CATEGORICAL) | (F.col("bucket") >= 0)
     counted = F.when(non_null, F.col("cnt")).otherwise(F.lit(0)) if reference else F.col("cnt")
-    return hist.groupBy("node_id", "feature", "label").agg(F.sum(counted).alias("base"))
+    return hist.withColumn("base", F.sum(counted).over(Window.partitionBy("node_id", "feature", "label")))
 
 
-def left_counts(hist: DataFrame) -> DataFrame:
-    """``(node_id, feature, kind, idx, category, label, l)``, only where l > 0."""
-    ordinal = (
-        hist.where((F.col("kind") == ORDINAL) & (F.col("bucket") >= 1))
-        .select("node_id", "feature", "kind", "label", "cnt", F.explode(F.sequence(F.lit(1), F.col("bucket"))).alias("idx"))
-        .groupBy("node_id", "feature", "kind", "idx", "label")
-        .agg(F.sum("cnt").alias("l"))
-        .withColumn("category", F.lit(None).cast("string"))
+def label_totals(hist: DataFrame, reference: bool) -> DataFrame:
+    """``(node_id, feature, label, base)``."""
+    return (
+        with_label_totals(hist, reference)
+        .groupBy("node_id", "feature", "label")
+        .agg(F.max("base").alias("base"))
     )
-    categorical = (
-        hist.where((F.col("kind") == CATEGORICAL) & (F.col("category") != F.lit(FILLER_STRING)))
-        .select("node_id", "feature", "kind", F.lit(None).cast("int").alias("idx"), "category", "label",
-                F.col("cnt").alias("l"))
+
+
+def left_counts(hist: DataFrame, reference: bool = False) -> DataFrame:
+    """``(node_id, feature, kind, idx, category, label, l, base)``, only where l > 0.
+
+    A histogram row of bucket b is on the left of every ordinal candidate
+    i <= b; a row of kept category c is on the left of candidate c.
+    """
+    ordinal = (F.col("kind") == ORDINAL) & (F.col("bucket") >= 1)
+    categorical = (F.col("kind") == CATEGORICAL) & (F.col("category") != F.lit(FILLER_STRING))
+    candidates = (
+        F.when(ordinal, F.sequence(F.lit(1), F.col("bucket")))
+        .when(categorical, F.array(F.lit(None).cast("int")))
+        .otherwise(F.array().cast("array<int>"))
+    )
+    return (
+        with_label_totals(hist, reference)
+        .select("node_id", "feature", "kind", "category", "label", "cnt", "base", F.explode(candidates).alias("idx"))
+        .groupBy(*CANDIDATE_KEYS, "label")
+        .agg(F.sum("cnt").alias("l"), F.max("base").alias("base"))
     )
-    return ordinal.unionByName(categorical)
 
 
 def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = False) -> DataFrame:
     """All candidates of all (node, feature) groups of ``hist`` with their scores.
 
     Columns: node_id, feature, kind, selection, threshold, category,
-    n_left, n_right, gini_left, gini_right, child_gini.
+    n_left, n_right, gini_left, gini_right, child_gini.  When ``hist`` is
+    partitioned on (node_id, feature), as :func:`level_histogram` returns
+    it, every step below runs without another shuffle.
     """
-    base = label_totals(hist, reference)
-    group = base.groupBy("node_id", "feature").agg(
+    dec = SQUARE_TYPE
+    group = label_totals(hist, reference).groupBy("node_id", "feature").agg(
         F.sum("base").alias("n_all"), F.sum(square(F.col("base"))).alias("sq_all")
     )
-    dec = SQUARE_TYPE
     sums = (
-        left_counts(hist)
-        .join(base, ["node_id", "feature", "label"])
+        left_counts(hist, reference)
         .groupBy(*CANDIDATE_KEYS)
         .agg(
             F.sum("l").alias("n_left"),
@@ -170,7 +186,8 @@ def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = F
         .join(group, ["node_id", "feature"])
         .withColumn("n_right", F.col("n_all") - F.col("n_left"))
         .withColumn("sq_right", (F.col("sq_all") - F.lit(2).cast(dec) * F.col("cross") + F.col("sq_left")).cast(dec))
-        .join(thresholds, ["node_id", "feature", "idx"], "left")
+        # thresholds: rows collected on the driver, at most nodes x features x quantiles
+        .join(F.broadcast(thresholds), ["node_id", "feature", "idx"], "left")
         .withColumn("mult", F.when(F.col("kind") == ORDINAL, F.col("mult")).otherwise(F.lit(1)).cast("long"))
     )
     g_left = side_gini(F.col("sq_left"), F.col("n_left"))
@@ -220,9 +237,8 @@ def side_counts(hist: DataFrame, thresholds: DataFrame, reference: bool = False)
     a label without left rows has ``cnt_out`` equal to its total.
     """
     return (
-        left_counts(hist)
-        .join(label_totals(hist, reference), ["node_id", "feature", "label"])
-        .join(thresholds.select("node_id", "feature", "idx", "threshold"), ["node_id", "feature", "idx"], "left")
+        left_counts(hist, reference)
+        .join(F.broadcast(thresholds.select("node_id", "feature", "idx", "threshold")), ["node_id", "feature", "idx"], "left")
         .select("node_id", "feature", "kind", "threshold", "category", "label",
                 F.col("l").alias("cnt_in"), (F.col("base") - F.col("l")).alias("cnt_out"))
     )

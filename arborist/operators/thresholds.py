@@ -20,6 +20,11 @@ Distributed plan of the exact mode, with no group ever held by one task:
    partition, and the row whose rank interval holds the target is the
    threshold.
 
+A histogram whose row count (known once it is materialised) is at most
+``WINDOW_ROWS_LIMIT`` bounds every group, and is ranked instead by one
+running-sum window per (node, feature), which skips the sampling and the
+range shuffle.  Beyond the bound only the range plan is used.
+
 The approximate mode is one ``percentile_approx`` aggregation (mergeable
 sketches, partial aggregation), which is cheaper but not exact.
 """
@@ -34,6 +39,10 @@ from ..settings import QUANTILES
 
 GROUP = ["node_id", "feature"]
 
+# Largest value histogram (rows) ranked by a single window per group.
+WINDOW_ROWS_LIMIT = 1_000_000
+STRATEGIES = ("auto", "range", "window")
+
 
 def quantile_grid(quantiles) -> F.Column:
     return F.array(
@@ -53,35 +62,67 @@ def value_histogram(cells: DataFrame) -> DataFrame:
 
 
 def exact_quantiles(cells: DataFrame, quantiles=QUANTILES, num_partitions: int | None = None,
-                    max_groups: int | None = None) -> DataFrame:
+                    max_groups: int | None = None, strategy: str = "range") -> DataFrame:
     """Exact nearest-rank thresholds ``(node_id, feature, q_index, quantile, threshold)``.
 
-    The ranged histogram is written to the checkpoint folder, so the
+    The value histogram is written to the checkpoint folder, so the
     returned frame can be read any number of times, at any later point.
     """
-    result, _ = exact_quantiles_cached(cells, quantiles, num_partitions, max_groups, freeze=reliable_checkpoint)
+    result, _ = exact_quantiles_cached(cells, quantiles, num_partitions, max_groups, strategy, reliable_checkpoint)
     return result
 
 
 def exact_quantiles_cached(cells: DataFrame, quantiles=QUANTILES, num_partitions: int | None = None,
-                           max_groups: int | None = None, freeze=materialize):
-    """As :func:`exact_quantiles`, also returning the persisted ranged
-    histogram so that the caller can release it after collecting.
+                           max_groups: int | None = None, strategy: str = "auto", freeze=materialize):
+    """As :func:`exact_quantiles`; the frozen histogram is returned too, so
+    that the caller can release it after collecting.
 
     ``cells`` is ``(node_id, feature, value double)``.  ``max_groups`` is an
     upper bound of the number of (node, feature) groups when the caller
     knows one (the tree size); it decides whether the rank targets are
-    broadcast.
+    broadcast.  ``strategy``: ``range`` (always distributed), ``window``
+    (single window per group, only allowed within ``WINDOW_ROWS_LIMIT``) or
+    ``auto``.
     """
-    spark = cells.sparkSession
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     quantiles = tuple(quantiles)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        value_histogram(cells)
-        .repartitionByRange(parts, *GROUP, "value")
-        .withColumn("part", F.spark_partition_id())
+    if strategy == "range":
+        return _range_ranked(value_histogram(cells), quantiles, num_partitions, max_groups, freeze)
+    hist = freeze(value_histogram(cells))
+    if hist.count() <= WINDOW_ROWS_LIMIT:
+        return _window_ranked(hist, quantiles), hist
+    if strategy == "window":
+        raise ValueError(f"value histogram exceeds {WINDOW_ROWS_LIMIT} rows; use the range strategy")
+    result, ranged = _range_ranked(hist, quantiles, num_partitions, max_groups, freeze)
+    hist.unpersist()
+    return result, ranged
+
+
+def _targets(ranked: DataFrame, quantiles) -> DataFrame:
+    """Rows ``(..., cum, cnt, n)`` -> threshold rows whose rank interval
+    ``[cum - cnt, cum)`` holds a quantile's target rank."""
+    return (
+        ranked.select("*", F.inline(quantile_grid(quantiles)))
+        .withColumn("rank", nearest_rank(F.col("n"), F.col("quantile")))
+        .where((F.col("rank") >= F.col("cum") - F.col("cnt")) & (F.col("rank") < F.col("cum")))
+        .select(*GROUP, "q_index", "quantile", F.col("value").alias("threshold"))
     )
-    ranged = freeze(ranged)
+
+
+def _window_ranked(hist: DataFrame, quantiles) -> DataFrame:
+    """Running sum per group; the caller has checked the histogram size."""
+    group = Window.partitionBy(*GROUP)
+    ranked = hist.withColumn(
+        "cum", F.sum("cnt").over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    ).withColumn("n", F.sum("cnt").over(group))
+    return _targets(ranked, quantiles)
+
+
+def _range_ranked(hist: DataFrame, quantiles, num_partitions, max_groups, freeze):
+    spark = hist.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = freeze(hist.repartitionByRange(parts, *GROUP, "value").withColumn("part", F.spark_partition_id()))
 
     group = Window.partitionBy(*GROUP)
     blocks = (
@@ -122,6 +163,20 @@ def approx_quantiles(cells: DataFrame, quantiles=QUANTILES, accuracy: int = 1000
     )
 
 
+def distinct_threshold_rows(rows) -> list[tuple]:
+    """Driver-side form of :func:`distinct_thresholds` for collected rows
+    ``(node_id, feature, q_index, quantile, threshold)`` (tree-sized)."""
+    mult: dict[tuple, dict[float, int]] = {}
+    for r in rows:
+        per = mult.setdefault((r["node_id"], r["feature"]), {})
+        per[r["threshold"]] = per.get(r["threshold"], 0) + 1
+    out = []
+    for (node_id, feature), per in sorted(mult.items()):
+        for idx, t in enumerate(sorted(per), start=1):
+            out.append((node_id, feature, idx, t, per[t]))
+    return out
+
+
 def distinct_thresholds(thresholds: DataFrame) -> DataFrame:
     """Distinct thresholds per group with their quantile multiplicity and
     1-based position: ``(node_id, feature, idx, threshold, mult)``.

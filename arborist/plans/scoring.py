@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.features import col
 from ..functions.predicates import split_predicate
-from ..session import maybe_broadcast
+from ..session import maybe_broadcast, small_frame
 from .tree import TreeModel
 
 
@@ -49,5 +49,5 @@ def leaf_rule_stats(model: TreeModel, df: DataFrame) -> DataFrame:
     schema = T.StructType(
         [T.StructField("node_id", T.LongType()), T.StructField("label", T.StringType()), T.StructField("rule", T.StringType())]
     )
-    table = df.sparkSession.createDataFrame([(n.node_id, n.label, n.rule) for n in leaves], schema)
+    table = small_frame(df.sparkSession, [(n.node_id, n.label, n.rule) for n in leaves], schema)
     return stats.join(maybe_broadcast(table, len(leaves)), "node_id").select("node_id", "rule", "label", "n_rows", "n_correct")

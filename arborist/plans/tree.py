@@ -33,7 +33,7 @@ from ..functions.features import col
 from ..functions.predicates import route, rule_text
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
-from ..session import BROADCAST_ROW_LIMIT
+from ..session import BROADCAST_ROW_LIMIT, small_frame
 from ..settings import TreeSettings
 
 PREDICTED_LABEL = "PREDICTED_LABEL"
@@ -147,7 +147,7 @@ class TreeModel:
         return rows
 
     def node_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.node_rows(), NODE_SCHEMA)
+        return small_frame(spark, self.node_rows(), NODE_SCHEMA)
 
     def to_dict(self) -> dict:
         return {
@@ -204,7 +204,10 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
             .agg(F.count(F.lit(1)).alias("n_labels"), F.sum("cnt").alias("n_rows"))
         )
         # One collect per level: node statistics with the node's best split, if any.
-        found = stats.join(best_per(scored, ["node_id"]), "node_id", "left").collect()
+        # Best per (node, feature) runs inside the histogram's partitions; only
+        # those winners (<= nodes x features rows) move for the best per node.
+        best_split = best_per(best_per(scored, ["node_id", "feature"]), ["node_id"])
+        found = stats.join(best_split, "node_id", "left").collect()
         hist.unpersist()
         stats = {r["node_id"]: r for r in found}
         best = {r["node_id"]: r for r in found if r["feature"] is not None}

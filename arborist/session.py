@@ -7,6 +7,7 @@ import tempfile
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only when its row count is proven to be at most this.
 # Every broadcast in the package is of a frame bounded by the tree size
@@ -66,6 +67,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return df
 
 
+# Tree-sized frames up to this many rows are built from literals on the JVM
+# (no Python worker is started to read them); larger ones use createDataFrame.
+LITERAL_FRAME_ROWS = 1024
+
+
+def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """DataFrame of a few driver-side rows (thresholds, node table)."""
+    if not rows or len(rows) > LITERAL_FRAME_ROWS:
+        return spark.createDataFrame(rows, schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast for a frame whose row count is known to be <= max_rows."""
     if max_rows <= BROADCAST_ROW_LIMIT:

@@ -91,6 +91,18 @@ def test_exact_quantiles_match_nearest_rank(spark, parts):
                 assert got.get((node, f, i)) == brute.nearest_rank(vals, q)
 
 
+@pytest.mark.parametrize("strategy", ["window", "auto"])
+def test_exact_quantiles_window_strategy(spark, strategy):
+    rnd = random.Random(7)
+    rows = [(n, f, float(rnd.randint(0, 40))) for n in (1, 2) for f in ("u", "v") for _ in range(rnd.randint(5, 80))]
+    df = spark.createDataFrame(rows, "node_id long, feature string, value double")
+    got = {(r["node_id"], r["feature"], r["q_index"]): r["threshold"]
+           for r in thresholds.exact_quantiles(df, strategy=strategy).collect()}
+    want = {(r["node_id"], r["feature"], r["q_index"]): r["threshold"]
+            for r in thresholds.exact_quantiles(df, strategy="range", num_partitions=5).collect()}
+    assert got == want and len(got) == 2 * 2 * len(brute.QUANTILES)
+
+
 def test_one_group_spread_over_partitions(spark):
     # One (node, feature) group holding all distinct values must still be exact
     # when it spans every range partition.
