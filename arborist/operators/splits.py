@@ -109,19 +109,20 @@ def thresholds_frames(spark: SparkSession, rows: list, ordinal, n_quantiles: int
     return long_df, small_frame(spark, wide_rows, schema)
 
 
-def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, max_nodes: int):
+def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, max_nodes: int,
+                    freeze=materialize):
     """Thresholds job + counts job of one level.
 
     Returns ``(hist, thresholds_long, threshold_rows)``.  ``hist`` is
-    hash-partitioned on ``(node_id, feature)`` and persisted (it is small
-    and read several times); the caller unpersists it when the level is
-    scored.
+    hash-partitioned on ``(node_id, feature)`` and frozen with ``freeze``:
+    persisted by default (the fit loop unpersists it once the level is
+    scored), or ``reliable_checkpoint`` for results handed to a caller.
     """
     ordinal = [f for f, k in kinds.items() if k == ORDINAL]
     rows = compute_thresholds(frame, ordinal, settings, max_nodes)
     long_df, wide_df = thresholds_frames(frame.sparkSession, rows, ordinal, len(settings.quantiles))
     hist = class_histogram(frame, label, kinds, wide_df, len(settings.quantiles), max_nodes)
-    return materialize(hist.repartition("node_id", "feature")), long_df, rows
+    return freeze(hist.repartition("node_id", "feature")), long_df, rows
 
 
 def with_label_totals(hist: DataFrame, reference: bool) -> DataFrame:

@@ -12,15 +12,20 @@ from pyspark.sql import functions as F
 
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, score_candidates, side_counts, split_order
+from ..session import reliable_checkpoint
 from ..settings import CATEGORICAL, ORDINAL, TreeSettings
 
 
 def root_histogram(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None):
-    """Prepared frame as node 1: ``(hist, thresholds, kinds)``."""
+    """Prepared frame as node 1: ``(hist, thresholds, kinds)``.
+
+    The histogram is written to the checkpoint folder: the frames built on
+    it are returned lazily, so no cache handle could be released here.
+    """
     settings = settings or TreeSettings()
     frame, kinds, _ = prepare_frame(df, label, features, settings)
     frame = frame.withColumn("node_id", F.lit(1).cast("long"))
-    hist, thresholds, _ = level_histogram(frame, label, kinds, settings, max_nodes=1)
+    hist, thresholds, _ = level_histogram(frame, label, kinds, settings, max_nodes=1, freeze=reliable_checkpoint)
     return hist, thresholds, kinds
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark import StorageLevel
@@ -67,19 +68,43 @@ def materialize(df: DataFrame) -> DataFrame:
     return df
 
 
-# Tree-sized frames up to this many rows are built from literals on the JVM
-# (no Python worker is started to read them); larger ones use createDataFrame.
-LITERAL_FRAME_ROWS = 1024
+# Tree-sized frames up to this many rows are built as one SQL ``VALUES``
+# relation on the JVM (no Python worker reads them); larger ones use
+# createDataFrame.
+LITERAL_FRAME_ROWS = 4096
+
+
+def _sql_literal(value, data_type: T.DataType) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(data_type, T.BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return str(int(value))
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        v = float(value)
+        if math.isnan(v) or math.isinf(v):
+            text = "NaN" if math.isnan(v) else ("Infinity" if v > 0 else "-Infinity")
+            return f"CAST('{text}' AS DOUBLE)"
+        return repr(v) + "D"  # shortest round-trip text, parsed back to the same double
+    if isinstance(data_type, T.StringType):
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    raise TypeError(f"no literal form for {data_type.simpleString()}")
 
 
 def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
     """DataFrame of a few driver-side rows (thresholds, node table)."""
     if not rows or len(rows) > LITERAL_FRAME_ROWS:
         return spark.createDataFrame(rows, schema)
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    fields = schema.fields
+    values = ", ".join(
+        "(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(row, fields)) + ")" for row in rows
+    )
+    names = ", ".join(f"c{i}" for i in range(len(fields)))
+    select = ", ".join(
+        f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name.replace('`', '``')}`" for i, f in enumerate(fields)
+    )
+    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({names})")
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
