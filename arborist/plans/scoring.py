@@ -32,22 +32,25 @@ def split_left_right(model: TreeModel, df: DataFrame, node_id: int = 1, output_c
 def leaf_rule_stats(model: TreeModel, df: DataFrame) -> DataFrame:
     """Per leaf: its path rule, label, rows reaching it and rows it labels correctly.
 
-    One projection (leaf id and predicted label per row) and one
-    aggregation; the leaf table joined for the rule text is bounded by the
-    tree size and broadcast.
+    Rows are routed map-side and counted per (leaf, actual label); the
+    leaf table joined for label and rule is bounded by the tree size and
+    broadcast.
     """
-    routed = df.select(
-        model.node_id_column().alias("node_id"),
-        model.label_column().alias("predicted"),
-        col(model.label).cast("string").alias("actual"),
-    ).where(F.col("node_id").isNotNull())
-    stats = routed.groupBy("node_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.when(F.col("actual") == F.col("predicted"), 1).otherwise(0)).cast("long").alias("n_correct"),
+    routed = model.leaf_assignment(df, "__arb_leaf_id").select(
+        F.col("__arb_leaf_id").alias("node_id"), col(model.label).cast("string").alias("actual")
     )
+    counts = routed.groupBy("node_id", "actual").agg(F.count(F.lit(1)).alias("cnt"))
     leaves = model.leaves()
     schema = T.StructType(
         [T.StructField("node_id", T.LongType()), T.StructField("label", T.StringType()), T.StructField("rule", T.StringType())]
     )
     table = small_frame(df.sparkSession, [(n.node_id, n.label, n.rule) for n in leaves], schema)
-    return stats.join(maybe_broadcast(table, len(leaves)), "node_id").select("node_id", "rule", "label", "n_rows", "n_correct")
+    return (
+        counts.join(maybe_broadcast(table, len(leaves)), "node_id")
+        .groupBy("node_id", "rule", "label")
+        .agg(
+            F.sum("cnt").alias("n_rows"),
+            F.sum(F.when(F.col("actual") == F.col("label"), F.col("cnt")).otherwise(F.lit(0))).alias("n_correct"),
+        )
+        .select("node_id", "rule", "label", "n_rows", "n_correct")
+    )

@@ -34,6 +34,7 @@ from ..functions.predicates import route, rule_text
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
 from ..session import BROADCAST_ROW_LIMIT, small_frame
+from .routing import assign_labels, assign_leaves
 from ..settings import TreeSettings
 
 PREDICTED_LABEL = "PREDICTED_LABEL"
@@ -114,25 +115,24 @@ class TreeModel:
         return [n for n in self.nodes.values() if not n.is_split]
 
     def node_id_column(self):
-        """Id of the leaf a row reaches (NULL when reference routing loses it)."""
+        """Id of the leaf a row reaches, as one expression (small trees)."""
         return route(self.nodes, _node_id, self.reference)
 
     def label_column(self):
         return route(self.nodes, _label, self.reference)
 
-    def leaf_assignment(self, df: DataFrame, output_col: str = "node_id") -> DataFrame:
-        out = df.withColumn(output_col, self.node_id_column())
+    def leaf_assignment(self, df: DataFrame, output_col: str = "node_id", joins: bool | None = None) -> DataFrame:
+        """Add the id of the leaf each row reaches (map-only; see ``routing``)."""
+        out = assign_leaves(df, self.nodes, self.reference, output_col, joins)
         return out.where(F.col(output_col).isNotNull()) if self.reference else out
 
-    def predict(self, df: DataFrame, output_col: str = PREDICTED_LABEL) -> DataFrame:
-        """Add the predicted label: one projection, row order kept, no shuffle.
+    def predict(self, df: DataFrame, output_col: str = PREDICTED_LABEL, joins: bool | None = None) -> DataFrame:
+        """Add the predicted label: map-only, row order kept, no shuffle.
 
         Works unchanged on a streaming DataFrame.  Reference semantics drop
         rows whose split value is NULL (they reach no leaf).
         """
-        if self.reference:
-            df = df.where(self.node_id_column().isNotNull())
-        return df.withColumn(output_col, self.label_column())
+        return assign_labels(df, self.nodes, self.reference, output_col, joins)
 
     def node_rows(self) -> list[tuple]:
         rows = []
@@ -193,9 +193,7 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     while frontier:
         if len(frontier) > BROADCAST_ROW_LIMIT:
             raise ValueError(f"frontier of {len(frontier)} nodes exceeds the supported tree size")
-        routed = frame.withColumn("node_id", route(nodes, _node_id, settings.reference)).where(
-            F.col("node_id").isin(frontier)
-        )
+        routed = assign_leaves(frame, nodes, settings.reference, "node_id").where(F.col("node_id").isin(frontier))
         hist, thresholds, _ = level_histogram(routed, label, kinds, settings, max_nodes=len(frontier))
         scored = score_candidates(hist, thresholds, settings.reference).where(F.col("child_gini").isNotNull())
         stats = (
@@ -231,7 +229,8 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
 def _label_leaves(model: TreeModel, frame: DataFrame) -> None:
     """One aggregation labels every leaf and counts every node's rows."""
     counts = (
-        frame.select(model.node_id_column().alias("node_id"), col(model.label).alias("label"))
+        assign_leaves(frame, model.nodes, model.reference, "node_id")
+        .select("node_id", col(model.label).alias("label"))
         .where(F.col("node_id").isNotNull())
         .groupBy("node_id", "label")
         .agg(F.count(F.lit(1)).alias("cnt"))

@@ -229,3 +229,19 @@ def test_rank_columns_order_and_informative(spark):
     assert [r["rank"] for r in ranked] == [1, 2, 3]
     info = {r["feature"] for r in columns.informative_columns(df, "y", ["n", "parity", "k"]).collect()}
     assert info == {"n", "parity", "k"}
+
+
+@pytest.mark.parametrize("semantics", ["consistent", "reference"])
+def test_join_routing_matches_expression_routing(spark, semantics):
+    rnd = random.Random(11)
+    data = [(i, None if rnd.random() < 0.05 else float(rnd.randint(0, 50)), rnd.choice("pqrs"), rnd.choice("XYZ"))
+            for i in range(600)]
+    df = spark.createDataFrame(data, "id long, a double, b string, y string")
+    model = fit(df, "y", ["a", "b"], TreeSettings(max_depth=5, min_leaf_size=5, semantics=semantics))
+    assert sum(n.is_split for n in model.nodes.values()) > 3
+    by_expr = {(r["id"], r["node_id"]) for r in model.leaf_assignment(df, joins=False).collect()}
+    by_join = {(r["id"], r["node_id"]) for r in model.leaf_assignment(df, joins=True).collect()}
+    assert by_expr == by_join
+    p_expr = {(r["id"], r["PREDICTED_LABEL"]) for r in model.predict(df, joins=False).collect()}
+    p_join = {(r["id"], r["PREDICTED_LABEL"]) for r in model.predict(df, joins=True).collect()}
+    assert p_expr == p_join and len(p_expr) == len(by_expr)
