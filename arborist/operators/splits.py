@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.gini import SQUARE_TYPE, side_gini, square, tied_gini, weighted_gini
-from ..session import materialize, small_frame
+from ..session import materialize, maybe_broadcast, small_frame
 from ..settings import CATEGORICAL, FILLER_STRING, ORDINAL, TreeSettings
 from .histogram import class_histogram, numeric_cells, threshold_column
 from .thresholds import approx_quantiles, distinct_threshold_rows, exact_quantiles_cached
@@ -164,13 +164,16 @@ def left_counts(hist: DataFrame, reference: bool = False) -> DataFrame:
     )
 
 
-def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = False) -> DataFrame:
+def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = False,
+                     threshold_rows: int | None = None) -> DataFrame:
     """All candidates of all (node, feature) groups of ``hist`` with their scores.
 
     Columns: node_id, feature, kind, selection, threshold, category,
     n_left, n_right, gini_left, gini_right, child_gini.  When ``hist`` is
     partitioned on (node_id, feature), as :func:`level_histogram` returns
-    it, every step below runs without another shuffle.
+    it, every step below runs without another shuffle.  ``threshold_rows``
+    is the number of threshold rows (they were collected on the driver);
+    the threshold table is broadcast only when that count is known and small.
     """
     dec = SQUARE_TYPE
     group = label_totals(hist, reference).groupBy("node_id", "feature").agg(
@@ -187,8 +190,7 @@ def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = F
         .join(group, ["node_id", "feature"])
         .withColumn("n_right", F.col("n_all") - F.col("n_left"))
         .withColumn("sq_right", (F.col("sq_all") - F.lit(2).cast(dec) * F.col("cross") + F.col("sq_left")).cast(dec))
-        # thresholds: rows collected on the driver, at most nodes x features x quantiles
-        .join(F.broadcast(thresholds), ["node_id", "feature", "idx"], "left")
+        .join(_bounded(thresholds, threshold_rows), ["node_id", "feature", "idx"], "left")
         .withColumn("mult", F.when(F.col("kind") == ORDINAL, F.col("mult")).otherwise(F.lit(1)).cast("long"))
     )
     g_left = side_gini(F.col("sq_left"), F.col("n_left"))
@@ -231,7 +233,12 @@ def node_label_counts(hist: DataFrame, first_feature: str) -> DataFrame:
     )
 
 
-def side_counts(hist: DataFrame, thresholds: DataFrame, reference: bool = False) -> DataFrame:
+def _bounded(thresholds: DataFrame, rows: int | None) -> DataFrame:
+    return maybe_broadcast(thresholds, rows) if rows is not None else thresholds
+
+
+def side_counts(hist: DataFrame, thresholds: DataFrame, reference: bool = False,
+                threshold_rows: int | None = None) -> DataFrame:
     """Per candidate and label: ``cnt_in`` (left) and ``cnt_out`` (right).
 
     Sparse: only (candidate, label) pairs with at least one left row;
@@ -239,7 +246,8 @@ def side_counts(hist: DataFrame, thresholds: DataFrame, reference: bool = False)
     """
     return (
         left_counts(hist, reference)
-        .join(F.broadcast(thresholds.select("node_id", "feature", "idx", "threshold")), ["node_id", "feature", "idx"], "left")
+        .join(_bounded(thresholds.select("node_id", "feature", "idx", "threshold"), threshold_rows),
+              ["node_id", "feature", "idx"], "left")
         .select("node_id", "feature", "kind", "threshold", "category", "label",
                 F.col("l").alias("cnt_in"), (F.col("base") - F.col("l")).alias("cnt_out"))
     )

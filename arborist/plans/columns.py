@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, score_candidates, side_counts, split_order
-from ..session import reliable_checkpoint
+from ..session import maybe_broadcast, reliable_checkpoint
 from ..settings import CATEGORICAL, ORDINAL, TreeSettings
 
 
@@ -25,8 +25,8 @@ def root_histogram(df: DataFrame, label: str, features=None, settings: TreeSetti
     settings = settings or TreeSettings()
     frame, kinds, _ = prepare_frame(df, label, features, settings)
     frame = frame.withColumn("node_id", F.lit(1).cast("long"))
-    hist, thresholds, _ = level_histogram(frame, label, kinds, settings, max_nodes=1, freeze=reliable_checkpoint)
-    return hist, thresholds, kinds
+    hist, thresholds, rows = level_histogram(frame, label, kinds, settings, max_nodes=1, freeze=reliable_checkpoint)
+    return hist, maybe_broadcast(thresholds, len(rows)), kinds
 
 
 def candidate_splits(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None) -> DataFrame:

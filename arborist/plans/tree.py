@@ -33,7 +33,7 @@ from ..functions.features import col
 from ..functions.predicates import route, rule_text
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
-from ..session import BROADCAST_ROW_LIMIT, small_frame
+from ..session import maybe_broadcast, small_frame
 from .routing import assign_labels, assign_leaves
 from ..settings import TreeSettings
 
@@ -191,11 +191,11 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     first_feature = next(iter(kinds), None)
 
     while frontier:
-        if len(frontier) > BROADCAST_ROW_LIMIT:
-            raise ValueError(f"frontier of {len(frontier)} nodes exceeds the supported tree size")
-        routed = assign_leaves(frame, nodes, settings.reference, "node_id").where(F.col("node_id").isin(frontier))
-        hist, thresholds, _ = level_histogram(routed, label, kinds, settings, max_nodes=len(frontier))
-        scored = score_candidates(hist, thresholds, settings.reference).where(F.col("child_gini").isNotNull())
+        routed = _open_rows(assign_leaves(frame, nodes, settings.reference, "node_id"), frontier)
+        hist, thresholds, rows = level_histogram(routed, label, kinds, settings, max_nodes=len(frontier))
+        scored = score_candidates(hist, thresholds, settings.reference, len(rows)).where(
+            F.col("child_gini").isNotNull()
+        )
         stats = (
             node_label_counts(hist, first_feature)
             .groupBy("node_id")
@@ -226,6 +226,18 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     return model
 
 
+# Open nodes up to this many are tested with an IN list; more with a semi join.
+IN_LIST_NODES = 1024
+_FRONTIER_SCHEMA = T.StructType([T.StructField("node_id", T.LongType())])
+
+
+def _open_rows(routed: DataFrame, frontier: list[int]) -> DataFrame:
+    if len(frontier) <= IN_LIST_NODES:
+        return routed.where(F.col("node_id").isin(frontier))
+    ids = small_frame(routed.sparkSession, [(n,) for n in frontier], _FRONTIER_SCHEMA)
+    return routed.join(maybe_broadcast(ids, len(frontier)), "node_id", "left_semi")
+
+
 def _label_leaves(model: TreeModel, frame: DataFrame) -> None:
     """One aggregation labels every leaf and counts every node's rows."""
     counts = (

@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side is broadcast only when its row count is proven to be at most this.
-# Every broadcast in the package is of a frame bounded by the tree size
-# (nodes x features x quantiles); beyond this bound the plain join is used.
+# A side is broadcast only when its size is proven to be at most this many
+# rows and this many cells (rows x columns).  Every broadcast in the package
+# is of a frame bounded by the tree size (nodes x features x quantiles);
+# beyond the bound the plain (shuffle) join is used.
 BROADCAST_ROW_LIMIT = 1 << 16
+BROADCAST_CELL_LIMIT = 1 << 22
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -107,8 +109,9 @@ def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFr
     return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({names})")
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int, width: int | None = None) -> DataFrame:
     """Hint a broadcast for a frame whose row count is known to be <= max_rows."""
-    if max_rows <= BROADCAST_ROW_LIMIT:
+    width = width if width is not None else len(df.columns)
+    if max_rows <= BROADCAST_ROW_LIMIT and max_rows * width <= BROADCAST_CELL_LIMIT:
         return F.broadcast(df)
     return df

@@ -245,3 +245,25 @@ def test_join_routing_matches_expression_routing(spark, semantics):
     p_expr = {(r["id"], r["PREDICTED_LABEL"]) for r in model.predict(df, joins=False).collect()}
     p_join = {(r["id"], r["PREDICTED_LABEL"]) for r in model.predict(df, joins=True).collect()}
     assert p_expr == p_join and len(p_expr) == len(by_expr)
+
+
+def test_csv_source_with_inferred_schema(spark, tmp_path):
+    from arborist.sources.tables import read_csv
+
+    path = tmp_path / "passengers.csv"
+    lines = ["fare,port,klass"] + [f"{10 + (i % 50)}.5,{'CQS'[i % 3]},{1 if i % 50 > 30 else 3}" for i in range(300)]
+    path.write_text("\n".join(lines) + "\n")
+    df = read_csv(spark, str(path))
+    assert dict(df.dtypes) == {"fare": "double", "port": "string", "klass": "int"}
+    model = fit(df, "klass", None, TreeSettings(max_depth=1))
+    assert model.nodes[1].is_split and model.nodes[1].feature == "fare"
+    assert {model.nodes[2].label, model.nodes[3].label} == {"1", "3"}
+
+
+def test_approx_threshold_mode_fits(spark):
+    data = [(float(i), "a" if i < 300 else "b") for i in range(1000)]
+    df = spark.createDataFrame(data, "n double, y string")
+    model = fit(df, "y", ["n"], TreeSettings(max_depth=1, threshold_mode="approx"))
+    root = model.nodes[1]
+    assert root.is_split and root.threshold in {float(i) for i in range(1000)}
+    assert model.predict(df).count() == 1000
