@@ -187,6 +187,11 @@ def q_fit_node_table(spark, sf_dir):
     return model.node_table(spark).select(*NODE_COLUMNS, _r("child_gini"))
 
 
+def q_fit_node_table_reference(spark, sf_dir):
+    _, _, model = _model(spark, sf_dir, "lineitem", TreeSettings(max_depth=3, semantics="reference"))
+    return model.node_table(spark).select(*NODE_COLUMNS, _r("child_gini"))
+
+
 def q_leaf_labels(spark, sf_dir):
     _, _, model = _model(spark, sf_dir, "orders", TreeSettings(max_depth=3))
     return model.node_table(spark).where("is_leaf").select("node_id", "label", "n_rows")
@@ -234,6 +239,7 @@ _QUERIES = {
     "rank_columns_by_gini_reference": q_rank_columns_by_gini_reference,
     "informative_columns": q_informative_columns,
     "fit_node_table": q_fit_node_table,
+    "fit_node_table_reference": q_fit_node_table_reference,
     "leaf_labels": q_leaf_labels,
     "predict_depth2": q_predict_depth2,
     "leaf_assignment": q_leaf_assignment,

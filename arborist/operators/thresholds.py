@@ -164,8 +164,14 @@ def approx_quantiles(cells: DataFrame, quantiles=QUANTILES, accuracy: int = 1000
 
 
 def distinct_threshold_rows(rows) -> list[tuple]:
-    """Driver-side form of :func:`distinct_thresholds` for collected rows
-    ``(node_id, feature, q_index, quantile, threshold)`` (tree-sized)."""
+    """Distinct thresholds per (node, feature) with their quantile
+    multiplicity and 1-based position, from collected rows
+    ``(node_id, feature, q_index, quantile, threshold)`` (tree-sized).
+
+    Returns ``(node_id, feature, idx, threshold, mult)``; ``idx`` is the
+    bucket a value reaches when it is ``>=`` this threshold and below the
+    next one.
+    """
     mult: dict[tuple, dict[float, int]] = {}
     for r in rows:
         per = mult.setdefault((r["node_id"], r["feature"]), {})
@@ -175,19 +181,3 @@ def distinct_threshold_rows(rows) -> list[tuple]:
         for idx, t in enumerate(sorted(per), start=1):
             out.append((node_id, feature, idx, t, per[t]))
     return out
-
-
-def distinct_thresholds(thresholds: DataFrame) -> DataFrame:
-    """Distinct thresholds per group with their quantile multiplicity and
-    1-based position: ``(node_id, feature, idx, threshold, mult)``.
-
-    ``idx`` is the bucket a value reaches when it is ``>=`` this threshold
-    and below the next one.  Bounded by groups x quantiles rows.
-    """
-    w = Window.partitionBy(*GROUP).orderBy("threshold")
-    return (
-        thresholds.groupBy(*GROUP, "threshold")
-        .agg(F.count(F.lit(1)).alias("mult"))
-        .withColumn("idx", F.row_number().over(w))
-        .select(*GROUP, "idx", "threshold", "mult")
-    )

@@ -186,24 +186,36 @@ def best_per_column(d: int = 0) -> str:
     )
 
 
-def tree_sql(name: str, max_depth: int = 4, min_leaf: int = 32, final: str = "") -> str:
-    """Consistent-semantics tree of ``max_depth`` levels; defines ``nodes``
-    (the node table), ``leafrows(rid, node, depth)`` and ``leaflab``."""
-    prep, _ = prep_ctes(name, min_count=min_leaf)
+def tree_sql(name: str, max_depth: int = 4, min_leaf: int = 32, final: str = "", reference: bool = False) -> str:
+    """Tree of ``max_depth`` levels; defines ``nodes`` (the node table),
+    ``leafrows(rid, node, depth)`` and ``leaflab(node, depth, label, n_rows)``.
+
+    Leaves are every child of a split that is not split itself, plus an
+    unsplit root, so a child no row reaches (possible when reference
+    routing differs from scoring) is still listed, with 0 rows.
+    """
+    prep, _ = prep_ctes(name, reference=reference, min_count=min_leaf)
     parts = [prep, "a0 AS (SELECT rid, CAST(1 AS BIGINT) AS node FROM prep)"]
-    leaf_parts, inner_parts = [], []
+    leaf_parts, inner_parts, kid_parts = [], [], ["SELECT CAST(1 AS BIGINT) AS node, 0 AS depth"]
     for d in range(max_depth):
-        parts.append(level_ctes(d))
+        parts.append(level_ctes(d, reference))
+        purity = "" if reference else " WHERE nl.n_labels > 1"
+        op = ">" if reference else ">="
+        test = (
+            f"CASE WHEN s.kind = 'ordinal' THEN n.x {op} s.threshold ELSE c.c = s.category END"
+            if reference
+            else f"CASE WHEN s.kind = 'ordinal' THEN coalesce(n.x >= s.threshold, false) "
+            f"ELSE coalesce(c.c = s.category, false) END"
+        )
         parts.append(
             f"nl{d} AS (SELECT node, count(*) AS n_labels, sum(tot) AS n_rows FROM lt{d} GROUP BY node), "
-            f"sp{d} AS (SELECT b.*, nl.n_rows FROM bs{d} b JOIN nl{d} nl ON nl.node = b.node WHERE nl.n_labels > 1), "
-            f"sd{d} AS (SELECT a.rid, s.node, s.n_left, s.n_right, CASE WHEN s.kind = 'ordinal' "
-            f"THEN coalesce(n.x >= s.threshold, false) ELSE coalesce(c.c = s.category, false) END AS go_left "
+            f"sp{d} AS (SELECT b.*, nl.n_rows FROM bs{d} b JOIN nl{d} nl ON nl.node = b.node{purity}), "
+            f"sd{d} AS (SELECT a.rid, s.node, s.n_left, s.n_right, {test} AS go_left "
             f"FROM a{d} a JOIN sp{d} s ON s.node = a.node "
             f"LEFT JOIN num n ON n.rid = a.rid AND n.feature = s.feature "
             f"LEFT JOIN cat c ON c.rid = a.rid AND c.feature = s.feature), "
             f"ch{d} AS (SELECT rid, CASE WHEN go_left THEN 2 * node ELSE 2 * node + 1 END AS node, "
-            f"CASE WHEN go_left THEN n_left ELSE n_right END AS scored FROM sd{d}), "
+            f"CASE WHEN go_left THEN n_left ELSE n_right END AS scored FROM sd{d} WHERE go_left IS NOT NULL), "
             f"a{d + 1} AS (SELECT rid, node FROM ch{d} WHERE {d + 1} < {max_depth} AND scored >= {min_leaf}), "
             f"lf{d} AS (SELECT rid, node, {d} AS depth FROM a{d} WHERE node NOT IN (SELECT node FROM sp{d}) "
             f"UNION ALL SELECT rid, node, {d + 1} AS depth FROM ch{d} WHERE NOT ({d + 1} < {max_depth} AND scored >= {min_leaf}))"
@@ -213,15 +225,23 @@ def tree_sql(name: str, max_depth: int = 4, min_leaf: int = 32, final: str = "")
             f"SELECT node AS node_id, {d} AS depth, false AS is_leaf, feature, kind, threshold, category, "
             f"n_left, n_right, n_rows, CAST(NULL AS VARCHAR) AS label, child_gini FROM sp{d}"
         )
+        kid_parts.append(f"SELECT 2 * node AS node, {d + 1} AS depth FROM sp{d} UNION ALL "
+                         f"SELECT 2 * node + 1, {d + 1} FROM sp{d}")
     if max_depth == 0:
         leaf_parts.append("SELECT rid, node, 0 AS depth FROM a0")
+    split_nodes = " UNION ALL ".join(f"SELECT node FROM sp{d}" for d in range(max_depth)) or (
+        "SELECT CAST(NULL AS BIGINT) AS node WHERE false"
+    )
     parts.append(f"leafrows AS ({' UNION ALL '.join(leaf_parts)})")
     parts.append(
-        "leafcnt AS (SELECT l.node, l.depth, b.y, count(*) AS cnt FROM leafrows l JOIN lab b ON b.rid = l.rid "
-        "GROUP BY l.node, l.depth, b.y), "
-        "leaflab AS (SELECT node, depth, y AS label, n_rows FROM (SELECT node, depth, y, cnt, "
+        "leafcnt AS (SELECT l.node, b.y, count(*) AS cnt FROM leafrows l JOIN lab b ON b.rid = l.rid "
+        "GROUP BY l.node, b.y), "
+        "leafmode AS (SELECT node, y AS label, n_rows FROM (SELECT node, y, cnt, "
         "sum(cnt) OVER (PARTITION BY node) AS n_rows, row_number() OVER (PARTITION BY node ORDER BY cnt DESC, y ASC) AS rn "
-        "FROM leafcnt) WHERE rn = 1)"
+        "FROM leafcnt) WHERE rn = 1), "
+        f"kids AS ({' UNION ALL '.join(kid_parts)}), "
+        f"leaflab AS (SELECT k.node, k.depth, m.label, coalesce(m.n_rows, 0) AS n_rows FROM kids k "
+        f"LEFT JOIN leafmode m ON m.node = k.node WHERE k.node NOT IN ({split_nodes}))"
     )
     leaves = (
         "SELECT node AS node_id, depth, true AS is_leaf, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS VARCHAR) AS kind, "
@@ -375,6 +395,14 @@ ORACLE_SQL["fit_node_table"] = tree_sql(
     f"{_r('child_gini')} FROM nodes",
 )
 
+ORACLE_SQL["fit_node_table_reference"] = tree_sql(
+    "lineitem", 3, 32,
+    "SELECT node_id, CASE WHEN node_id = 1 THEN NULL ELSE node_id // 2 END AS parent_id, CAST(depth AS INTEGER) AS depth, "
+    "is_leaf, feature, kind, threshold, category, n_left, n_right, n_rows, label, "
+    f"{_r('child_gini')} FROM nodes",
+    reference=True,
+)
+
 ORACLE_SQL["leaf_labels"] = tree_sql("orders", 3, 32, "SELECT node AS node_id, label, n_rows FROM leaflab")
 
 ORACLE_SQL["predict_depth2"] = tree_sql(

@@ -267,3 +267,12 @@ def test_approx_threshold_mode_fits(spark):
     root = model.nodes[1]
     assert root.is_split and root.threshold in {float(i) for i in range(1000)}
     assert model.predict(df).count() == 1000
+
+
+def test_tag_features_melts_one_row_per_feature(spark):
+    df = spark.createDataFrame([(1, 2.5, "a", "y1"), (2, None, None, "y2")], "i int, d double, s string, y string")
+    out = rows_of(histogram.tag_features(df, "y", {"i": "ordinal", "d": "ordinal", "s": "categorical"}))
+    assert len(out) == 6
+    got = {(r["label"], r["feature"], r["kind"], r["num_value"], r["category"]) for r in out}
+    assert ("y1", "s", "categorical", None, "a") in got and ("y2", "d", "ordinal", None, None) in got
+    assert ("y1", "i", "ordinal", 1.0, None) in got
