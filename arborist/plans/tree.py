@@ -33,7 +33,7 @@ from ..functions.features import col
 from ..functions.predicates import route, rule_text
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
-from ..session import maybe_broadcast, small_frame
+from ..session import materialize, maybe_broadcast, small_frame
 from .routing import assign_labels, assign_leaves
 from ..settings import TreeSettings
 
@@ -186,6 +186,31 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     """Fit a tree predicting ``label`` from ``features`` (default: all other columns)."""
     settings = settings or TreeSettings()
     frame, kinds, _ = prepare_frame(df, label, features, settings)
+    cached = _persist_input(frame) if settings.persist_input else None
+    frame = cached if cached is not None else frame
+    try:
+        model = _grow(frame, label, kinds, settings)
+        _label_leaves(model, frame)
+    finally:
+        if cached is not None:
+            cached.unpersist()
+    return model
+
+
+def _persist_input(frame: DataFrame) -> DataFrame:
+    """Persist the prepared input (label + features only) for the fit.
+
+    An input with fewer partitions than the default parallelism (a few
+    large row groups) is spread over it first, so the levels that read it
+    use every core; a large input keeps its own partitioning.
+    """
+    parallelism = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() < parallelism:
+        frame = frame.repartition(parallelism)
+    return materialize(frame)
+
+
+def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) -> TreeModel:
     nodes: dict[int, Node] = {1: Node(1, 0, closed=settings.max_depth == 0)}
     frontier = [] if nodes[1].closed or not kinds else [1]
     first_feature = next(iter(kinds), None)
@@ -221,9 +246,7 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
             next_frontier.extend(_split(node, best[node_id], settings, nodes))
         frontier = next_frontier
 
-    model = TreeModel(nodes, label, kinds, settings)
-    _label_leaves(model, frame)
-    return model
+    return TreeModel(nodes, label, kinds, settings)
 
 
 # Open nodes up to this many are tested with an IN list; more with a semi join.

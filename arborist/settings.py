@@ -47,6 +47,9 @@ class TreeSettings:
     semantics: str = "consistent"
     threshold_mode: str = "exact"
     approx_accuracy: int = 10000
+    # Persist the prepared (bucketed, column-pruned) input for the duration
+    # of a fit: every level reads it twice.  MEMORY_AND_DISK, released after.
+    persist_input: bool = True
 
     def __post_init__(self):
         if not 0 <= self.max_depth <= MAX_SUPPORTED_DEPTH:
