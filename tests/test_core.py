@@ -276,3 +276,18 @@ def test_tag_features_melts_one_row_per_feature(spark):
     got = {(r["label"], r["feature"], r["kind"], r["num_value"], r["category"]) for r in out}
     assert ("y1", "s", "categorical", None, "a") in got and ("y2", "d", "ordinal", None, None) in got
     assert ("y1", "i", "ordinal", 1.0, None) in got
+
+
+def test_candidates_equal_with_tolerance(spark):
+    from pyspark.testing import assertDataFrameEqual
+
+    df = spark.createDataFrame(NULLS, "n double, k string, y string")
+    settings = TreeSettings(min_leaf_size=1)
+    got = columns.candidate_splits(df, "y", ["n", "k"], settings).select(
+        "feature", "threshold", "category", "n_left", "n_right", "child_gini")
+    frame, kinds, _ = bucketing.prepare_frame(df, "y", ["n", "k"], settings)
+    want = [(c["feature"], c["threshold"], c["category"], c["n_left"], c["n_right"], c["score"])
+            for c in brute.candidates(rows_of(frame), "y", kinds)]
+    expected = spark.createDataFrame(
+        want, "feature string, threshold double, category string, n_left long, n_right long, child_gini double")
+    assertDataFrameEqual(got, expected, rtol=1e-9, atol=1e-9)
