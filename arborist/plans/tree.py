@@ -197,6 +197,10 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     return model
 
 
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def _persist_input(frame: DataFrame) -> DataFrame:
     """Persist the prepared input (label + features only) for the fit.
 
@@ -217,7 +221,10 @@ def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) ->
 
     while frontier:
         routed = _open_rows(assign_leaves(frame, nodes, settings.reference, "node_id"), frontier)
-        hist, thresholds, rows = level_histogram(routed, label, kinds, settings, max_nodes=len(frontier))
+        # The histogram is read by the single query below (stats and best
+        # split in one collect), whose two branches share its exchange.
+        hist, thresholds, rows = level_histogram(routed, label, kinds, settings, max_nodes=len(frontier),
+                                                 freeze=_as_is)
         scored = score_candidates(hist, thresholds, settings.reference, len(rows)).where(
             F.col("child_gini").isNotNull()
         )
@@ -231,7 +238,6 @@ def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) ->
         # those winners (<= nodes x features rows) move for the best per node.
         best_split = best_per(best_per(scored, ["node_id", "feature"]), ["node_id"])
         found = stats.join(best_split, "node_id", "left").collect()
-        hist.unpersist()
         stats = {r["node_id"]: r for r in found}
         best = {r["node_id"]: r for r in found if r["feature"] is not None}
         next_frontier = []
