@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from arborist import TreeSettings, fit  # noqa: E402
-from arborist.operators import bucketing, histogram, splits, thresholds  # noqa: E402
+from arborist.operators import bucketing, histogram, thresholds  # noqa: E402
 from arborist.plans import columns  # noqa: E402
 from arborist.plans.scoring import leaf_rule_stats, split_left_right  # noqa: E402
 from arborist.session import small_frame  # noqa: E402

@@ -1,18 +1,19 @@
 """Level-wise fit of a binary classification tree and its node table.
 
 The model is a table of nodes with heap ids (root 1, children 2i and
-2i+1).  Fitting grows it one depth at a time, for every open node of the
-level in the same Spark jobs:
+2i+1).  The prepared input (label + features, categories bucketed) is
+persisted for the fit.  Fitting grows the tree one depth at a time, for
+every open node of the level in the same Spark jobs:
 
-1. ``node_id`` of every row = one routing expression over the raw columns
-   (a projection, no join, no shuffle); rows of closed nodes are dropped;
+1. ``node_id`` of every row = the routing of ``routing.assign_leaves``
+   over the raw columns (map-only); rows of closed nodes are dropped;
 2. thresholds job: exact nearest-rank quantiles per (node, numeric
    feature), collected (bounded by nodes x features x quantiles);
-3. counts job: bucket numbers / categories melted and counted per
-   (node, feature, key, label), map-side combined, checkpointed;
-4. scoring on that small histogram; the best split of every node is
-   collected (one row per node);
-5. children are appended on the driver; a child is closed when it reaches
+3. counts + scoring, one query: bucket numbers / categories melted and
+   counted per (node, feature, key, label), map-side combined, then
+   scored; the best split and the label mix of every node are collected
+   (one row per node);
+4. children are appended on the driver; a child is closed when it reaches
    the maximum depth or its side of the split is smaller than the minimum
    leaf size.
 
@@ -34,8 +35,8 @@ from ..functions.predicates import route, rule_text
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
 from ..session import materialize, maybe_broadcast, small_frame
-from .routing import assign_labels, assign_leaves
 from ..settings import TreeSettings
+from .routing import assign_labels, assign_leaves
 
 PREDICTED_LABEL = "PREDICTED_LABEL"
 
