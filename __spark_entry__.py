@@ -192,6 +192,11 @@ def q_fit_node_table_reference(spark, sf_dir):
     return model.node_table(spark).select(*NODE_COLUMNS, _r("child_gini"))
 
 
+def q_predict_reference(spark, sf_dir):
+    fs, df, model = _model(spark, sf_dir, "lineitem", TreeSettings(max_depth=3, semantics="reference"))
+    return model.predict(df).select(fs.key, "PREDICTED_LABEL")
+
+
 def q_leaf_labels(spark, sf_dir):
     _, _, model = _model(spark, sf_dir, "orders", TreeSettings(max_depth=3))
     return model.node_table(spark).where("is_leaf").select("node_id", "label", "n_rows")
@@ -242,6 +247,7 @@ _QUERIES = {
     "fit_node_table_reference": q_fit_node_table_reference,
     "leaf_labels": q_leaf_labels,
     "predict_depth2": q_predict_depth2,
+    "predict_reference": q_predict_reference,
     "leaf_assignment": q_leaf_assignment,
     "split_left_right": q_split_left_right,
     "leaf_rule_stats": q_leaf_rule_stats,

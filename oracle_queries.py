@@ -403,6 +403,13 @@ ORACLE_SQL["fit_node_table_reference"] = tree_sql(
     reference=True,
 )
 
+ORACLE_SQL["predict_reference"] = tree_sql(
+    "lineitem", 3, 32,
+    "SELECT p.k AS l_key, l.label AS PREDICTED_LABEL FROM leafrows r JOIN leaflab l ON l.node = r.node "
+    "JOIN prep p ON p.rid = r.rid",
+    reference=True,
+)
+
 ORACLE_SQL["leaf_labels"] = tree_sql("orders", 3, 32, "SELECT node AS node_id, label, n_rows FROM leaflab")
 
 ORACLE_SQL["predict_depth2"] = tree_sql(
