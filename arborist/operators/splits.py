@@ -61,7 +61,8 @@ def split_order():
     ]
 
 
-def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings, max_nodes: int) -> list:
+def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings, max_nodes: int,
+                       max_node_rows: int | None = None) -> list:
     """Collect the distinct thresholds of every (node, ordinal feature).
 
     Returns rows ``(node_id, feature, idx, threshold, mult)``; at most
@@ -74,7 +75,8 @@ def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings, max_no
     if settings.threshold_mode == "approx":
         q = approx_quantiles(cells, settings.quantiles, settings.approx_accuracy)
     else:
-        q, cached = exact_quantiles_cached(cells, settings.quantiles, max_groups=max_nodes * len(ordinal))
+        q, cached = exact_quantiles_cached(cells, settings.quantiles, max_groups=max_nodes * len(ordinal),
+                                           max_group_rows=max_node_rows)
     try:
         return distinct_threshold_rows(q.collect())
     finally:
@@ -110,16 +112,17 @@ def thresholds_frames(spark: SparkSession, rows: list, ordinal, n_quantiles: int
 
 
 def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, max_nodes: int,
-                    freeze=materialize):
+                    freeze=materialize, max_node_rows: int | None = None):
     """Thresholds job + counts job of one level.
 
     Returns ``(hist, thresholds_long, threshold_rows)``.  ``hist`` is
     hash-partitioned on ``(node_id, feature)`` and frozen with ``freeze``:
     persisted by default (the fit loop unpersists it once the level is
     scored), or ``reliable_checkpoint`` for results handed to a caller.
+    ``max_node_rows`` bounds the rows of any node in ``frame`` when known.
     """
     ordinal = [f for f, k in kinds.items() if k == ORDINAL]
-    rows = compute_thresholds(frame, ordinal, settings, max_nodes)
+    rows = compute_thresholds(frame, ordinal, settings, max_nodes, max_node_rows)
     long_df, wide_df = thresholds_frames(frame.sparkSession, rows, ordinal, len(settings.quantiles))
     hist = class_histogram(frame, label, kinds, wide_df, len(settings.quantiles), max_nodes)
     return freeze(hist.repartition("node_id", "feature")), long_df, rows

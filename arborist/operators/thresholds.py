@@ -20,9 +20,10 @@ Distributed plan of the exact mode, with no group ever held by one task:
    partition, and the row whose rank interval holds the target is the
    threshold.
 
-A histogram whose row count (known once it is materialised) is at most
-``WINDOW_ROWS_LIMIT`` bounds every group, and is ranked instead by one
-running-sum window per (node, feature), which skips the sampling and the
+When every group is known to hold at most ``WINDOW_ROWS_LIMIT`` rows (the
+fit knows each node's row count, which bounds its distinct values; else
+the histogram is counted once it is materialised), the groups are ranked
+instead by one running-sum window each, which skips the sampling and the
 range shuffle.  Beyond the bound only the range plan is used.
 
 The approximate mode is one ``percentile_approx`` aggregation (mergeable
@@ -73,7 +74,8 @@ def exact_quantiles(cells: DataFrame, quantiles=QUANTILES, num_partitions: int |
 
 
 def exact_quantiles_cached(cells: DataFrame, quantiles=QUANTILES, num_partitions: int | None = None,
-                           max_groups: int | None = None, strategy: str = "auto", freeze=materialize):
+                           max_groups: int | None = None, strategy: str = "auto", freeze=materialize,
+                           max_group_rows: int | None = None):
     """As :func:`exact_quantiles`; the frozen histogram is returned too, so
     that the caller can release it after collecting.
 
@@ -82,11 +84,17 @@ def exact_quantiles_cached(cells: DataFrame, quantiles=QUANTILES, num_partitions
     knows one (the tree size); it decides whether the rank targets are
     broadcast.  ``strategy``: ``range`` (always distributed), ``window``
     (single window per group, only allowed within ``WINDOW_ROWS_LIMIT``) or
-    ``auto``.
+    ``auto``.  ``max_group_rows`` is a known upper bound of the rows of any
+    one group (a node's row count bounds its distinct values); with it,
+    ``auto`` picks the plan without counting the histogram first.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     quantiles = tuple(quantiles)
+    if strategy == "auto" and max_group_rows is not None:
+        strategy = "window_bounded" if max_group_rows <= WINDOW_ROWS_LIMIT else "range"
+    if strategy == "window_bounded":
+        return _window_ranked(value_histogram(cells), quantiles), None
     if strategy == "range":
         return _range_ranked(value_histogram(cells), quantiles, num_partitions, max_groups, freeze)
     hist = freeze(value_histogram(cells))
@@ -111,7 +119,8 @@ def _targets(ranked: DataFrame, quantiles) -> DataFrame:
 
 
 def _window_ranked(hist: DataFrame, quantiles) -> DataFrame:
-    """Running sum per group; the caller has checked the histogram size."""
+    """Running sum per group; the caller has checked that no group exceeds
+    ``WINDOW_ROWS_LIMIT`` rows."""
     group = Window.partitionBy(*GROUP)
     ranked = hist.withColumn(
         "cum", F.sum("cnt").over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +35,7 @@ from ..functions.features import col
 from ..functions.predicates import route, rule_text
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
-from ..session import materialize, maybe_broadcast, small_frame
+from ..session import maybe_broadcast, small_frame
 from ..settings import TreeSettings
 from .routing import assign_labels, assign_leaves
 
@@ -187,10 +188,10 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     """Fit a tree predicting ``label`` from ``features`` (default: all other columns)."""
     settings = settings or TreeSettings()
     frame, kinds, _ = prepare_frame(df, label, features, settings)
-    cached = _persist_input(frame) if settings.persist_input else None
+    cached, n_rows = _persist_input(frame) if settings.persist_input else (None, None)
     frame = cached if cached is not None else frame
     try:
-        model = _grow(frame, label, kinds, settings)
+        model = _grow(frame, label, kinds, settings, n_rows)
         _label_leaves(model, frame)
     finally:
         if cached is not None:
@@ -202,8 +203,9 @@ def _as_is(df: DataFrame) -> DataFrame:
     return df
 
 
-def _persist_input(frame: DataFrame) -> DataFrame:
-    """Persist the prepared input (label + features only) for the fit.
+def _persist_input(frame: DataFrame) -> tuple[DataFrame, int]:
+    """Persist the prepared input (label + features only) for the fit;
+    returns it with its row count.
 
     An input with fewer partitions than the default parallelism (a few
     large row groups) is spread over it first, so the levels that read it
@@ -212,11 +214,12 @@ def _persist_input(frame: DataFrame) -> DataFrame:
     parallelism = frame.sparkSession.sparkContext.defaultParallelism
     if frame.rdd.getNumPartitions() < parallelism:
         frame = frame.repartition(parallelism)
-    return materialize(frame)
+    frame.persist(StorageLevel.MEMORY_AND_DISK)
+    return frame, frame.count()
 
 
-def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) -> TreeModel:
-    nodes: dict[int, Node] = {1: Node(1, 0, closed=settings.max_depth == 0)}
+def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, n_rows: int | None) -> TreeModel:
+    nodes: dict[int, Node] = {1: Node(1, 0, closed=settings.max_depth == 0, n_rows=n_rows)}
     frontier = [] if nodes[1].closed or not kinds else [1]
     first_feature = next(iter(kinds), None)
 
@@ -224,8 +227,12 @@ def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) ->
         routed = _open_rows(assign_leaves(frame, nodes, settings.reference, "node_id"), frontier)
         # The histogram is read by the single query below (stats and best
         # split in one collect), whose two branches share its exchange.
+        # A node has at most as many rows as its parent: that bounds the
+        # distinct values of every (node, feature) group of this level.
+        bounds = [nodes[n].n_rows if n == 1 else nodes[n // 2].n_rows for n in frontier]
+        max_node_rows = None if any(b is None for b in bounds) else max(bounds)
         hist, thresholds, rows = level_histogram(routed, label, kinds, settings, max_nodes=len(frontier),
-                                                 freeze=_as_is)
+                                                 freeze=_as_is, max_node_rows=max_node_rows)
         scored = score_candidates(hist, thresholds, settings.reference, len(rows)).where(
             F.col("child_gini").isNotNull()
         )

@@ -291,3 +291,23 @@ def test_candidates_equal_with_tolerance(spark):
     expected = spark.createDataFrame(
         want, "feature string, threshold double, category string, n_left long, n_right long, child_gini double")
     assertDataFrameEqual(got, expected, rtol=1e-9, atol=1e-9)
+
+
+def test_fit_on_range_path_matches_brute_force(spark, monkeypatch):
+    # Shrink the single-window bound so that every level ranks thresholds
+    # with the distributed range plan, as it does for large nodes.
+    monkeypatch.setattr(thresholds, "WINDOW_ROWS_LIMIT", 10)
+    rnd = random.Random(5)
+    data = [(float(rnd.randint(0, 40)), rnd.choice("pq"), rnd.choice("XY") if rnd.random() < 0.5 else "Z")
+            for _ in range(400)]
+    df = spark.createDataFrame(data, "a double, b string, y string")
+    settings = TreeSettings(max_depth=3, min_leaf_size=10)
+    model = fit(df, "y", ["a", "b"], settings)
+    frame, kinds, _ = bucketing.prepare_frame(df, "y", ["a", "b"], settings)
+    want = brute.fit([r.asDict() for r in frame.collect()], "y", kinds, 3, 10)
+    assert set(model.nodes) == set(want)
+    for node_id, w in want.items():
+        n = model.nodes[node_id]
+        assert n.n_rows == w["n_rows"] and (not n.is_split) == w["is_leaf"]
+        if not w["is_leaf"]:
+            assert (n.feature, n.threshold, n.category) == (w["feature"], w["threshold"], w["category"])
