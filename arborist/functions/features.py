@@ -43,6 +43,20 @@ def require_columns(df: DataFrame, names) -> None:
         raise ValueError(f"columns not found: {missing}; available: {df.columns}")
 
 
+# Column names the fit adds next to the label and features.
+RESERVED_NAMES = ("node_id",)
+RESERVED_PREFIX = "__"
+
+
+def check_reserved(names) -> None:
+    bad = [n for n in names if n in RESERVED_NAMES or n.startswith(RESERVED_PREFIX)]
+    if bad:
+        raise ValueError(
+            f"label/feature names {bad} collide with working columns of the fit "
+            f"({RESERVED_NAMES} and names starting with {RESERVED_PREFIX!r}); rename them first"
+        )
+
+
 def feature_kinds(df: DataFrame, label: str, features=None) -> dict[str, str]:
     """Map every feature column to its kind, in schema order.
 
@@ -58,6 +72,7 @@ def feature_kinds(df: DataFrame, label: str, features=None) -> dict[str, str]:
         require_columns(df, names)
         if label in names:
             raise ValueError(f"label column {label!r} cannot also be a feature")
+    check_reserved([label, *names])
     kinds, bad = {}, []
     for name in names:
         kind = kind_of(fields[name])

@@ -45,6 +45,9 @@ def test_feature_kinds(spark):
         feature_kinds(df, "y")
     with pytest.raises(ValueError, match="not found"):
         feature_kinds(df, "missing")
+    clash = spark.createDataFrame([(1, "y")], "node_id int, y string")
+    with pytest.raises(ValueError, match="collide"):
+        feature_kinds(clash, "y")
 
 
 def test_bucketing_nulls_cap_and_drop(spark):
