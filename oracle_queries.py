@@ -208,7 +208,7 @@ def tree_sql(name: str, max_depth: int = 4, min_leaf: int = 32, final: str = "",
             f"ELSE coalesce(c.c = s.category, false) END"
         )
         parts.append(
-            f"nl{d} AS (SELECT node, count(*) AS n_labels, sum(tot) AS n_rows FROM lt{d} GROUP BY node), "
+            f"nl{d} AS (SELECT node, count(*) AS n_labels, CAST(sum(tot) AS BIGINT) AS n_rows FROM lt{d} GROUP BY node), "
             f"sp{d} AS (SELECT b.*, nl.n_rows FROM bs{d} b JOIN nl{d} nl ON nl.node = b.node{purity}), "
             f"sd{d} AS (SELECT a.rid, s.node, s.n_left, s.n_right, {test} AS go_left "
             f"FROM a{d} a JOIN sp{d} s ON s.node = a.node "
@@ -237,10 +237,10 @@ def tree_sql(name: str, max_depth: int = 4, min_leaf: int = 32, final: str = "",
         "leafcnt AS (SELECT l.node, b.y, count(*) AS cnt FROM leafrows l JOIN lab b ON b.rid = l.rid "
         "GROUP BY l.node, b.y), "
         "leafmode AS (SELECT node, y AS label, n_rows FROM (SELECT node, y, cnt, "
-        "sum(cnt) OVER (PARTITION BY node) AS n_rows, row_number() OVER (PARTITION BY node ORDER BY cnt DESC, y ASC) AS rn "
-        "FROM leafcnt) WHERE rn = 1), "
+        "CAST(sum(cnt) OVER (PARTITION BY node) AS BIGINT) AS n_rows, "
+        "row_number() OVER (PARTITION BY node ORDER BY cnt DESC, y ASC) AS rn FROM leafcnt) WHERE rn = 1), "
         f"kids AS ({' UNION ALL '.join(kid_parts)}), "
-        f"leaflab AS (SELECT k.node, k.depth, m.label, coalesce(m.n_rows, 0) AS n_rows FROM kids k "
+        f"leaflab AS (SELECT k.node, k.depth, m.label, CAST(coalesce(m.n_rows, 0) AS BIGINT) AS n_rows FROM kids k "
         f"LEFT JOIN leafmode m ON m.node = k.node WHERE k.node NOT IN ({split_nodes}))"
     )
     leaves = (
@@ -266,7 +266,7 @@ ORACLE_SQL["category_counts"] = (
 
 ORACLE_SQL["top_categories"] = (
     f"WITH c AS ({_counts_union('documents', ['lang', 'source'])}) "
-    "SELECT col AS \"column\", value, n, rk AS rank FROM (SELECT col, value, n, row_number() OVER "
+    "SELECT col AS \"column\", value, n, CAST(rk AS INTEGER) AS rank FROM (SELECT col, value, n, row_number() OVER "
     "(PARTITION BY col ORDER BY n DESC, value ASC) AS rk FROM c WHERE n >= 32) WHERE rk <= 6"
 )
 
@@ -315,15 +315,15 @@ ORACLE_SQL["label_totals_window"] = root_sql(
     "lineitem",
     ", h AS (SELECT v.feature, v.c AS category, l.y AS label, count(*) AS cnt FROM cv0 v JOIN lab l ON l.rid = v.rid "
     "GROUP BY v.feature, v.c, l.y) "
-    "SELECT feature, category, label, cnt, sum(cnt) OVER (PARTITION BY feature, label) AS label_total, "
-    "sum(cnt) OVER (PARTITION BY feature, label) - cnt AS cnt_out FROM h",
+    "SELECT feature, category, label, cnt, CAST(sum(cnt) OVER (PARTITION BY feature, label) AS BIGINT) AS label_total, "
+    "CAST(sum(cnt) OVER (PARTITION BY feature, label) - cnt AS BIGINT) AS cnt_out FROM h",
     features=["l_linestatus"],
 ).replace(" , h AS", ", h AS")
 
 ORACLE_SQL["majority_label"] = (
     "WITH c AS (SELECT o_orderpriority, o_orderstatus, count(*) AS cnt FROM orders GROUP BY o_orderpriority, o_orderstatus) "
     "SELECT o_orderpriority, label, cnt, n_rows FROM (SELECT o_orderpriority, o_orderstatus AS label, cnt, "
-    "sum(cnt) OVER (PARTITION BY o_orderpriority) AS n_rows, row_number() OVER (PARTITION BY o_orderpriority "
+    "CAST(sum(cnt) OVER (PARTITION BY o_orderpriority) AS BIGINT) AS n_rows, row_number() OVER (PARTITION BY o_orderpriority "
     "ORDER BY cnt DESC, o_orderstatus ASC) AS rn FROM c) WHERE rn = 1"
 )
 
@@ -374,8 +374,8 @@ ORACLE_SQL["best_split_per_column"] = root_sql(
 def _ranked_sql(name: str, reference: bool = False) -> str:
     return root_sql(
         name,
-        f", {best_per_column()} SELECT row_number() OVER (ORDER BY child_gini ASC NULLS LAST, feature ASC, "
-        f"threshold ASC NULLS LAST, category ASC NULLS LAST) AS rank, feature, kind, threshold, category, "
+        f", {best_per_column()} SELECT CAST(row_number() OVER (ORDER BY child_gini ASC NULLS LAST, feature ASC, "
+        f"threshold ASC NULLS LAST, category ASC NULLS LAST) AS INTEGER) AS rank, feature, kind, threshold, category, "
         f"n_left, n_right, {_r('child_gini')} FROM bc",
         reference=reference,
     ).replace(" , bc AS", ", bc AS")
