@@ -96,18 +96,22 @@ def bucket_rare_categories(df: DataFrame, settings: TreeSettings | None = None,
     return apply_keep_lists(df, keep_lists(df, columns, settings))
 
 
-def prepare_frame(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None):
+def prepare_frame(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None, persist=None):
     """Select label + features, drop NULL labels, bucket categorical features.
 
     Returns ``(frame, kinds, keep)``: the prepared frame (label cast to
     string), the kind of every surviving feature and the keep-lists used.
     Reference semantics bucket with default settings and also bucket a
     string label (a label without frequent values is an error there).
+    ``persist``, when given, is applied to the column-pruned input before
+    the keep-lists are counted, so that the raw input is read only once.
     """
     settings = settings or TreeSettings()
     kinds = feature_kinds(df, label, features)
     label_is_string = isinstance(df.schema[label].dataType, T.StringType)
     frame = df.select(col(label), *[col(f) for f in kinds]).where(col(label).isNotNull())
+    if persist is not None:
+        frame = persist(frame)
     to_bucket = [f for f, k in kinds.items() if k == CATEGORICAL]
     if settings.reference and label_is_string:
         to_bucket.append(label)

@@ -187,15 +187,19 @@ def _split(node: Node, best, settings: TreeSettings, nodes: dict) -> list[int]:
 def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None) -> TreeModel:
     """Fit a tree predicting ``label`` from ``features`` (default: all other columns)."""
     settings = settings or TreeSettings()
-    frame, kinds, _ = prepare_frame(df, label, features, settings)
-    cached, n_rows = _persist_input(frame) if settings.persist_input else (None, None)
-    frame = cached if cached is not None else frame
+    held: dict = {}
+
+    def persist(selected: DataFrame) -> DataFrame:
+        held["frame"], held["rows"] = _persist_input(selected)
+        return held["frame"]
+
     try:
-        model = _grow(frame, label, kinds, settings, n_rows)
+        frame, kinds, _ = prepare_frame(df, label, features, settings, persist if settings.persist_input else None)
+        model = _grow(frame, label, kinds, settings, held.get("rows"))
         _label_leaves(model, frame)
     finally:
-        if cached is not None:
-            cached.unpersist()
+        if "frame" in held:
+            held["frame"].unpersist()
     return model
 
 
@@ -204,8 +208,9 @@ def _as_is(df: DataFrame) -> DataFrame:
 
 
 def _persist_input(frame: DataFrame) -> tuple[DataFrame, int]:
-    """Persist the prepared input (label + features only) for the fit;
-    returns it with its row count.
+    """Persist the input (label + features only, NULL labels dropped) for
+    the fit; returns it with its row count.  Category bucketing and the
+    label cast are projections over it.
 
     An input with fewer partitions than the default parallelism (a few
     large row groups) is spread over it first, so the levels that read it
