@@ -216,9 +216,12 @@ def _persist_input(frame: DataFrame) -> tuple[DataFrame, int]:
     large row groups) is spread over it first, so the levels that read it
     use every core; a large input keeps its own partitioning.
     """
-    parallelism = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() < parallelism:
-        frame = frame.repartition(parallelism)
+    try:
+        parallelism = frame.sparkSession.sparkContext.defaultParallelism
+        if frame.rdd.getNumPartitions() < parallelism:
+            frame = frame.repartition(parallelism)
+    except Exception:  # Spark Connect has no RDD view; keep the input partitioning
+        pass
     frame.persist(StorageLevel.MEMORY_AND_DISK)
     return frame, frame.count()
 

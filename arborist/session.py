@@ -18,15 +18,20 @@ BROADCAST_ROW_LIMIT = 1 << 16
 BROADCAST_CELL_LIMIT = 1 << 22
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by the session.
 
     ``spark.checkpoint.dir`` (or an earlier ``setCheckpointDir``) is used as
     is.  Only a local-mode session without one gets a fresh scratch folder;
     a cluster session without a shared folder is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    machine-local folder would not survive the loss of an executor.  A
+    Spark Connect session has no driver context here: its server's setting
+    applies, and ``None`` is returned.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
