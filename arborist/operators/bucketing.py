@@ -32,8 +32,10 @@ def string_columns(df: DataFrame) -> list[str]:
 
 def melt_strings(df: DataFrame, columns) -> DataFrame:
     """``(column, value)`` long format of the given string columns."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), col(c).alias("value")) for c in columns])
-    return df.select(F.inline(cells))
+    pairs = []
+    for c in columns:
+        pairs += [F.lit(c), col(c)]
+    return df.select(F.stack(F.lit(len(columns)), *pairs).alias("column", "value"))
 
 
 def category_counts(df: DataFrame, columns=None) -> DataFrame:
