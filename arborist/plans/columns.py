@@ -12,20 +12,34 @@ from pyspark.sql import functions as F
 
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, score_candidates, side_counts, split_order
-from ..session import maybe_broadcast, reliable_checkpoint
+from ..session import maybe_broadcast, persist_input, reliable_checkpoint
 from ..settings import CATEGORICAL, ORDINAL, TreeSettings
 
 
 def root_histogram(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None):
     """Prepared frame as node 1: ``(hist, thresholds, kinds)``.
 
-    The histogram is written to the checkpoint folder: the frames built on
-    it are returned lazily, so no cache handle could be released here.
+    The column-pruned input is persisted while the thresholds and the
+    histogram are computed (one raw read) and released before returning;
+    the histogram is written to the checkpoint folder, which is all the
+    returned (lazy) frames read.
     """
     settings = settings or TreeSettings()
-    frame, kinds, _ = prepare_frame(df, label, features, settings)
-    frame = frame.withColumn("node_id", F.lit(1).cast("long"))
-    hist, thresholds, rows = level_histogram(frame, label, kinds, settings, max_nodes=1, freeze=reliable_checkpoint)
+    held: dict = {}
+
+    def persist(selected: DataFrame) -> DataFrame:
+        held["frame"], held["rows"] = persist_input(selected)
+        return held["frame"]
+
+    try:
+        frame, kinds, _ = prepare_frame(df, label, features, settings, persist if settings.persist_input else None)
+        frame = frame.withColumn("node_id", F.lit(1).cast("long"))
+        hist, thresholds, rows = level_histogram(frame, label, kinds, settings, max_nodes=1,
+                                                 freeze=reliable_checkpoint, max_node_rows=held.get("rows"))
+    finally:
+        # Everything returned reads the checkpointed histogram, not the input.
+        if "frame" in held:
+            held["frame"].unpersist()
     return hist, maybe_broadcast(thresholds, len(rows)), kinds
 
 

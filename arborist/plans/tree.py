@@ -26,7 +26,6 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +34,7 @@ from ..functions.features import col
 from ..functions.predicates import route, rule_text
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
-from ..session import maybe_broadcast, small_frame
+from ..session import maybe_broadcast, persist_input, small_frame
 from ..settings import TreeSettings
 from .routing import assign_labels, assign_leaves
 
@@ -190,7 +189,7 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     held: dict = {}
 
     def persist(selected: DataFrame) -> DataFrame:
-        held["frame"], held["rows"] = _persist_input(selected)
+        held["frame"], held["rows"] = persist_input(selected)
         return held["frame"]
 
     try:
@@ -207,25 +206,6 @@ def _as_is(df: DataFrame) -> DataFrame:
     return df
 
 
-def _persist_input(frame: DataFrame) -> tuple[DataFrame, int]:
-    """Persist the input (label + features only, NULL labels dropped) for
-    the fit; returns it with its row count.  Category bucketing and the
-    label cast are projections over it.
-
-    An input with fewer partitions than the default parallelism (a few
-    large row groups) is spread over it first, so the levels that read it
-    use every core; a large input keeps its own partitioning.
-    """
-    try:
-        parallelism = frame.sparkSession.sparkContext.defaultParallelism
-        if frame.rdd.getNumPartitions() < parallelism:
-            frame = frame.repartition(parallelism)
-    except Exception:  # Spark Connect has no RDD view; keep the input partitioning
-        pass
-    frame.persist(StorageLevel.MEMORY_AND_DISK)
-    return frame, frame.count()
-
-
 def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, n_rows: int | None) -> TreeModel:
     nodes: dict[int, Node] = {1: Node(1, 0, closed=settings.max_depth == 0, n_rows=n_rows)}
     frontier = [] if nodes[1].closed or not kinds else [1]

@@ -114,6 +114,24 @@ def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFr
     return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({names})")
 
 
+def persist_input(frame: DataFrame) -> tuple[DataFrame, int]:
+    """Persist a column-pruned input that several passes will read; returns
+    it with its row count (the caller unpersists it).
+
+    An input with fewer partitions than the default parallelism (a few
+    large row groups) is spread over it first, so the passes use every
+    core; a large input keeps its own partitioning.
+    """
+    try:
+        parallelism = frame.sparkSession.sparkContext.defaultParallelism
+        if frame.rdd.getNumPartitions() < parallelism:
+            frame = frame.repartition(parallelism)
+    except Exception:  # Spark Connect has no RDD view; keep the input partitioning
+        pass
+    frame.persist(StorageLevel.MEMORY_AND_DISK)
+    return frame, frame.count()
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int, width: int | None = None) -> DataFrame:
     """Hint a broadcast for a frame whose row count is known to be <= max_rows."""
     width = width if width is not None else len(df.columns)
