@@ -116,10 +116,12 @@ def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSet
     """Thresholds job + counts job of one level.
 
     Returns ``(hist, thresholds_long, threshold_rows)``.  ``hist`` is
-    hash-partitioned on ``(node_id, feature)`` and frozen with ``freeze``:
-    persisted by default (the fit loop unpersists it once the level is
-    scored), or ``reliable_checkpoint`` for results handed to a caller.
-    ``max_node_rows`` bounds the rows of any node in ``frame`` when known.
+    hash-partitioned on ``(node_id, feature)`` and passed through
+    ``freeze``: persisted by default (the caller unpersists it),
+    ``reliable_checkpoint`` for results handed to a caller, or left as is
+    when a single query reads it (the fit loop).  ``max_node_rows`` bounds
+    the rows of any node in ``frame`` when known; it picks the threshold
+    plan without a counting job.
     """
     ordinal = [f for f, k in kinds.items() if k == ORDINAL]
     rows = compute_thresholds(frame, ordinal, settings, max_nodes, max_node_rows)
