@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.features import feature_kinds
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, score_candidates, side_counts, split_order
 from ..session import maybe_broadcast, persist_input, reliable_checkpoint
@@ -61,10 +62,11 @@ def rank_columns_by_gini(df: DataFrame, label: str, features=None, settings: Tre
 
 
 def _best_of_kind(df, label, feature, kind, settings):
+    """Best split of one column of the given kind (checked from the schema,
+    no job); a categorical column that bucketing drops has no row."""
     settings = settings or TreeSettings()
-    found = prepare_frame(df.select(label, feature), label, [feature], settings)[1]
-    if found.get(feature) != kind:
-        raise ValueError(f"{feature!r} is not a {kind} column (or was dropped by bucketing)")
+    if feature_kinds(df, label, [feature]).get(feature) != kind:
+        raise ValueError(f"{feature!r} is not a {kind} column")
     return best_split_per_column(df, label, [feature], settings)
 
 
