@@ -26,6 +26,16 @@ from arborist.session import small_frame  # noqa: E402
 from arborist.sources.tables import FEATURE_SETS, read_table  # noqa: E402
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
+# The training-data operators are optional: without their subpackage all else works.
+try:
+    import corpus_pipeline  # noqa: E402
+    from arborist.llm.queries import ORACLE_SQL as LLM_SQL  # noqa: E402
+    from arborist.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("arborist.llm", "corpus_pipeline")):
+        raise
+    corpus_pipeline, LLM_QUERIES, LLM_SQL = None, {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 9
 
@@ -260,8 +270,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = {**_QUERIES, **LLM_QUERIES}
+    if corpus_pipeline is not None:
+        out["pipeline"] = corpus_pipeline.run
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE_SQL.items() if k in _QUERIES}
+    out = {k: v for k, v in ORACLE_SQL.items() if k in _QUERIES} | LLM_SQL
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
