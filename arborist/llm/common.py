@@ -95,7 +95,7 @@ def _offsets(totals: DataFrame, group: list[str], bits: int) -> DataFrame:
 
 
 def prefix_sums(df: DataFrame, group: list[str], key: str, ties: list[str], value: Column, out: str, n_rows: int,
-                rows_per_bin: int = 20_000) -> DataFrame:
+                rows_per_bin: int = 4_000) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows before, within
     ``group`` (columns without nulls), in the order of the uniform 64-bit
     hash ``key`` (unsigned), then ``ties``.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, mixing, quality, sharding, simhash, urls
+from . import decontamination, katz, language, mixing, quality, sharding, simhash, urls
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"), katz.held_out())
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,7 +49,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_sharding, op3_quality, op4_simhash, op6_decontamination, op9_url_filter, op10_mixing)
+    for f in (op1_language_id, op2_sharding, op3_quality, op4_simhash, op5_katz, op6_decontamination, op9_url_filter, op10_mixing)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
