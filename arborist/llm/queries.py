@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontamination, katz, language, mixing, quality, sharding, simhash, urls
+from . import covertree, decontamination, katz, language, mixing, pii, quality, sharding, simhash, urls
 from .common import table
 
 
@@ -39,6 +39,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.cosine_links(table(spark, sf_dir, "embeddings"))
 
@@ -53,7 +57,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_sharding, op3_quality, op4_simhash, op5_katz, op6_decontamination, op8_covertree, op9_url_filter, op10_mixing)
+    for f in (op1_language_id, op2_sharding, op3_quality, op4_simhash, op5_katz, op6_decontamination, op7_personal_data, op8_covertree, op9_url_filter, op10_mixing)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
