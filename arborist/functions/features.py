@@ -26,10 +26,12 @@ def col(name: str) -> Column:
 def kind_of(data_type: T.DataType) -> str | None:
     """``ordinal`` for integer/float columns, ``categorical`` for strings.
 
-    Any other type (boolean, decimal, dates, timestamps, nested, binary)
+    ``decimal(20,0)`` is how Spark reads unsigned 64-bit integers and is
+    ordinal (compared as double, like all numbers here).  Any other type (boolean, other decimals, dates, timestamps, nested, binary)
     has no kind and cannot be a feature.
     """
-    if isinstance(data_type, _ORDINAL_TYPES):
+    unsigned = isinstance(data_type, T.DecimalType) and (data_type.precision, data_type.scale) == (20, 0)
+    if unsigned or isinstance(data_type, _ORDINAL_TYPES):
         return ORDINAL
     if isinstance(data_type, T.StringType):
         return CATEGORICAL
@@ -43,6 +45,12 @@ def require_columns(df: DataFrame, names) -> None:
         raise ValueError(f"columns not found: {missing}; available: {df.columns}")
 
 
+def require_free_output(df: DataFrame, name: str) -> None:
+    """Refuse to overwrite a column of the input with a result."""
+    if name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the input already has a column {name!r}; choose another output_col")
+
+
 # Column names the fit adds next to the label and features.
 RESERVED_NAMES = ("node_id",)
 RESERVED_PREFIX = "__"
@@ -86,9 +94,3 @@ def feature_kinds(df: DataFrame, label: str, features=None) -> dict[str, str]:
             f"features; pass features=[...] to leave them out): {bad}"
         )
     return kinds
-
-
-def split_kinds(kinds: dict[str, str]) -> tuple[list[str], list[str]]:
-    ordinal = [f for f, k in kinds.items() if k == ORDINAL]
-    categorical = [f for f, k in kinds.items() if k == CATEGORICAL]
-    return ordinal, categorical

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.features import col, feature_kinds, require_columns
+from ..session import small_frame
 from ..settings import CATEGORICAL, FILLER_STRING, TreeSettings
 
 
@@ -69,12 +70,13 @@ def keep_lists(df: DataFrame, columns, settings: TreeSettings) -> dict[str, list
     return keep
 
 
-def droppable_columns(df: DataFrame, columns=None, settings: TreeSettings | None = None) -> list[str]:
-    """String columns without any value frequent enough to keep."""
+def droppable_columns(df: DataFrame, columns=None, settings: TreeSettings | None = None) -> DataFrame:
+    """``(column)``: string columns without any value frequent enough to keep."""
     settings = settings or TreeSettings()
     columns = string_columns(df) if columns is None else list(columns)
-    keep = keep_lists(df, columns, settings)
-    return [c for c in columns if not keep[c]]
+    schema = T.StructType([T.StructField("column", T.StringType())])
+    kept = top_categories(df, columns, settings.min_leaf_size, settings.max_cardinality).select("column").distinct()
+    return small_frame(df.sparkSession, [(c,) for c in columns], schema).join(kept, "column", "left_anti")
 
 
 def apply_keep_lists(df: DataFrame, keep: dict[str, list[str]]) -> DataFrame:
@@ -99,19 +101,23 @@ def bucket_rare_categories(df: DataFrame, settings: TreeSettings | None = None,
 
 
 def prepare_frame(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None, persist=None):
-    """Select label + features, drop NULL labels, bucket categorical features.
+    """Select label + features, bucket categorical features.
 
     Returns ``(frame, kinds, keep)``: the prepared frame (label cast to
     string), the kind of every surviving feature and the keep-lists used.
     Reference semantics bucket with default settings and also bucket a
     string label (a label without frequent values is an error there).
+    Rows without a label are dropped, or an error with ``null_label="error"``.
     ``persist``, when given, is applied to the column-pruned input before
     the keep-lists are counted, so that the raw input is read only once.
     """
     settings = settings or TreeSettings()
     kinds = feature_kinds(df, label, features)
     label_is_string = isinstance(df.schema[label].dataType, T.StringType)
-    frame = df.select(col(label), *[col(f) for f in kinds]).where(col(label).isNotNull())
+    frame = df.select(col(label), *[col(f) for f in kinds])
+    if settings.null_label == "error" and not frame.where(col(label).isNull()).isEmpty():
+        raise ValueError(f"label column {label!r} has null values")
+    frame = frame.where(col(label).isNotNull())
     if persist is not None:
         frame = persist(frame)
     to_bucket = [f for f, k in kinds.items() if k == CATEGORICAL]

@@ -13,10 +13,10 @@ the number of rows and however skewed the keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import col, require_columns
+from ..functions.features import col
 from ..session import maybe_broadcast
 from ..settings import CATEGORICAL, ORDINAL
 
@@ -31,19 +31,6 @@ def numeric_cells(frame: DataFrame, ordinal_features) -> DataFrame:
     return frame.select("node_id", F.stack(F.lit(len(ordinal_features)), *pairs).alias("feature", "value"))
 
 
-def tag_features(frame: DataFrame, label: str, kinds: dict[str, str]) -> DataFrame:
-    """Melt to ``(label, feature, kind, num_value, category)``: one row per row and feature."""
-    args = []
-    for f, k in kinds.items():
-        num = col(f).cast("double") if k == ORDINAL else F.lit(None).cast("double")
-        cat = col(f) if k == CATEGORICAL else F.lit(None).cast("string")
-        args += [F.lit(f), F.lit(k), num, cat]
-    return frame.select(
-        col(label).alias("label"),
-        F.stack(F.lit(len(kinds)), *args).alias("feature", "kind", "num_value", "category"),
-    )
-
-
 def threshold_column(feature_index: int, q_index: int) -> str:
     return f"__t{feature_index}_{q_index}"
 
@@ -68,8 +55,8 @@ def class_histogram(frame: DataFrame, label: str, kinds: dict[str, str], thresho
     ``frame`` has a ``node_id`` column and holds only the rows of the
     nodes being scored.  ``thresholds_wide`` is ``(node_id,
     __t<j>_<i> double)``: one row per node, threshold i of ordinal feature
-    j (in ``kinds`` order).  It is joined on ``node_id`` and broadcast
-    when ``max_nodes`` is small enough (it is the tree frontier).
+    j (in ``kinds`` order).  It is joined on ``node_id`` and broadcast: the
+    fit scores so many nodes at a time that it stays within the bounds.
 
     Buckets and categories are projected first and then melted with
     ``stack``; the aggregation is map-side combined.
@@ -94,24 +81,3 @@ def class_histogram(frame: DataFrame, label: str, kinds: dict[str, str], thresho
         "node_id", "label", F.stack(F.lit(len(kinds)), *args).alias("feature", "kind", "bucket", "category")
     )
     return melted.groupBy(*HIST_KEYS).agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def value_label_histogram(df: DataFrame, feature: str, label: str) -> DataFrame:
-    """Group by the pair and count: ``(value, label, cnt)`` (nulls form their own group)."""
-    require_columns(df, [feature, label])
-    return df.groupBy(col(feature).alias("value"), col(label).alias("label")).agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def label_totals_window(hist: DataFrame, keys=("feature",)) -> DataFrame:
-    """Adds ``label_total``: the count of each label over all values of the
-    group (window ``sum(cnt) over (keys, label)``), and the complement
-    ``cnt_out = label_total - cnt``.
-
-    Meant for histograms of bucketed categories, where a window partition
-    holds at most cap + 1 rows; the split scoring itself uses aggregates
-    joined back instead of this window.
-    """
-    w = Window.partitionBy(*keys, "label")
-    return hist.withColumn("label_total", F.sum("cnt").over(w)).withColumn(
-        "cnt_out", F.col("label_total") - F.col("cnt")
-    )

@@ -35,7 +35,7 @@ from ..functions.gini import SQUARE_TYPE, side_gini, square, tied_gini, weighted
 from ..session import materialize, maybe_broadcast, small_frame
 from ..settings import CATEGORICAL, FILLER_STRING, ORDINAL, TreeSettings
 from .histogram import class_histogram, numeric_cells, threshold_column
-from .thresholds import approx_quantiles, distinct_threshold_rows, exact_quantiles_cached
+from .thresholds import approx_quantiles, distinct_threshold_rows, exact_quantile_rows
 
 CANDIDATE_KEYS = ["node_id", "feature", "kind", "idx", "category"]
 
@@ -61,8 +61,7 @@ def split_order():
     ]
 
 
-def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings, max_nodes: int,
-                       max_node_rows: int | None = None) -> list:
+def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings) -> list:
     """Collect the distinct thresholds of every (node, ordinal feature).
 
     Returns rows ``(node_id, feature, idx, threshold, mult)``; at most
@@ -71,17 +70,12 @@ def compute_thresholds(frame: DataFrame, ordinal, settings: TreeSettings, max_no
     if not ordinal:
         return []
     cells = numeric_cells(frame, ordinal)
-    cached = None
     if settings.threshold_mode == "approx":
-        q = approx_quantiles(cells, settings.quantiles, settings.approx_accuracy)
+        rows = approx_quantiles(cells, settings.quantiles, settings.approx_accuracy).select(
+            "node_id", "feature", "q_index", "quantile", "threshold").collect()
     else:
-        q, cached = exact_quantiles_cached(cells, settings.quantiles, max_groups=max_nodes * len(ordinal),
-                                           max_group_rows=max_node_rows)
-    try:
-        return distinct_threshold_rows(q.collect())
-    finally:
-        if cached is not None:
-            cached.unpersist()
+        rows = exact_quantile_rows(cells, settings.quantiles)
+    return distinct_threshold_rows(rows)
 
 
 def thresholds_frames(spark: SparkSession, rows: list, ordinal, n_quantiles: int) -> tuple[DataFrame, DataFrame | None]:
@@ -105,29 +99,28 @@ def thresholds_frames(spark: SparkSession, rows: list, ordinal, n_quantiles: int
     for node_id, per in sorted(by_node.items()):
         values = []
         for f in ordinal:
-            ts = [t for _, t in sorted(per.get(f, []))]
+            ts = [t for _, t in sorted(per.get(f, []), key=lambda r: r[0])]  # idx: unique, and NaN cannot be sorted
             values += ts + [None] * (n_quantiles - len(ts))
         wide_rows.append((node_id, *values))
     return long_df, small_frame(spark, wide_rows, schema)
 
 
 def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, max_nodes: int,
-                    freeze=materialize, max_node_rows: int | None = None):
-    """Thresholds job + counts job of one level.
+                    freeze=materialize):
+    """Thresholds jobs + counts job of one level.
 
     Returns ``(hist, thresholds_long, threshold_rows)``.  ``hist`` is
-    hash-partitioned on ``(node_id, feature)`` and passed through
-    ``freeze``: persisted by default (the caller unpersists it),
-    ``reliable_checkpoint`` for results handed to a caller, or left as is
-    when a single query reads it (the fit loop).  ``max_node_rows`` bounds
-    the rows of any node in ``frame`` when known; it picks the threshold
-    plan without a counting job.
+    computed in one pass over ``frame`` and passed through ``freeze``, so
+    that its readers share that pass: persisted by default (the caller
+    unpersists it), ``reliable_checkpoint`` for results handed to a caller.
+    It does not grow with the rows.  It is partitioned on (node, feature,
+    label): neither a node nor a feature with many labels is one task.
     """
     ordinal = [f for f, k in kinds.items() if k == ORDINAL]
-    rows = compute_thresholds(frame, ordinal, settings, max_nodes, max_node_rows)
+    rows = compute_thresholds(frame, ordinal, settings)
     long_df, wide_df = thresholds_frames(frame.sparkSession, rows, ordinal, len(settings.quantiles))
     hist = class_histogram(frame, label, kinds, wide_df, len(settings.quantiles), max_nodes)
-    return freeze(hist.repartition("node_id", "feature")), long_df, rows
+    return freeze(hist.repartition("node_id", "feature", "label")), long_df, rows
 
 
 def with_label_totals(hist: DataFrame, reference: bool) -> DataFrame:
@@ -174,11 +167,12 @@ def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = F
     """All candidates of all (node, feature) groups of ``hist`` with their scores.
 
     Columns: node_id, feature, kind, selection, threshold, category,
-    n_left, n_right, gini_left, gini_right, child_gini.  When ``hist`` is
-    partitioned on (node_id, feature), as :func:`level_histogram` returns
-    it, every step below runs without another shuffle.  ``threshold_rows``
-    is the number of threshold rows (they were collected on the driver);
-    the threshold table is broadcast only when that count is known and small.
+    n_left, n_right, gini_left, gini_right, child_gini.  The sums per label
+    run inside the partitions of ``hist``, as :func:`level_histogram`
+    returns it; only partial sums per candidate move after that.
+    ``threshold_rows`` is the number of threshold rows (they were collected
+    on the driver); the threshold table is broadcast only when that count
+    is known and small.
     """
     dec = SQUARE_TYPE
     group = label_totals(hist, reference).groupBy("node_id", "feature").agg(
@@ -244,15 +238,28 @@ def _bounded(thresholds: DataFrame, rows: int | None) -> DataFrame:
 
 def side_counts(hist: DataFrame, thresholds: DataFrame, reference: bool = False,
                 threshold_rows: int | None = None) -> DataFrame:
-    """Per candidate and label: ``cnt_in`` (left) and ``cnt_out`` (right).
+    """Per candidate and label of its (node, feature): ``cnt_in`` (left) and
+    ``cnt_out`` (right).
 
-    Sparse: only (candidate, label) pairs with at least one left row;
-    a label without left rows has ``cnt_out`` equal to its total.
+    Every label of the group has a row for every candidate, also without
+    left rows: candidates (at most one per quantile or kept category) are
+    joined to the group's label totals on (node, feature).
     """
+    left = left_counts(hist, reference)
+    candidates = left.select(*CANDIDATE_KEYS).distinct()
+    totals = label_totals(hist, reference).where("base > 0")
+    keys = [F.col(f"c.{k}").eqNullSafe(F.col(f"l.{k}")) for k in (*CANDIDATE_KEYS, "label")]
+    on = keys[0]
+    for k in keys[1:]:
+        on = on & k
     return (
-        left_counts(hist, reference)
+        candidates.join(totals, ["node_id", "feature"])
+        .alias("c")
+        .join(left.select(*CANDIDATE_KEYS, "label", "l").alias("l"), on, "left")
+        .select(*[F.col(f"c.{k}").alias(k) for k in CANDIDATE_KEYS], F.col("c.label").alias("label"),
+                F.coalesce("l.l", F.lit(0)).cast("long").alias("cnt_in"), F.col("c.base").alias("base"))
         .join(_bounded(thresholds.select("node_id", "feature", "idx", "threshold"), threshold_rows),
               ["node_id", "feature", "idx"], "left")
-        .select("node_id", "feature", "kind", "threshold", "category", "label",
-                F.col("l").alias("cnt_in"), (F.col("base") - F.col("l")).alias("cnt_out"))
+        .select("node_id", "feature", "kind", "threshold", "category", "label", "cnt_in",
+                (F.col("base") - F.col("cnt_in")).alias("cnt_out"))
     )

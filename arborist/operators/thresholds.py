@@ -1,30 +1,25 @@
 """Quantile thresholds of numeric features, per (node, feature).
 
 Definition (exact mode): over the n non-null values of a group, sorted
-ascending and indexed from 0, the threshold for quantile q is the value at
-rank ``floor((n-1)*q + 0.5)`` (nearest rank, ties away from zero).
-
-Distributed plan of the exact mode, with no group ever held by one task:
-
-1. value histogram ``(node_id, feature, value, cnt)``: one aggregation,
-   map-side combined, so a value held by a third of the rows is one row;
-2. range partitioning of the histogram on ``(node_id, feature, value)``
-   (Spark samples the bounds, so the partitions are balanced even when one
-   group holds every distinct value), tagged with the partition id and
-   persisted, so both readers below see one assignment (a lost block is
-   recomputed through the same partitioner);
-3. per-partition totals (at most partitions + groups rows) and their
-   running sum per group give each partition's rank interval;
-4. each (group, quantile) rank falls into exactly one partition; only
-   those partitions are ranked locally, by a window bounded by one
-   partition, and the row whose rank interval holds the target is the
-   threshold.
-
-When every group is known to hold at most ``WINDOW_ROWS_LIMIT`` rows (the
-fit knows each node's row count, which bounds its distinct values; else
-the histogram is counted once it is materialised), the groups are ranked
-instead by one running-sum window each, which skips the sampling and the
-range shuffle.  Beyond the bound only the range plan is used.
+ascending (NaN largest) and indexed from 0, the threshold for quantile q is
+the value at rank ``floor((n-1)*q + 0.5)`` (nearest rank, ties away from
+zero).
+
+Distributed plan of the exact mode, the same at every size:
+
+1. every value is put into a cell of a fixed, order-keeping scale (about
+   3 % wide) and counted, with the cell's least and greatest value; the
+   aggregation is map-side combined, so it shuffles cells, not values;
+2. running counts over a group's cells say which cell holds each target
+   rank.  A cell with one distinct value is the answer;
+3. the others are cut into 2^20 equal parts, only their values are
+   counted again, and so on.  Each pass leaves a small share of the rows
+   and separates at least a cell's least from its greatest value.
+
+A window holds the cells of one group (at most about 10^5) or the parts
+of one cell (at most 2^20), whatever the number of rows or distinct
+values.  What reaches the driver is at most one row per node, feature and
+quantile.
 
 The approximate mode is one ``percentile_approx`` aggregation (mergeable
 sketches, partial aggregation), which is cheaper but not exact.
@@ -32,17 +27,45 @@ sketches, partial aggregation), which is cheaper but not exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialize, maybe_broadcast, reliable_checkpoint
+from ..session import batches, small_frame
 from ..settings import QUANTILES
 
 GROUP = ["node_id", "feature"]
 
-# Largest value histogram (rows) ranked by a single window per group.
-WINDOW_ROWS_LIMIT = 1_000_000
-STRATEGIES = ("auto", "range", "window")
+# Scale of the first pass: cells per unit of the natural logarithm, and an
+# offset that keeps all magnitudes of doubles above 0.
+CELLS_PER_E = 32
+MAGNITUDE_OFFSET = 24_000
+OUTER = 1 << 20  # cells of the infinities; NaN is one further
+PARTS = 1 << 20  # parts of a cell in the later passes
+
+QUANTILE_SCHEMA = T.StructType(
+    [
+        T.StructField("node_id", T.LongType()),
+        T.StructField("feature", T.StringType()),
+        T.StructField("q_index", T.IntegerType()),
+        T.StructField("quantile", T.DoubleType()),
+        T.StructField("threshold", T.DoubleType()),
+    ]
+)
+_OPEN_SCHEMA = T.StructType(
+    [
+        T.StructField("node_id", T.LongType()),
+        T.StructField("feature", T.StringType()),
+        T.StructField("cell", T.LongType()),
+        T.StructField("lo", T.DoubleType()),
+        T.StructField("hi", T.DoubleType()),
+        T.StructField("targets", T.ArrayType(T.StructType(
+            [T.StructField("q_index", T.IntegerType()), T.StructField("rank", T.LongType())]
+        ))),
+    ]
+)
 
 
 def quantile_grid(quantiles) -> F.Column:
@@ -57,106 +80,80 @@ def nearest_rank(n: F.Column, quantile: F.Column) -> F.Column:
     return F.floor((n - F.lit(1)).cast("double") * quantile + F.lit(0.5)).cast("long")
 
 
-def value_histogram(cells: DataFrame) -> DataFrame:
-    """``(node_id, feature, value, cnt)`` over non-null values."""
-    return cells.where(F.col("value").isNotNull()).groupBy(*GROUP, "value").agg(F.count(F.lit(1)).alias("cnt"))
-
+def _scale(value: F.Column) -> F.Column:
+    """Order-keeping cell of a value: equal steps of its logarithm, zero, the
+    infinities and NaN in cells of their own."""
+    size = F.floor(F.log(F.abs(value)) * CELLS_PER_E).cast("long") + MAGNITUDE_OFFSET
+    infinite = F.abs(value) == float("inf")
+    cell = F.when(F.isnan(value), OUTER + 1).when(infinite, OUTER).when(value == 0, 0).otherwise(size)
+    return F.when((value < 0) & ~F.isnan(value), -cell).otherwise(cell).cast("long")
 
-def exact_quantiles(cells: DataFrame, quantiles=QUANTILES, num_partitions: int | None = None,
-                    max_groups: int | None = None, strategy: str = "range") -> DataFrame:
-    """Exact nearest-rank thresholds ``(node_id, feature, q_index, quantile, threshold)``.
 
-    The value histogram is written to the checkpoint folder, so the
-    returned frame can be read any number of times, at any later point.
-    """
-    result, _ = exact_quantiles_cached(cells, quantiles, num_partitions, max_groups, strategy, reliable_checkpoint)
-    return result
-
-
-def exact_quantiles_cached(cells: DataFrame, quantiles=QUANTILES, num_partitions: int | None = None,
-                           max_groups: int | None = None, strategy: str = "auto", freeze=materialize,
-                           max_group_rows: int | None = None):
-    """As :func:`exact_quantiles`; the frozen histogram is returned too, so
-    that the caller can release it after collecting.
-
-    ``cells`` is ``(node_id, feature, value double)``.  ``max_groups`` is an
-    upper bound of the number of (node, feature) groups when the caller
-    knows one (the tree size); it decides whether the rank targets are
-    broadcast.  ``strategy``: ``range`` (always distributed), ``window``
-    (single window per group, only allowed within ``WINDOW_ROWS_LIMIT``) or
-    ``auto``.  ``max_group_rows`` is a known upper bound of the rows of any
-    one group (a node's row count bounds its distinct values); with it,
-    ``auto`` picks the plan without counting the histogram first.
-    """
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
-    quantiles = tuple(quantiles)
-    if strategy == "auto" and max_group_rows is not None:
-        strategy = "window_bounded" if max_group_rows <= WINDOW_ROWS_LIMIT else "range"
-    if strategy == "window_bounded":
-        return _window_ranked(value_histogram(cells), quantiles), None
-    if strategy == "range":
-        return _range_ranked(value_histogram(cells), quantiles, num_partitions, max_groups, freeze)
-    hist = freeze(value_histogram(cells))
-    if hist.count() <= WINDOW_ROWS_LIMIT:
-        return _window_ranked(hist, quantiles), hist
-    if strategy == "window":
-        raise ValueError(f"value histogram exceeds {WINDOW_ROWS_LIMIT} rows; use the range strategy")
-    result, ranged = _range_ranked(hist, quantiles, num_partitions, max_groups, freeze)
-    hist.unpersist()
-    return result, ranged
-
-
-def _targets(ranked: DataFrame, quantiles) -> DataFrame:
-    """Rows ``(..., cum, cnt, n)`` -> threshold rows whose rank interval
-    ``[cum - cnt, cum)`` holds a quantile's target rank."""
-    return (
-        ranked.select("*", F.inline(quantile_grid(quantiles)))
+def _counted(cells: DataFrame, *keys: str) -> DataFrame:
+    """Cells with their counts and extremes, and the running count of their group (all keys but the last)."""
+    counts = cells.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    )
+    group = Window.partitionBy(*keys[:-1])
+    upto = group.orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("cum", F.sum("cnt").over(upto)).withColumn("n", F.sum("cnt").over(group))
+
+
+def _same(a: float, b: float) -> bool:
+    return a == b or (math.isnan(a) and math.isnan(b))
+
+
+def exact_quantile_rows(cells: DataFrame, quantiles=QUANTILES) -> list[tuple]:
+    """Collected rows ``(node_id, feature, q_index, quantile, threshold)`` of
+    ``cells (node_id, feature, value double)``; groups without a value have
+    none."""
+    quantiles = tuple(float(q) for q in quantiles)
+    cells = cells.where(F.col("value").isNotNull())
+    spark = cells.sparkSession
+    inside = (F.col("rank") >= F.col("cum") - F.col("cnt")) & (F.col("rank") < F.col("cum"))
+    local = (F.col("rank") - (F.col("cum") - F.col("cnt"))).alias("rank")
+    found = (
+        _counted(cells.withColumn("cell", _scale(F.col("value"))), *GROUP, "cell")
+        .select("*", F.inline(quantile_grid(quantiles)))
         .withColumn("rank", nearest_rank(F.col("n"), F.col("quantile")))
-        .where((F.col("rank") >= F.col("cum") - F.col("cnt")) & (F.col("rank") < F.col("cum")))
-        .select(*GROUP, "q_index", "quantile", F.col("value").alias("threshold"))
+        .where(inside)
+        .select(*GROUP, "q_index", local, "lo", "hi")
+        .collect()
     )
+    out = []
+    while found:
+        left: dict[tuple, list] = {}
+        for r in found:
+            if _same(r["lo"], r["hi"]):
+                out.append((r["node_id"], r["feature"], r["q_index"], quantiles[r["q_index"]], r["lo"] + 0.0))
+            else:
+                left.setdefault((r["node_id"], r["feature"], r["lo"], r["hi"]), []).append((r["q_index"], r["rank"]))
+        rows = [(n, f, i, lo, hi, targets) for i, ((n, f, lo, hi), targets) in enumerate(sorted(left.items()))]
+        found = [r for batch in batches(rows, 6 * len(quantiles)) for r in _refine(spark, cells, batch, inside, local)]
+    return out
 
 
-def _window_ranked(hist: DataFrame, quantiles) -> DataFrame:
-    """Running sum per group; the caller has checked that no group exceeds
-    ``WINDOW_ROWS_LIMIT`` rows."""
-    group = Window.partitionBy(*GROUP)
-    ranked = hist.withColumn(
-        "cum", F.sum("cnt").over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("n", F.sum("cnt").over(group))
-    return _targets(ranked, quantiles)
-
-
-def _range_ranked(hist: DataFrame, quantiles, num_partitions, max_groups, freeze):
-    spark = hist.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = freeze(hist.repartitionByRange(parts, *GROUP, "value").withColumn("part", F.spark_partition_id()))
-
-    group = Window.partitionBy(*GROUP)
-    blocks = (
-        ranged.groupBy(*GROUP, "part")
-        .agg(F.sum("cnt").alias("part_n"))
-        .withColumn("hi", F.sum("part_n").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("n", F.sum("part_n").over(group))
+def _refine(spark: SparkSession, cells: DataFrame, rows: list, inside, local) -> list:
+    """One more pass over the values inside the open cells ``rows``."""
+    opened = small_frame(spark, rows, _OPEN_SCHEMA)
+    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    mine = F.broadcast(opened.select(*GROUP, "cell", "lo", "hi"))
+    parts = (
+        cells.join(mine, GROUP)
+        .where((value >= lo) & (value <= hi))
+        .withColumn("part", F.floor((value - lo) / (hi - lo) * PARTS).cast("long"))
+        .select("cell", "part", "value")
     )
-    targets = (
-        blocks.select("*", F.inline(quantile_grid(quantiles)))
-        .withColumn("rank", nearest_rank(F.col("n"), F.col("quantile")))
-        .where((F.col("rank") >= F.col("hi") - F.col("part_n")) & (F.col("rank") < F.col("hi")))
-        .select(*GROUP, "part", "q_index", "quantile", (F.col("rank") - (F.col("hi") - F.col("part_n"))).alias("local_rank"))
-    )
-    bound = max_groups * len(quantiles) if max_groups is not None else None
-    small = (lambda df: maybe_broadcast(df, bound)) if bound is not None else (lambda df: df)
+    targets = F.broadcast(opened.select(*GROUP, "cell", F.inline("targets")))
+    return _counted(parts, "cell", "part").join(targets, "cell").where(inside).select(
+        *GROUP, "q_index", local, "lo", "hi"
+    ).collect()
 
-    local = ranged.join(small(targets.select(*GROUP, "part").distinct()), [*GROUP, "part"], "left_semi")
-    in_part = Window.partitionBy(*GROUP, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    local = local.withColumn("cum", F.sum("cnt").over(in_part))
-    return (
-        local.join(small(targets), [*GROUP, "part"])
-        .where((F.col("local_rank") >= F.col("cum") - F.col("cnt")) & (F.col("local_rank") < F.col("cum")))
-        .select(*GROUP, "q_index", "quantile", F.col("value").alias("threshold"))
-    ), ranged
+
+def exact_quantiles(cells: DataFrame, quantiles=QUANTILES) -> DataFrame:
+    """Exact nearest-rank thresholds ``(node_id, feature, q_index, quantile,
+    threshold)``: a tree-sized frame, computed when this is called."""
+    return small_frame(cells.sparkSession, exact_quantile_rows(cells, quantiles), QUANTILE_SCHEMA)
 
 
 def approx_quantiles(cells: DataFrame, quantiles=QUANTILES, accuracy: int = 10000) -> DataFrame:
@@ -174,19 +171,20 @@ def approx_quantiles(cells: DataFrame, quantiles=QUANTILES, accuracy: int = 1000
 
 def distinct_threshold_rows(rows) -> list[tuple]:
     """Distinct thresholds per (node, feature) with their quantile
-    multiplicity and 1-based position, from collected rows
-    ``(node_id, feature, q_index, quantile, threshold)`` (tree-sized).
+    multiplicity and 1-based position, from collected rows ``(node_id,
+    feature, q_index, quantile, threshold)`` (tree-sized, in any order).
 
     Returns ``(node_id, feature, idx, threshold, mult)``; ``idx`` is the
     bucket a value reaches when it is ``>=`` this threshold and below the
-    next one.
+    next one.  As in Spark, NaN equals itself and is the largest value.
     """
-    mult: dict[tuple, dict[float, int]] = {}
-    for r in rows:
-        per = mult.setdefault((r["node_id"], r["feature"]), {})
-        per[r["threshold"]] = per.get(r["threshold"], 0) + 1
+    mult: dict[tuple, dict[tuple, int]] = {}
+    for node_id, feature, _, _, t in rows:
+        key = (1, 0.0) if math.isnan(t) else (0, t + 0.0)
+        per = mult.setdefault((node_id, feature), {})
+        per[key] = per.get(key, 0) + 1
     out = []
     for (node_id, feature), per in sorted(mult.items()):
-        for idx, t in enumerate(sorted(per), start=1):
-            out.append((node_id, feature, idx, t, per[t]))
+        for idx, key in enumerate(sorted(per), start=1):
+            out.append((node_id, feature, idx, math.nan if key[0] else key[1], per[key]))
     return out

@@ -26,21 +26,20 @@ def root_histogram(df: DataFrame, label: str, features=None, settings: TreeSetti
     returned (lazy) frames read.
     """
     settings = settings or TreeSettings()
-    held: dict = {}
+    held: list = []
 
     def persist(selected: DataFrame) -> DataFrame:
-        held["frame"], held["rows"] = persist_input(selected)
-        return held["frame"]
+        held.append(persist_input(selected))
+        return held[0]
 
     try:
         frame, kinds, _ = prepare_frame(df, label, features, settings, persist if settings.persist_input else None)
         frame = frame.withColumn("node_id", F.lit(1).cast("long"))
-        hist, thresholds, rows = level_histogram(frame, label, kinds, settings, max_nodes=1,
-                                                 freeze=reliable_checkpoint, max_node_rows=held.get("rows"))
+        hist, thresholds, rows = level_histogram(frame, label, kinds, settings, max_nodes=1, freeze=reliable_checkpoint)
     finally:
         # Everything returned reads the checkpointed histogram, not the input.
-        if "frame" in held:
-            held["frame"].unpersist()
+        for frame in held:
+            frame.unpersist()
     return hist, maybe_broadcast(thresholds, len(rows)), kinds
 
 

@@ -3,11 +3,12 @@
 Small trees route with one nested ``CASE WHEN`` expression (one test per
 level per row, inside whole-stage codegen).  Its size grows with the
 number of split nodes, so a tree with more than
-``EXPRESSION_MAX_SPLITS`` splits routes instead with one join per level:
-the split table (node id -> feature, test, children; bounded by the tree
-size and broadcast behind that bound) is joined on the row's current
-node, and a ``CASE`` over the *features* (not the nodes) applies the test.
-Both forms are map-only: no shuffle of the scored table.
+``EXPRESSION_MAX_SPLITS`` splits routes instead level by level: the splits
+of one depth (node id -> feature, test, children) are joined on the row's
+current node, and a ``CASE`` over the *features* (not the nodes) applies
+the test.  A depth with many splits is joined in batches that always fit a
+broadcast, so both forms are map-only: the scored table is never shuffled
+on a node id, whatever the size of the tree.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.features import col
-from ..functions.predicates import route
-from ..session import maybe_broadcast, small_frame
+from ..functions.predicates import route, split_predicate
+from ..session import batches, small_frame
 from ..settings import ORDINAL
 
 EXPRESSION_MAX_SPLITS = 128
@@ -51,15 +52,12 @@ def assign_leaves(df: DataFrame, nodes: dict, reference: bool, output_col: str =
     each row ends (NULL when reference routing loses the row)."""
     if not use_joins(nodes, joins):
         return df.withColumn(output_col, route(nodes, lambda n: F.lit(n.node_id).cast("long"), reference))
-    splits = _splits(nodes)
+    splits = sorted(_splits(nodes), key=lambda n: (n.depth, n.node_id))
+    if not splits:
+        return df.withColumn(output_col, F.lit(1).cast("long"))
     features = sorted({n.feature for n in splits})
     index = {f: i for i, f in enumerate(features)}
     kinds = {n.feature: n.kind for n in splits}
-    rows = [
-        (n.node_id, index[n.feature], n.kind == ORDINAL, n.threshold, n.category, n.left_id, n.right_id)
-        for n in sorted(splits, key=lambda n: n.node_id)
-    ]
-    table = maybe_broadcast(small_frame(df.sparkSession, rows, _SPLIT_SCHEMA), len(rows))
     f_idx = F.col("__arb_feature")
     num = F.lit(None).cast("double")
     cat = F.lit(None).cast("string")
@@ -76,13 +74,25 @@ def assign_leaves(df: DataFrame, nodes: dict, reference: bool, output_col: str =
     moved = moved.when(test, F.col("__arb_left"))
     moved = moved.when(~test, F.col("__arb_right")) if reference else moved.otherwise(F.col("__arb_right"))
 
-    out = df.withColumn(output_col, F.lit(1).cast("long"))
-    for _ in range(max(n.depth for n in splits) + 1):
-        out = (
-            out.join(table, current == F.col("__arb_node"), "left")
-            .withColumn(output_col, moved)
-            .drop(*_SPLIT_SCHEMA.fieldNames())
-        )
+    # Every row starts at the root: its split needs no join.
+    root = splits[0]
+    first = split_predicate(root.feature, root.kind, root.threshold, root.category, reference)
+    at = F.when(first, F.lit(root.left_id))
+    at = at.when(~first, F.lit(root.right_id)) if reference else at.otherwise(F.lit(root.right_id))
+    out = df.withColumn(output_col, at.cast("long"))
+    for depth in range(1, splits[-1].depth + 1):
+        rows = [
+            (n.node_id, index[n.feature], n.kind == ORDINAL, n.threshold, n.category, n.left_id, n.right_id)
+            for n in splits if n.depth == depth
+        ]
+        # A row moved by one batch is at a child, which no other batch of this depth has.
+        for batch in batches(rows, len(_SPLIT_SCHEMA)):
+            table = F.broadcast(small_frame(df.sparkSession, batch, _SPLIT_SCHEMA))
+            out = (
+                out.join(table, current == F.col("__arb_node"), "left")
+                .withColumn(output_col, moved)
+                .drop(*_SPLIT_SCHEMA.fieldNames())
+            )
     return out
 
 
@@ -94,13 +104,16 @@ def assign_labels(df: DataFrame, nodes: dict, reference: bool, output_col: str,
         if reference:
             df = df.where(route(nodes, lambda n: F.lit(n.node_id).cast("long"), reference).isNotNull())
         return df.withColumn(output_col, route(nodes, lambda n: F.lit(n.label).cast("string"), reference))
-    leaves = [(n.node_id, n.label) for n in nodes.values() if not n.is_split]
-    table = maybe_broadcast(small_frame(df.sparkSession, leaves, _LEAF_SCHEMA), len(leaves))
+    leaves = sorted((n.node_id, n.label) for n in nodes.values() if not n.is_split)
     routed = assign_leaves(df, nodes, reference, "__arb_at", joins=True)
     if reference:
         routed = routed.where(F.col("__arb_at").isNotNull())
-    return (
-        routed.join(table, F.col("__arb_at") == F.col("__arb_leaf"), "left")
-        .withColumn(output_col, F.col("__arb_label"))
-        .drop("__arb_at", "__arb_leaf", "__arb_label")
-    )
+    routed = routed.withColumn(output_col, F.lit(None).cast("string"))
+    for batch in batches(leaves, len(_LEAF_SCHEMA)):
+        table = F.broadcast(small_frame(df.sparkSession, batch, _LEAF_SCHEMA))
+        routed = (
+            routed.join(table, F.col("__arb_at") == F.col("__arb_leaf"), "left")
+            .withColumn(output_col, F.coalesce("__arb_label", output_col))
+            .drop("__arb_leaf", "__arb_label")
+        )
+    return routed.drop("__arb_at")

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.features import col
+from ..functions.features import col, require_free_output
 from ..functions.predicates import split_predicate
-from ..session import maybe_broadcast, small_frame
+from ..session import small_frame
 from .tree import TreeModel
 
 
@@ -19,6 +19,7 @@ def split_left_right(model: TreeModel, df: DataFrame, node_id: int = 1, output_c
     ``'left'`` or ``'right'``; filter on it for the two frames.  Reference
     semantics drop rows whose test is NULL (they go to neither side).
     """
+    require_free_output(df, output_col)
     node = model.nodes[node_id]
     if not node.is_split:
         raise ValueError(f"node {node_id} is a leaf")
@@ -29,28 +30,28 @@ def split_left_right(model: TreeModel, df: DataFrame, node_id: int = 1, output_c
     return df.withColumn(output_col, F.when(p, F.lit("left")).otherwise(F.lit("right")))
 
 
-def leaf_rule_stats(model: TreeModel, df: DataFrame) -> DataFrame:
-    """Per leaf: its path rule, label, rows reaching it and rows it labels correctly.
+_LEAF_SCHEMA = T.StructType(
+    [T.StructField("node_id", T.LongType()), T.StructField("label", T.StringType()), T.StructField("rule", T.StringType())]
+)
 
-    Rows are routed map-side and counted per (leaf, actual label); the
-    leaf table joined for label and rule is bounded by the tree size and
-    broadcast.
-    """
+
+def leaf_label_mix(model: TreeModel, df: DataFrame) -> DataFrame:
+    """``(node_id, actual, cnt)``: how many rows of each actual label reach a
+    leaf.  Rows are routed map-side and counted with map-side combine."""
     routed = model.leaf_assignment(df, "__arb_leaf_id").select(
         F.col("__arb_leaf_id").alias("node_id"), col(model.label).cast("string").alias("actual")
     )
-    counts = routed.groupBy("node_id", "actual").agg(F.count(F.lit(1)).alias("cnt"))
-    leaves = model.leaves()
-    schema = T.StructType(
-        [T.StructField("node_id", T.LongType()), T.StructField("label", T.StringType()), T.StructField("rule", T.StringType())]
-    )
-    table = small_frame(df.sparkSession, [(n.node_id, n.label, n.rule) for n in leaves], schema)
+    return routed.groupBy("node_id", "actual").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def leaf_rule_stats(model: TreeModel, df: DataFrame) -> DataFrame:
+    """Per leaf: its path rule, label, rows reaching it and rows it labels
+    correctly.  A leaf that no row reaches is listed with 0 rows."""
+    table = small_frame(df.sparkSession, [(n.node_id, n.label, n.rule) for n in model.leaves()], _LEAF_SCHEMA)
+    hit = F.when(F.col("actual") == F.col("label"), F.col("cnt")).otherwise(F.lit(0))
     return (
-        counts.join(maybe_broadcast(table, len(leaves)), "node_id")
+        table.join(leaf_label_mix(model, df), "node_id", "left")
         .groupBy("node_id", "rule", "label")
-        .agg(
-            F.sum("cnt").alias("n_rows"),
-            F.sum(F.when(F.col("actual") == F.col("label"), F.col("cnt")).otherwise(F.lit(0))).alias("n_correct"),
-        )
+        .agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n_rows"), F.sum(F.coalesce(hit, F.lit(0))).alias("n_correct"))
         .select("node_id", "rule", "label", "n_rows", "n_correct")
     )

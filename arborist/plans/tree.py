@@ -7,16 +7,19 @@ every open node of the level in the same Spark jobs:
 
 1. ``node_id`` of every row = the routing of ``routing.assign_leaves``
    over the raw columns (map-only); rows of closed nodes are dropped;
-2. thresholds job: exact nearest-rank quantiles per (node, numeric
-   feature), collected (bounded by nodes x features x quantiles);
-3. counts + scoring, one query: bucket numbers / categories melted and
-   counted per (node, feature, key, label), map-side combined, then
-   scored; the best split and the label mix of every node are collected
-   (one row per node);
+2. thresholds: exact nearest-rank quantiles per (node, numeric feature),
+   usually two passes that shuffle cell counts, collected (bounded by
+   nodes x features x quantiles);
+3. counts: bucket numbers / categories melted and counted per (node,
+   feature, key, label) in one pass, map-side combined and persisted;
+   scored from there, one row per node is collected;
 4. children are appended on the driver; a child is closed when it reaches
    the maximum depth or its side of the split is smaller than the minimum
    leaf size.
 
+A level with many open nodes runs in batches, so that what is broadcast
+or collected at once stays within fixed bounds.
+
 After the last level one aggregation labels every leaf with its most
 frequent label (ties: smaller label).  Only tree-sized data ever reaches
 the driver.
@@ -24,17 +27,18 @@ the driver.
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.features import col
-from ..functions.predicates import route, rule_text
+from ..functions.features import require_free_output
+from ..functions.predicates import rule_text
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
-from ..session import maybe_broadcast, persist_input, small_frame
+from ..operators.labels import majority_label
+from ..session import batches, persist_input, small_frame
 from ..settings import TreeSettings
 from .routing import assign_labels, assign_leaves
 
@@ -91,14 +95,6 @@ class Node:
         return 2 * self.node_id + 1
 
 
-def _node_id(node: Node):
-    return F.lit(node.node_id).cast("long")
-
-
-def _label(node: Node):
-    return F.lit(node.label).cast("string")
-
-
 class TreeModel:
     """A fitted tree: node table + routing expressions."""
 
@@ -115,15 +111,9 @@ class TreeModel:
     def leaves(self) -> list[Node]:
         return [n for n in self.nodes.values() if not n.is_split]
 
-    def node_id_column(self):
-        """Id of the leaf a row reaches, as one expression (small trees)."""
-        return route(self.nodes, _node_id, self.reference)
-
-    def label_column(self):
-        return route(self.nodes, _label, self.reference)
-
     def leaf_assignment(self, df: DataFrame, output_col: str = "node_id", joins: bool | None = None) -> DataFrame:
         """Add the id of the leaf each row reaches (map-only; see ``routing``)."""
+        require_free_output(df, output_col)
         out = assign_leaves(df, self.nodes, self.reference, output_col, joins)
         return out.where(F.col(output_col).isNotNull()) if self.reference else out
 
@@ -133,6 +123,7 @@ class TreeModel:
         Works unchanged on a streaming DataFrame.  Reference semantics drop
         rows whose split value is NULL (they reach no leaf).
         """
+        require_free_output(df, output_col)
         return assign_labels(df, self.nodes, self.reference, output_col, joins)
 
     def node_rows(self) -> list[tuple]:
@@ -150,14 +141,6 @@ class TreeModel:
     def node_table(self, spark: SparkSession) -> DataFrame:
         return small_frame(spark, self.node_rows(), NODE_SCHEMA)
 
-    def to_dict(self) -> dict:
-        return {
-            "label": self.label,
-            "kinds": self.kinds,
-            "settings": asdict(self.settings),
-            "nodes": [asdict(n) for n in sorted(self.nodes.values(), key=lambda n: n.node_id)],
-        }
-
     def __repr__(self) -> str:
         lines = []
         for n in sorted(self.nodes.values(), key=lambda n: (n.depth, n.node_id)):
@@ -186,97 +169,76 @@ def _split(node: Node, best, settings: TreeSettings, nodes: dict) -> list[int]:
 def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None) -> TreeModel:
     """Fit a tree predicting ``label`` from ``features`` (default: all other columns)."""
     settings = settings or TreeSettings()
-    held: dict = {}
+    held: list = []
 
     def persist(selected: DataFrame) -> DataFrame:
-        held["frame"], held["rows"] = persist_input(selected)
-        return held["frame"]
+        held.append(persist_input(selected))
+        return held[0]
 
     try:
         frame, kinds, _ = prepare_frame(df, label, features, settings, persist if settings.persist_input else None)
-        model = _grow(frame, label, kinds, settings, held.get("rows"))
+        model = _grow(frame, label, kinds, settings)
         _label_leaves(model, frame)
     finally:
-        if "frame" in held:
-            held["frame"].unpersist()
+        for frame in held:
+            frame.unpersist()
     return model
 
 
-def _as_is(df: DataFrame) -> DataFrame:
-    return df
+# Nodes of a level that are worked on together, at most (an IN list of their ids).
+BATCH_NODES = 1024
 
 
-def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, n_rows: int | None) -> TreeModel:
-    nodes: dict[int, Node] = {1: Node(1, 0, closed=settings.max_depth == 0, n_rows=n_rows)}
+def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) -> TreeModel:
+    nodes: dict[int, Node] = {1: Node(1, 0, closed=settings.max_depth == 0)}
     frontier = [] if nodes[1].closed or not kinds else [1]
-    first_feature = next(iter(kinds), None)
-
+    # Threshold columns of a node: what a batch broadcasts and collects per node.
+    width = 1 + len(kinds) * len(settings.quantiles)
     while frontier:
-        routed = _open_rows(assign_leaves(frame, nodes, settings.reference, "node_id"), frontier)
-        # The histogram is read by the single query below (stats and best
-        # split in one collect), whose two branches share its exchange.
-        # A node has at most as many rows as its parent: that bounds the
-        # distinct values of every (node, feature) group of this level.
-        bounds = [nodes[n].n_rows if n == 1 else nodes[n // 2].n_rows for n in frontier]
-        max_node_rows = None if any(b is None for b in bounds) else max(bounds)
-        hist, thresholds, rows = level_histogram(routed, label, kinds, settings, max_nodes=len(frontier),
-                                                 freeze=_as_is, max_node_rows=max_node_rows)
-        scored = score_candidates(hist, thresholds, settings.reference, len(rows)).where(
-            F.col("child_gini").isNotNull()
-        )
-        stats = (
-            node_label_counts(hist, first_feature)
-            .groupBy("node_id")
-            .agg(F.count(F.lit(1)).alias("n_labels"), F.sum("cnt").alias("n_rows"))
-        )
-        # One collect per level: node statistics with the node's best split, if any.
-        # Best per (node, feature) runs inside the histogram's partitions; only
-        # those winners (<= nodes x features rows) move for the best per node.
-        best_split = best_per(best_per(scored, ["node_id", "feature"]), ["node_id"])
-        found = stats.join(best_split, "node_id", "left").collect()
-        stats = {r["node_id"]: r for r in found}
-        best = {r["node_id"]: r for r in found if r["feature"] is not None}
+        routed = assign_leaves(frame, nodes, settings.reference, "node_id")
+        found: dict = {}
+        for run in batches(frontier, width):
+            for i in range(0, len(run), BATCH_NODES):
+                found |= _best_splits(routed, run[i : i + BATCH_NODES], label, kinds, settings)
         next_frontier = []
         for node_id in frontier:
-            node = nodes[node_id]
-            if node_id in stats:
-                node.n_rows = stats[node_id]["n_rows"]
-            pure = stats.get(node_id) is not None and stats[node_id]["n_labels"] <= 1
-            if node_id not in best or (pure and not settings.reference):
+            node, best = nodes[node_id], found.get(node_id)
+            if best is not None:
+                node.n_rows = best["n_rows"]
+            pure = best is not None and best["n_labels"] <= 1
+            if best is None or best["feature"] is None or (pure and not settings.reference):
                 node.closed = True
                 continue
-            next_frontier.extend(_split(node, best[node_id], settings, nodes))
+            next_frontier.extend(_split(node, best, settings, nodes))
         frontier = next_frontier
-
     return TreeModel(nodes, label, kinds, settings)
 
 
-# Open nodes up to this many are tested with an IN list; more with a semi join.
-IN_LIST_NODES = 1024
-_FRONTIER_SCHEMA = T.StructType([T.StructField("node_id", T.LongType())])
-
-
-def _open_rows(routed: DataFrame, frontier: list[int]) -> DataFrame:
-    if len(frontier) <= IN_LIST_NODES:
-        return routed.where(F.col("node_id").isin(frontier))
-    ids = small_frame(routed.sparkSession, [(n,) for n in frontier], _FRONTIER_SCHEMA)
-    return routed.join(maybe_broadcast(ids, len(frontier)), "node_id", "left_semi")
+def _best_splits(routed: DataFrame, node_ids: list[int], label: str, kinds: dict, settings: TreeSettings) -> dict:
+    """Statistics and best split, if any, of a batch of nodes: one row each
+    reaches the driver.  The histogram is one pass over the nodes' rows and
+    persisted for its readers."""
+    mine = routed.where(F.col("node_id").isin(node_ids))
+    hist, thresholds, rows = level_histogram(mine, label, kinds, settings, max_nodes=len(node_ids))
+    try:
+        scored = score_candidates(hist, thresholds, settings.reference, len(rows)).where(F.col("child_gini").isNotNull())
+        stats = (
+            node_label_counts(hist, next(iter(kinds)))
+            .groupBy("node_id")
+            .agg(F.count(F.lit(1)).alias("n_labels"), F.sum("cnt").alias("n_rows"))
+        )
+        best = best_per(best_per(scored, ["node_id", "feature"]), ["node_id"])
+        return {r["node_id"]: r for r in stats.join(best, "node_id", "left").collect()}
+    finally:
+        hist.unpersist()
 
 
 def _label_leaves(model: TreeModel, frame: DataFrame) -> None:
-    """One aggregation labels every leaf and counts every node's rows."""
-    counts = (
-        assign_leaves(frame, model.nodes, model.reference, "node_id")
-        .select("node_id", col(model.label).alias("label"))
-        .where(F.col("node_id").isNotNull())
-        .groupBy("node_id", "label")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    per_leaf = counts.groupBy("node_id").agg(
-        F.sum("cnt").alias("n_rows"),
-        F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("label").alias("label"))).alias("top"),
-    )
-    found = {r["node_id"]: (r["n_rows"], r["top"]["label"]) for r in per_leaf.collect()}
+    """One aggregation labels every leaf and counts every node's rows; its
+    rows, one per leaf, reach the driver a partition at a time."""
+    routed = assign_leaves(frame, model.nodes, model.reference, "node_id").where(F.col("node_id").isNotNull())
+    per_leaf = majority_label(routed, ["node_id"], model.label)
+    found = {r["node_id"]: (r["n_rows"], r["label"]) for r in per_leaf.toLocalIterator()}
     for leaf in model.leaves():
         leaf.n_rows, leaf.label = found.get(leaf.node_id, (0, None))
     # Inner nodes: sum of their children, bottom-up.

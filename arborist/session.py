@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import math
-import tempfile
-
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.utils import is_remote
 
 # A side is broadcast only when its size is proven to be at most this many
-# rows and this many cells (rows x columns).  Every broadcast in the package
-# is of a frame bounded by the tree size (nodes x features x quantiles);
-# beyond the bound the plain (shuffle) join is used.
+# rows and this many cells (rows x columns).  Every broadcast of the fit and
+# of routing is of a part of the tree cut to these bounds: larger trees are
+# worked through in batches, never by a shuffle on a node id.
 BROADCAST_ROW_LIMIT = 1 << 16
 BROADCAST_CELL_LIMIT = 1 << 22
 
@@ -22,30 +22,28 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by the session.
 
     ``spark.checkpoint.dir`` (or an earlier ``setCheckpointDir``) is used as
-    is.  Only a local-mode session without one gets a fresh scratch folder;
-    a cluster session without a shared folder is an error, because a
-    machine-local folder would not survive the loss of an executor.  A
-    Spark Connect session has no driver context here: its server's setting
-    applies, and ``None`` is returned.
+    is.  Only a local-mode session without one gets a folder in its
+    warehouse; a cluster session without a shared folder is an error,
+    because a machine-local folder would not survive the loss of an
+    executor.  A Spark Connect session has no driver context here: its
+    server's setting applies, and ``None`` is returned.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server owns the checkpoint folder
+    if is_remote():
         return None
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="arborist-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set; point it at a folder shared by the cluster "
-        "(HDFS, S3, ...) before fitting"
-    )
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at a folder shared by the cluster "
+                "(HDFS, S3, ...) before fitting"
+            )
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_arborist_checkpoints"
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
@@ -75,61 +73,30 @@ def materialize(df: DataFrame) -> DataFrame:
     return df
 
 
-# Tree-sized frames up to this many rows are built as one SQL ``VALUES``
-# relation on the JVM (no Python worker reads them); larger ones use
-# createDataFrame.
-LITERAL_FRAME_ROWS = 4096
+def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """DataFrame of tree-sized driver-side rows (thresholds, node table).
+
+    The rows travel as one Arrow table: values are never part of a SQL
+    text, so whatever a category or label holds arrives as it is.
+    """
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    arrays = [pa.array(c, f.type, from_pandas=False) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
-def _sql_literal(value, data_type: T.DataType) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(data_type, T.BooleanType):
-        return "TRUE" if value else "FALSE"
-    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return str(int(value))
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        v = float(value)
-        if math.isnan(v) or math.isinf(v):
-            text = "NaN" if math.isnan(v) else ("Infinity" if v > 0 else "-Infinity")
-            return f"CAST('{text}' AS DOUBLE)"
-        return repr(v) + "D"  # shortest round-trip text, parsed back to the same double
-    if isinstance(data_type, T.StringType):
-        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    raise TypeError(f"no literal form for {data_type.simpleString()}")
+def persist_input(frame: DataFrame) -> DataFrame:
+    """Persist a column-pruned input that several passes will read (the
+    caller unpersists it).  It keeps its partitioning and is computed by
+    the first job that reads it."""
+    return frame.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
-    """DataFrame of a few driver-side rows (thresholds, node table)."""
-    if not rows or len(rows) > LITERAL_FRAME_ROWS:
-        return spark.createDataFrame(rows, schema)
-    fields = schema.fields
-    values = ", ".join(
-        "(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(row, fields)) + ")" for row in rows
-    )
-    names = ", ".join(f"c{i}" for i in range(len(fields)))
-    select = ", ".join(
-        f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name.replace('`', '``')}`" for i, f in enumerate(fields)
-    )
-    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({names})")
-
-
-def persist_input(frame: DataFrame) -> tuple[DataFrame, int]:
-    """Persist a column-pruned input that several passes will read; returns
-    it with its row count (the caller unpersists it).
-
-    An input with fewer partitions than the default parallelism (a few
-    large row groups) is spread over it first, so the passes use every
-    core; a large input keeps its own partitioning.
-    """
-    try:
-        parallelism = frame.sparkSession.sparkContext.defaultParallelism
-        if frame.rdd.getNumPartitions() < parallelism:
-            frame = frame.repartition(parallelism)
-    except Exception:  # Spark Connect has no RDD view; keep the input partitioning
-        pass
-    frame.persist(StorageLevel.MEMORY_AND_DISK)
-    return frame, frame.count()
+def batches(items: list, width: int) -> list[list]:
+    """``items`` in runs whose frames of ``width`` columns stay within the
+    broadcast bounds."""
+    size = max(1, min(BROADCAST_ROW_LIMIT, BROADCAST_CELL_LIMIT // max(1, width)))
+    return [items[i : i + size] for i in range(0, len(items), size)]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int, width: int | None = None) -> DataFrame:

@@ -20,11 +20,13 @@ FILLER_STRING = "FILLER_STRING"
 ORDINAL = "ordinal"
 CATEGORICAL = "categorical"
 
-# Heap node ids (root 1, children 2i and 2i+1) must fit in a signed long.
+# Heap node ids (root 1, children 2i and 2i+1) must fit in a signed long;
+# deeper trees are refused, not cut.
 MAX_SUPPORTED_DEPTH = 62
 
 SEMANTICS = ("consistent", "reference")
 THRESHOLD_MODES = ("exact", "approx")
+NULL_LABELS = ("drop", "error")
 
 
 @dataclass(frozen=True)
@@ -47,6 +49,9 @@ class TreeSettings:
     semantics: str = "consistent"
     threshold_mode: str = "exact"
     approx_accuracy: int = 10000
+    # Rows without a label teach nothing: ``drop`` leaves them out, ``error``
+    # refuses an input that has any.
+    null_label: str = "drop"
     # Persist the prepared (bucketed, column-pruned) input for the duration
     # of a fit: every level reads it twice.  MEMORY_AND_DISK, released after.
     persist_input: bool = True
@@ -64,6 +69,8 @@ class TreeSettings:
             raise ValueError(f"semantics must be one of {SEMANTICS}, got {self.semantics!r}")
         if self.threshold_mode not in THRESHOLD_MODES:
             raise ValueError(f"threshold_mode must be one of {THRESHOLD_MODES}, got {self.threshold_mode!r}")
+        if self.null_label not in NULL_LABELS:
+            raise ValueError(f"null_label must be one of {NULL_LABELS}, got {self.null_label!r}")
         object.__setattr__(self, "quantiles", tuple(float(q) for q in self.quantiles))
 
     @property

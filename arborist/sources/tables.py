@@ -44,14 +44,10 @@ def _orders(spark, sf_dir):
 
 
 def _lineitem(spark, sf_dir):
-    # l_discount = 0 is turned into NULL so that the null paths are exercised
-    # on the supplied tables (they hold no NULL themselves).
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("l_key"),
-        "l_returnflag", "l_quantity", "l_linenumber",
-        F.when(F.col("l_discount") != 0.0, F.col("l_discount")).alias("l_discount"),
-        "l_tax", "l_extendedprice", "l_linestatus",
+        "l_returnflag", "l_quantity", "l_linenumber", "l_discount", "l_tax", "l_extendedprice", "l_linestatus",
     )
 
 
