@@ -14,15 +14,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from arborist import TreeSettings, fit  # noqa: E402
 from arborist.operators import bucketing, histogram, thresholds  # noqa: E402
+from arborist.operators.labels import majority_label  # noqa: E402
+from arborist.operators.splits import with_label_totals  # noqa: E402
 from arborist.plans import columns  # noqa: E402
-from arborist.plans.scoring import leaf_rule_stats, split_left_right  # noqa: E402
-from arborist.session import small_frame  # noqa: E402
+from arborist.plans.scoring import leaf_label_mix, leaf_rule_stats, split_left_right  # noqa: E402
 from arborist.sources.tables import FEATURE_SETS, read_table  # noqa: E402
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
@@ -45,8 +45,19 @@ def _r(name: str):
 
 
 def _load(spark: SparkSession, sf_dir: str, name: str):
+    """Feature set and its rows.  The supplied tables hold no NULL: here a
+    discount of 0 becomes one, so that queries meet them."""
     fs = FEATURE_SETS[name]
-    return fs, fs.load(spark, sf_dir)
+    df = fs.load(spark, sf_dir)
+    if name == "lineitem":
+        df = df.withColumn("l_discount", F.when(F.col("l_discount") != 0.0, F.col("l_discount")))
+    return fs, df
+
+
+def _lineitem_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem with NaN for a discount of up to 0.04 (about half the rows)."""
+    nan = F.when(F.col("l_discount") <= 0.04, F.lit(float("nan"))).otherwise(F.col("l_discount"))
+    return FEATURE_SETS["lineitem"].load(spark, sf_dir).withColumn("l_discount", nan)
 
 
 def _ranked(spark, sf_dir, name, settings=None):
@@ -69,10 +80,7 @@ def q_top_categories(spark, sf_dir):
 
 def q_droppable_columns(spark, sf_dir):
     customer = read_table(spark, sf_dir, "customer")
-    names = ["c_name", "c_mktsegment"]
-    kept = bucketing.top_categories(customer, names, 32, 6).select("column").distinct()
-    names_df = small_frame(spark, [(n,) for n in names], T.StructType([T.StructField("column", T.StringType())]))
-    return names_df.join(kept, "column", "left_anti")
+    return bucketing.droppable_columns(customer, ["c_name", "c_mktsegment"], TreeSettings())
 
 
 def q_bucket_rare_categories(spark, sf_dir):
@@ -104,17 +112,13 @@ def q_nearest_rank_quantiles(spark, sf_dir):
 def q_label_totals_window(spark, sf_dir):
     fs, df = _load(spark, sf_dir, "lineitem")
     hist, _, _ = columns.root_histogram(df, fs.label, ["l_linestatus"])
-    return histogram.label_totals_window(hist.select("feature", "category", "label", "cnt"))
+    out = with_label_totals(hist, reference=False)
+    return out.select("node_id", "feature", "category", "label", "cnt", F.col("base").alias("label_total"),
+                      (F.col("base") - F.col("cnt")).alias("cnt_out"))
 
 
 def q_majority_label(spark, sf_dir):
-    orders = read_table(spark, sf_dir, "orders")
-    counts = orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("cnt"))
-    top = counts.groupBy("o_orderpriority").agg(
-        F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("o_orderstatus").alias("label"))).alias("top"),
-        F.sum("cnt").alias("n_rows"),
-    )
-    return top.select("o_orderpriority", F.col("top.label").alias("label"), (-F.col("top.neg")).alias("cnt"), "n_rows")
+    return majority_label(read_table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderstatus")
 
 
 # --- candidates and scores -----------------------------------------------------
@@ -131,6 +135,37 @@ def q_ordinal_in_out_counts(spark, sf_dir):
     return out.select("feature", "threshold", "label", "cnt_in", "cnt_out")
 
 
+def q_sparse_in_out_counts(spark, sf_dir):
+    """Label lang against a copy of itself: most labels have no left row."""
+    docs = read_table(spark, sf_dir, "documents").withColumn("same", F.col("lang"))
+    out = columns.in_out_counts(docs, "lang", ["same", "n_chars"])
+    return out.select("feature", "threshold", "category", "label", "cnt_in", "cnt_out")
+
+
+def _nan_candidates(spark, sf_dir, settings=None):
+    fs = FEATURE_SETS["lineitem"]
+    c = columns.candidate_splits(_lineitem_nan(spark, sf_dir), fs.label, ["l_discount", "l_tax"], settings)
+    nan = F.isnan("threshold")
+    return c.select("feature", nan.alias("nan_threshold"), F.when(~nan, F.col("threshold")).alias("threshold"),
+                    "n_left", "n_right", _r("child_gini"))
+
+
+def q_candidates_nan(spark, sf_dir):
+    return _nan_candidates(spark, sf_dir)
+
+
+def q_candidates_nan_reference(spark, sf_dir):
+    return _nan_candidates(spark, sf_dir, TreeSettings(semantics="reference"))
+
+
+def q_best_split_unsigned(spark, sf_dir):
+    """A feature of type decimal(20,0), as Spark reads unsigned 64-bit integers."""
+    fs, df = _load(spark, sf_dir, "orders")
+    df = df.withColumn("o_custkey", F.col("o_custkey").cast("decimal(20,0)"))
+    out = columns.best_ordinal_split(df, fs.label, "o_custkey")
+    return out.select("feature", "kind", "threshold", "selection", "n_left", "n_right", _r("child_gini"))
+
+
 def _candidates(spark, sf_dir, name, settings=None):
     fs, df = _load(spark, sf_dir, name)
     return columns.candidate_splits(df, fs.label, list(fs.features), settings)
@@ -229,7 +264,18 @@ def q_split_left_right(spark, sf_dir):
 
 def q_leaf_rule_stats(spark, sf_dir):
     fs, df, model = _model(spark, sf_dir, "lineitem", TreeSettings(max_depth=2))
-    return leaf_rule_stats(model, df).select("node_id", "label", "n_rows", "n_correct")
+    return leaf_rule_stats(model, df)
+
+
+def q_leaf_label_mix(spark, sf_dir):
+    _, df, model = _model(spark, sf_dir, "lineitem", TreeSettings(max_depth=2))
+    return leaf_label_mix(model, df)
+
+
+def q_predict_join_route(spark, sf_dir):
+    """A deeper tree, routed by joins on the splits of each depth."""
+    fs, df, model = _model(spark, sf_dir, "orders", TreeSettings(max_depth=5))
+    return model.predict(df, joins=True).select(fs.key, "PREDICTED_LABEL")
 
 
 _QUERIES = {
@@ -261,6 +307,12 @@ _QUERIES = {
     "leaf_assignment": q_leaf_assignment,
     "split_left_right": q_split_left_right,
     "leaf_rule_stats": q_leaf_rule_stats,
+    "leaf_label_mix": q_leaf_label_mix,
+    "predict_join_route": q_predict_join_route,
+    "sparse_in_out_counts": q_sparse_in_out_counts,
+    "candidates_nan": q_candidates_nan,
+    "candidates_nan_reference": q_candidates_nan_reference,
+    "best_split_unsigned": q_best_split_unsigned,
 }
 
 

@@ -37,6 +37,19 @@ DATASETS = {
         "FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
         {"n_chars": "ordinal", "toxic": "ordinal", "lang": "categorical", "source": "categorical"},
     ),
+    "documents_lang": (
+        "doc_id",
+        "lang",
+        "SELECT doc_id, lang, lang AS same, n_chars FROM documents",
+        {"same": "categorical", "n_chars": "ordinal"},
+    ),
+    "lineitem_nan": (
+        "l_key",
+        "l_returnflag",
+        "SELECT l_orderkey * 10 + l_linenumber AS l_key, l_returnflag, "
+        "CASE WHEN l_discount <= 0.04 THEN CAST('NaN' AS DOUBLE) ELSE l_discount END AS l_discount, l_tax FROM lineitem",
+        {"l_discount": "ordinal", "l_tax": "ordinal"},
+    ),
     "part": (
         "p_partkey",
         "p_type",
@@ -81,7 +94,7 @@ def prep_ctes(name: str, reference: bool = False, features=None, min_count: int
         kinds = {f: kinds[f] for f in features}
     cats = [f for f, k in kinds.items() if k == "categorical"]
     nums = [f for f, k in kinds.items() if k == "ordinal"]
-    label_is_string = name in ("orders", "lineitem", "part")
+    label_is_string = name != "documents"
     to_keep = cats + ([label] if reference and label_is_string else [])
     parts = [f"base AS ({select})"]
     cols = ["row_number() OVER () AS rid", f"{key} AS k"]
@@ -313,9 +326,9 @@ ORACLE_SQL["nearest_rank_quantiles"] = (
 
 ORACLE_SQL["label_totals_window"] = root_sql(
     "lineitem",
-    ", h AS (SELECT v.feature, v.c AS category, l.y AS label, count(*) AS cnt FROM cv0 v JOIN lab l ON l.rid = v.rid "
-    "GROUP BY v.feature, v.c, l.y) "
-    "SELECT feature, category, label, cnt, CAST(sum(cnt) OVER (PARTITION BY feature, label) AS BIGINT) AS label_total, "
+    ", h AS (SELECT v.node AS node_id, v.feature, v.c AS category, l.y AS label, count(*) AS cnt FROM cv0 v "
+    "JOIN lab l ON l.rid = v.rid GROUP BY v.node, v.feature, v.c, l.y) "
+    "SELECT node_id, feature, category, label, cnt, CAST(sum(cnt) OVER (PARTITION BY feature, label) AS BIGINT) AS label_total, "
     "CAST(sum(cnt) OVER (PARTITION BY feature, label) - cnt AS BIGINT) AS cnt_out FROM h",
     features=["l_linestatus"],
 ).replace(" , h AS", ", h AS")
@@ -329,15 +342,15 @@ ORACLE_SQL["majority_label"] = (
 
 ORACLE_SQL["categorical_in_out_counts"] = root_sql(
     "documents",
-    " SELECT g.feature, g.c AS category, g.y AS label, o.cl AS cnt_in, g.tot - o.cl AS cnt_out "
-    "FROM cg0 g JOIN cl0 o ON o.node = g.node AND o.feature = g.feature AND o.c = g.c AND o.y = g.y",
+    " SELECT g.feature, g.c AS category, g.y AS label, coalesce(o.cl, 0) AS cnt_in, g.tot - coalesce(o.cl, 0) AS cnt_out "
+    "FROM cg0 g LEFT JOIN cl0 o ON o.node = g.node AND o.feature = g.feature AND o.c = g.c AND o.y = g.y",
     features=["lang", "source"],
 )
 
 ORACLE_SQL["ordinal_in_out_counts"] = root_sql(
     "lineitem",
-    " SELECT g.feature, g.t AS threshold, g.y AS label, o.cl AS cnt_in, g.tot - o.cl AS cnt_out "
-    "FROM og0 g JOIN ol0 o ON o.node = g.node AND o.feature = g.feature AND o.t = g.t AND o.y = g.y",
+    " SELECT g.feature, g.t AS threshold, g.y AS label, coalesce(o.cl, 0) AS cnt_in, g.tot - coalesce(o.cl, 0) AS cnt_out "
+    "FROM og0 g LEFT JOIN ol0 o ON o.node = g.node AND o.feature = g.feature AND o.t = g.t AND o.y = g.y",
     features=["l_quantity", "l_discount", "l_tax"],
 )
 
@@ -428,10 +441,64 @@ ORACLE_SQL["split_left_right"] = tree_sql(
     "JOIN prep p ON p.rid = s.rid",
 )
 
+
+
+def rule_ctes(max_depth: int) -> str:
+    """``rules(node, rule)``: the tests on the path to every node."""
+    parts = ["ru0 AS (SELECT CAST(1 AS BIGINT) AS node, '' AS rule)"]
+    for d in range(max_depth):
+        sides = [
+            f"SELECT 2 * s.node{plus} AS node, CASE WHEN r.rule = '' THEN '' ELSE r.rule || ' AND ' END || s.feature || "
+            f"CASE WHEN s.kind = 'ordinal' THEN ' {num} ' || CAST(s.threshold AS VARCHAR) "
+            f"ELSE ' {cat} ''' || s.category || '''' END AS rule FROM sp{d} s JOIN ru{d} r ON r.node = s.node"
+            for plus, num, cat in (("", ">=", "="), (" + 1", "<", "!="))
+        ]
+        parts.append(f"ru{d + 1} AS ({' UNION ALL '.join(sides)})")
+    union = " UNION ALL ".join(f"SELECT * FROM ru{d}" for d in range(max_depth + 1))
+    return ", ".join(parts) + f", rules AS ({union})"
+
+
 ORACLE_SQL["leaf_rule_stats"] = tree_sql(
     "lineitem", 2, 32,
-    ", lr AS (SELECT r.node, count(*) AS n_rows, sum(CASE WHEN b.y = l.label THEN 1 ELSE 0 END) AS n_correct "
+    f", {rule_ctes(2)}, lr AS (SELECT r.node, count(*) AS n_rows, sum(CASE WHEN b.y = l.label THEN 1 ELSE 0 END) AS n_correct "
     "FROM leafrows r JOIN lab b ON b.rid = r.rid JOIN leaflab l ON l.node = r.node GROUP BY r.node) "
-    "SELECT l.node AS node_id, l.label, lr.n_rows, CAST(lr.n_correct AS BIGINT) AS n_correct "
-    "FROM leaflab l JOIN lr ON lr.node = l.node",
-).replace(" , lr AS", ", lr AS")
+    "SELECT l.node AS node_id, u.rule, l.label, coalesce(lr.n_rows, 0) AS n_rows, "
+    "CAST(coalesce(lr.n_correct, 0) AS BIGINT) AS n_correct "
+    "FROM leaflab l JOIN rules u ON u.node = l.node LEFT JOIN lr ON lr.node = l.node",
+).replace(" , ru0 AS", ", ru0 AS")
+
+ORACLE_SQL["leaf_label_mix"] = tree_sql("lineitem", 2, 32, "SELECT node AS node_id, y AS actual, cnt FROM leafcnt")
+
+ORACLE_SQL["predict_join_route"] = tree_sql(
+    "orders", 5, 32,
+    "SELECT p.k AS o_orderkey, l.label AS PREDICTED_LABEL FROM leafrows r JOIN leaflab l ON l.node = r.node "
+    "JOIN prep p ON p.rid = r.rid",
+)
+
+ORACLE_SQL["sparse_in_out_counts"] = root_sql(
+    "documents_lang",
+    " SELECT g.feature, CAST(NULL AS DOUBLE) AS threshold, g.c AS category, g.y AS label, coalesce(o.cl, 0) AS cnt_in, "
+    "g.tot - coalesce(o.cl, 0) AS cnt_out FROM cg0 g LEFT JOIN cl0 o "
+    "ON o.node = g.node AND o.feature = g.feature AND o.c = g.c AND o.y = g.y "
+    "UNION ALL SELECT g.feature, g.t, CAST(NULL AS VARCHAR), g.y, coalesce(o.cl, 0), g.tot - coalesce(o.cl, 0) "
+    "FROM og0 g LEFT JOIN ol0 o ON o.node = g.node AND o.feature = g.feature AND o.t = g.t AND o.y = g.y",
+)
+
+
+def _nan_sql(reference: bool) -> str:
+    return root_sql(
+        "lineitem_nan",
+        " SELECT feature, isnan(threshold) AS nan_threshold, CASE WHEN NOT isnan(threshold) THEN threshold END AS threshold, "
+        f"n_left, n_right, {_r('child_gini')} FROM sc0",
+        reference=reference,
+    )
+
+
+ORACLE_SQL["candidates_nan"] = _nan_sql(False)
+ORACLE_SQL["candidates_nan_reference"] = _nan_sql(True)
+
+ORACLE_SQL["best_split_unsigned"] = root_sql(
+    "orders",
+    f" SELECT feature, kind, threshold, CAST(threshold AS VARCHAR) AS selection, n_left, n_right, {_r('child_gini')} FROM bs0",
+    features=["o_custkey"],
+)

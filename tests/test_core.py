@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 import brute
 from arborist import FILLER_STRING, TreeSettings, fit
 from arborist.functions.features import feature_kinds
-from arborist.operators import bucketing, histogram, thresholds
-from arborist.plans import columns
-from arborist.plans.scoring import leaf_rule_stats, split_left_right
+from arborist import session
+from arborist.operators import bucketing, thresholds
+from arborist.operators.labels import majority_label
+from arborist.operators.splits import with_label_totals
+from arborist.plans import columns, routing
+from arborist.plans.scoring import leaf_label_mix, leaf_rule_stats, split_left_right
 
 NULLS = [
     (1.0, "a", "x"), (None, "a", "y"), (2.0, "b", "y"), (2.0, "b", "x"),
@@ -61,7 +64,7 @@ def test_bucketing_nulls_cap_and_drop(spark):
     # y: u (12) kept, v (3) kept at min 3, cap 1 keeps u only.
     assert {r["y"] for r in out} == {"u", FILLER_STRING}
     dropped = bucketing.droppable_columns(df, ["k", "m"], TreeSettings(min_leaf_size=100))
-    assert dropped == ["k", "m"]
+    assert sorted(r["column"] for r in dropped.collect()) == ["k", "m"]
     assert "k" not in bucketing.bucket_rare_categories(df, TreeSettings(min_leaf_size=100), ["k"]).columns
 
 
@@ -86,7 +89,7 @@ def test_exact_quantiles_match_nearest_rank(spark, parts):
                 rows.append((node, f, v))
     df = spark.createDataFrame(rows, "node_id long, feature string, value double")
     got = {(r["node_id"], r["feature"], r["q_index"]): r["threshold"]
-           for r in thresholds.exact_quantiles(df, num_partitions=parts).collect()}
+           for r in thresholds.exact_quantiles(df.repartition(parts)).collect()}
     for node in (1, 2, 3):
         for f in ("u", "v"):
             vals = [v for (nn, ff, v) in rows if nn == node and ff == f]
@@ -94,25 +97,112 @@ def test_exact_quantiles_match_nearest_rank(spark, parts):
                 assert got.get((node, f, i)) == brute.nearest_rank(vals, q)
 
 
-@pytest.mark.parametrize("strategy", ["window", "auto"])
-def test_exact_quantiles_window_strategy(spark, strategy):
-    rnd = random.Random(7)
-    rows = [(n, f, float(rnd.randint(0, 40))) for n in (1, 2) for f in ("u", "v") for _ in range(rnd.randint(5, 80))]
-    df = spark.createDataFrame(rows, "node_id long, feature string, value double")
-    got = {(r["node_id"], r["feature"], r["q_index"]): r["threshold"]
-           for r in thresholds.exact_quantiles(df, strategy=strategy).collect()}
-    want = {(r["node_id"], r["feature"], r["q_index"]): r["threshold"]
-            for r in thresholds.exact_quantiles(df, strategy="range", num_partitions=5).collect()}
-    assert got == want and len(got) == 2 * 2 * len(brute.QUANTILES)
+def _quantiles(spark, values):
+    df = spark.createDataFrame([(1, "f", v) for v in values], "node_id long, feature string, value double")
+    got = sorted(thresholds.exact_quantiles(df.repartition(5)).collect(), key=lambda r: r["q_index"])
+    return [r["threshold"] for r in got]
 
 
-def test_one_group_spread_over_partitions(spark):
-    # One (node, feature) group holding all distinct values must still be exact
-    # when it spans every range partition.
+def test_exact_quantiles_of_many_distinct_values(spark):
     vals = [float(v) for v in range(1000)] + [500.0] * 300
-    df = spark.createDataFrame([(1, "f", v) for v in vals], "node_id long, feature string, value double")
-    got = sorted(thresholds.exact_quantiles(df, num_partitions=16).collect(), key=lambda r: r["q_index"])
-    assert [r["threshold"] for r in got] == [brute.nearest_rank(vals, q) for q in brute.QUANTILES]
+    assert _quantiles(spark, vals) == [brute.nearest_rank(vals, q) for q in brute.QUANTILES]
+
+
+def test_exact_quantiles_need_several_passes(spark, monkeypatch):
+    # Two parts per cell: every pass only halves a cell, so the rank is found in many passes.
+    monkeypatch.setattr(thresholds, "PARTS", 2)
+    vals = [1000.0 + i * 1e-9 for i in range(200)] + [-5e-324, 0.0, -0.0, 5e-324, -1e308, 1e308]
+    assert _quantiles(spark, vals) == [brute.nearest_rank(vals, q) for q in brute.QUANTILES]
+
+
+def test_exact_quantiles_of_extreme_values(spark):
+    inf = float("inf")
+    vals = [-inf, -1e308, -2.5, -2.5, -1e-300, 0.0, 1e-300, 3.0, 1e308, inf, inf]
+    assert _quantiles(spark, vals) == [brute.nearest_rank(vals, q) for q in brute.QUANTILES]
+    nan = float("nan")
+    got = _quantiles(spark, [nan] * 5 + [1.0] * 5)
+    assert got[:4] == [1.0] * 4 and all(v != v for v in got[4:])
+
+
+def test_nan_thresholds_merge_in_any_order():
+    nan = float("nan")
+    rows = [(1, "f", i, 0.1, t) for i, t in enumerate([1.0, float("nan"), 0.5, nan, -0.0, 0.0])]
+    got = thresholds.distinct_threshold_rows(rows)
+    assert [(r[2], r[4]) for r in got] == [(1, 2), (2, 1), (3, 1), (4, 2)]
+    assert [r[3] for r in got[:3]] == [0.0, 0.5, 1.0] and got[3][3] != got[3][3]
+
+
+def test_nan_is_one_candidate(spark):
+    data = [(float("nan") if i % 10 < 4 else float(i % 100), "ab"[i % 3 == 0]) for i in range(1000)]
+    df = spark.createDataFrame(data, "n double, y string")
+    for semantics in ("consistent", "reference"):
+        got = columns.candidate_splits(df, "y", ["n"], TreeSettings(semantics=semantics)).collect()
+        assert sum(r["threshold"] != r["threshold"] for r in got) == 1
+
+
+@pytest.mark.parametrize("value", ["${env:HOME}", "${spark.app.name}", "it's", 'say "x"', "back\\slash", "new\nline", ""])
+def test_values_are_never_read_as_sql(spark, value):
+    data = [(value, "a")] * 40 + [("other", "b")] * 40
+    df = spark.createDataFrame(data, "k string, y string")
+    model = fit(df, "y", ["k"], TreeSettings(max_depth=1))
+    want = sorted(data)
+    for joins in (False, True):
+        assert sorted((r["k"], r["PREDICTED_LABEL"]) for r in model.predict(df, joins=joins).collect()) == want
+    assert model.nodes[1].category in {r["category"] for r in model.node_table(spark).collect()}
+    labels = fit(spark.createDataFrame([(1.0, value)] * 40 + [(2.0, "b")] * 40, "n double, y string"), "y", ["n"],
+                 TreeSettings(max_depth=1))
+    assert {r["label"] for r in labels.node_table(spark).collect()} == {None, value, "b"}
+
+
+def test_in_out_counts_hold_labels_without_left_rows(spark):
+    df = spark.createDataFrame([(1, "k1", "a")] * 40 + [(2, "k2", "b")] * 40, "n int, k string, y string")
+    out = columns.in_out_counts(df, "y", ["n", "k"]).collect()
+    got = {(r["threshold"], r["category"], r["label"]): (r["cnt_in"], r["cnt_out"]) for r in out}
+    assert got[2.0, None, "a"] == (0, 40) and got[None, "k1", "b"] == (0, 40) and got[None, "k2", "a"] == (0, 40)
+    totals = {(r["threshold"], r["category"]): (r["n_left"], r["n_right"])
+              for r in columns.candidate_splits(df, "y", ["n", "k"]).collect()}
+    for (t, c), sides in totals.items():
+        mine = [v for k, v in got.items() if k[:2] == (t, c)]
+        assert tuple(map(sum, zip(*mine))) == sides
+
+
+def test_null_label_policy(spark):
+    df = spark.createDataFrame([(1.0, "a")] * 40 + [(2.0, None)], "n double, y string")
+    assert bucketing.prepare_frame(df, "y", ["n"])[0].count() == 40
+    with pytest.raises(ValueError, match="null values"):
+        fit(df, "y", ["n"], TreeSettings(null_label="error"))
+    with pytest.raises(ValueError, match="null_label"):
+        TreeSettings(null_label="guess")
+
+
+def test_outputs_never_overwrite_columns(spark):
+    df = spark.createDataFrame([(float(i), "a" if i < 50 else "b", 7, 8, 9) for i in range(100)],
+                               "n double, y string, side int, predicted_label int, node_id int")
+    model = fit(df.select("n", "y"), "y", ["n"], TreeSettings(max_depth=1))
+    for call in (lambda: split_left_right(model, df), lambda: model.predict(df), lambda: model.leaf_assignment(df)):
+        with pytest.raises(ValueError, match="already has a column"):
+            call()
+    assert model.predict(df, output_col="mine").where("node_id = 9").count() == 100
+
+
+def test_unsigned_feature(spark):
+    df = spark.createDataFrame([(i, "a" if i < 50 else "b") for i in range(100)], "u long, y string")
+    df = df.withColumn("u", F.col("u").cast("decimal(20,0)"))
+    assert feature_kinds(df, "y") == {"u": "ordinal"}
+    model = fit(df, "y", ["u"], TreeSettings(max_depth=1))
+    assert model.nodes[1].threshold == 50.0
+    with pytest.raises(ValueError, match="decimal"):
+        feature_kinds(df.withColumn("u", F.col("u").cast("decimal(20,2)")), "y")
+
+
+def test_leaf_without_rows_is_listed(spark):
+    data = [(float(i), "a" if i < 50 else "b") for i in range(100)]
+    df = spark.createDataFrame(data, "n double, y string")
+    model = fit(df, "y", ["n"], TreeSettings(max_depth=1))
+    stats = {r["rule"]: (r["n_rows"], r["n_correct"]) for r in leaf_rule_stats(model, df.where("n < 50")).collect()}
+    assert stats == {"n >= 50.0": (0, 0), "n < 50.0": (50, 50)}
+    mix = {(r["node_id"], r["actual"]): r["cnt"] for r in leaf_label_mix(model, df).collect()}
+    assert mix == {(2, "b"): 50, (3, "a"): 50}
 
 
 @pytest.mark.parametrize("semantics", ["consistent", "reference"])
@@ -216,12 +306,18 @@ def test_scoring_helpers(spark):
     assert assigned.select("node_id").distinct().count() == 2
 
 
-def test_label_totals_window_and_value_histogram(spark):
-    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "f string, y string")
-    h = histogram.value_label_histogram(df, "f", "y").withColumn("feature", F.lit("f"))
-    out = {(r["value"], r["label"]): (r["cnt"], r["label_total"], r["cnt_out"])
-           for r in histogram.label_totals_window(h).collect()}
-    assert out == {("a", "x"): (1, 2, 1), ("a", "y"): (1, 1, 0), ("b", "x"): (1, 2, 1)}
+def test_label_totals_stay_within_a_node(spark):
+    schema = "node_id long, feature string, kind string, bucket int, category string, label string, cnt long"
+    cells = [(1, "f", "categorical", None, "a", "x", 3), (1, "f", "categorical", None, "b", "x", 2),
+             (2, "f", "categorical", None, "a", "x", 5)]
+    out = with_label_totals(spark.createDataFrame(cells, schema), False)
+    assert sorted((r["node_id"], r["category"], r["base"]) for r in out.collect()) == [(1, "a", 5), (1, "b", 5), (2, "a", 5)]
+
+
+def test_majority_label(spark):
+    df = spark.createDataFrame([("k", "b"), ("k", "a"), ("k", "b"), ("k", "a"), ("j", None)], "g string, y string")
+    out = {r["g"]: (r["label"], r["cnt"], r["n_rows"]) for r in majority_label(df, ["g"], "y").collect()}
+    assert out == {"k": ("a", 2, 4), "j": (None, 1, 1)}
 
 
 def test_rank_columns_order_and_informative(spark):
@@ -272,15 +368,6 @@ def test_approx_threshold_mode_fits(spark):
     assert model.predict(df).count() == 1000
 
 
-def test_tag_features_melts_one_row_per_feature(spark):
-    df = spark.createDataFrame([(1, 2.5, "a", "y1"), (2, None, None, "y2")], "i int, d double, s string, y string")
-    out = rows_of(histogram.tag_features(df, "y", {"i": "ordinal", "d": "ordinal", "s": "categorical"}))
-    assert len(out) == 6
-    got = {(r["label"], r["feature"], r["kind"], r["num_value"], r["category"]) for r in out}
-    assert ("y1", "s", "categorical", None, "a") in got and ("y2", "d", "ordinal", None, None) in got
-    assert ("y1", "i", "ordinal", 1.0, None) in got
-
-
 def test_candidates_equal_with_tolerance(spark):
     from pyspark.testing import assertDataFrameEqual
 
@@ -296,10 +383,11 @@ def test_candidates_equal_with_tolerance(spark):
     assertDataFrameEqual(got, expected, rtol=1e-9, atol=1e-9)
 
 
-def test_fit_on_range_path_matches_brute_force(spark, monkeypatch):
-    # Shrink the single-window bound so that every level ranks thresholds
-    # with the distributed range plan, as it does for large nodes.
-    monkeypatch.setattr(thresholds, "WINDOW_ROWS_LIMIT", 10)
+def test_fit_in_batches_matches_brute_force(spark, monkeypatch):
+    # Bounds so small that every level runs node by node and every routing
+    # join takes one split at a time.
+    monkeypatch.setattr(session, "BROADCAST_ROW_LIMIT", 1)
+    monkeypatch.setattr(routing, "EXPRESSION_MAX_SPLITS", 0)
     rnd = random.Random(5)
     data = [(float(rnd.randint(0, 40)), rnd.choice("pq"), rnd.choice("XY") if rnd.random() < 0.5 else "Z")
             for _ in range(400)]
