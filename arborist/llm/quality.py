@@ -9,17 +9,18 @@ other labelled documents turns that into a probability of label 1.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import written
+
 SAMPLE_BYTES = 5 << 20  # of each label's text for its dictionary, at most (whole documents only)
 DICTIONARY_BYTES = 1 << 18  # at most
+SAMPLE_ROWS = 20_000  # of each label, at most
 CALIBRATION_ROWS = 4000  # of each label, at most
 BLOCK = 1024
 LEVEL = 3
@@ -88,37 +89,48 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a), float(b)
 
 
-def fit(labelled: DataFrame) -> dict:
-    """Model of ``labelled (doc_id, text, quality)``; null labels and texts
-    are left out.  Even hashes of the id feed the dictionaries, odd ones
-    the calibration, both in hash order up to the module's bounds; the
-    calibration weighs the labels by their true counts.  If a label is
-    missing, every score is the share of label 1 (0.5 without labels)."""
-    labelled = labelled.where("quality IN (0, 1) AND text IS NOT NULL AND text <> ''")
-    labelled = labelled.withColumn("h", F.md5(F.col("doc_id").cast("string"))).withColumn(
-        "half", F.pmod(F.crc32(F.concat(F.lit("half"), F.col("doc_id").cast("string"))), F.lit(2))
-    )
-    sizes = {(r[0], r[1]): (r[2], r[3]) for r in labelled.groupBy("quality", "half").agg(
-        F.count(F.lit(1)), F.sum(F.octet_length("text"))).collect()}
-    counts = [sum(v[0] for k, v in sizes.items() if k[0] == q) for q in (0, 1)]
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict]:
+    """``(doc_id, quality, half)`` of the rows to learn from, and the counts of
+    the labelled rows by (quality, half).  Only ids, labels and lengths are
+    joined; half 0 feeds the dictionaries, half 1 the calibration."""
+    known = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    slim = docs.select("doc_id", F.octet_length("text").alias("bytes")).where("bytes > 0")
+    text = F.col("doc_id").cast("string")
+    half = F.pmod(F.crc32(F.concat(F.lit("half"), text)), F.lit(2)).cast("int")
+    rows = written(slim.join(known, "doc_id").withColumn("half", half).withColumn("h", F.md5(text)))
+    counts = {(r[0], r[1]): r[2] for r in rows.groupBy("quality", "half").count().collect()}
+    picked = []
+    for q in (0, 1):
+        for part, most in ((0, SAMPLE_ROWS), (1, CALIBRATION_ROWS)):
+            mine = rows.where((F.col("quality") == q) & (F.col("half") == part))
+            picked.append(mine.orderBy("h", "doc_id", "bytes").limit(most))
+    drawn = picked[0].union(picked[1]).union(picked[2]).union(picked[3])
+    # The dictionaries' rows end where their bytes do; a label has SAMPLE_ROWS rows at most here.
+    upto = Window.partitionBy("quality", "half").orderBy("h", "doc_id", "bytes")
+    drawn = drawn.withColumn("upto", F.sum("bytes").over(upto))
+    drawn = drawn.where((F.col("half") == 1) | (F.col("upto") <= SAMPLE_BYTES))
+    return written(drawn.select("doc_id", "quality", "half").distinct()), counts
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> dict:
+    """Model learned from the rows of ``docs`` that ``labels (doc_id, quality)``
+    marks 0 or 1 (the least one if it repeats an id); other labels, null
+    ids and texts without bytes are left out.  The dictionaries and the
+    calibration use different documents, both in hash order up to the
+    module's bounds; the calibration weighs the labels by their true
+    counts.  If a label is missing, every score is the share of label 1
+    (0.5 without labels)."""
+    drawn, sizes = _sample(docs, labels)
+    counts = [sum(v for k, v in sizes.items() if k[0] == q) for q in (0, 1)]
     if any((q, half) not in sizes for q in (0, 1) for half in (0, 1)):
         return {"share": counts[1] / sum(counts) if sum(counts) else 0.5}
-    dictionaries, samples = {}, []
-    for q in (0, 1):
-        n, size = sizes[q, 0]
-        rows = max(1, min(n, math.ceil(2 * SAMPLE_BYTES * n / size)))
-        mine = labelled.where((F.col("quality") == q) & (F.col("half") == 0)).orderBy("h").limit(rows).select("text")
-        joined, room = [], SAMPLE_BYTES
-        for (text,) in mine.toLocalIterator():
-            data = text.encode()
-            if len(data) <= room:
-                joined.append(data)
-                room -= len(data)
-        dictionaries[q] = _dictionary(joined)
-        odd = labelled.where((F.col("quality") == q) & (F.col("half") == 1))
-        samples.append(odd.orderBy("h").limit(CALIBRATION_ROWS).select("quality", "text"))
-    both = (dictionaries[1], dictionaries[0])
-    points = np.array([tuple(r) for r in _differences(samples[0].union(samples[1]), both, ["quality"]).collect()], float)
+    # At most 2 * (SAMPLE_ROWS + CALIBRATION_ROWS) ids.
+    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    samples: dict[int, list[bytes]] = {0: [], 1: []}
+    for q, text in texts.where("half = 0").orderBy(F.md5(F.col("doc_id").cast("string")), "text").select("quality", "text").collect():
+        samples[q].append(text.encode())
+    both = (_dictionary(samples[1]), _dictionary(samples[0]))
+    points = np.array([tuple(r) for r in _differences(texts.where("half = 1"), both, ["quality"]).collect()], float)
     y, x = points[:, 0], points[:, 1]
     spread = float(x.std()) or 1.0
     weight = np.where(y == 1, counts[1] / max(1, (y == 1).sum()), counts[0] / max(1, (y == 0).sum())) / sum(counts) * len(y)
@@ -151,8 +163,3 @@ def accepted(docs: DataFrame, model: dict) -> DataFrame:
 
 def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)) == 2, F.lit(False))
-
-
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    known = labels.select("doc_id", "quality").where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return docs.where(~held_out()).select("doc_id", "text").join(known, "doc_id")

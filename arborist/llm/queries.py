@@ -22,7 +22,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = quality.fit(quality.training_rows(docs, table(spark, sf_dir, "labels")))
+    model = quality.fit(docs.where(~quality.held_out()), table(spark, sf_dir, "labels"))
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 

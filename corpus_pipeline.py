@@ -10,7 +10,7 @@ from arborist.llm.common import table, written
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts."""
-    return quality.accepted(docs, quality.fit(quality.training_rows(docs, table(spark, sf_dir, "labels"))))
+    return quality.accepted(docs, quality.fit(docs.where(~quality.held_out()), table(spark, sf_dir, "labels")))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
