@@ -4,9 +4,12 @@ bounded broadcasts, joins on hot keys, prefix sums and components."""
 from __future__ import annotations
 
 import math
+import pickle
 import tempfile
 import uuid
 
+import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,18 +43,26 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_arborist_shared"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, and
-    read back from storage if an executor is lost (no lineage kept)."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# Shuffle files of a finished query go at once, not when the driver next collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of finished jobs now; it only
-    acts when the driver collects garbage, which may be hours away."""
-    spark.sparkContext._jvm.System.gc()
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, and
+    read back from storage if an executor is lost (no lineage kept).  The
+    shuffle files behind it are dropped."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -150,3 +161,30 @@ def connected_components(edges: DataFrame) -> DataFrame:
         edges = written(_star(_star(edges, True), False))
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def pack(*parts) -> bytes:
+    """Arrays (bytes of equal rank together, so that they compress) and other values."""
+    out = []
+    for p in parts:
+        if isinstance(p, np.ndarray):
+            p = np.ascontiguousarray(p)
+            out.append((p.dtype.str, p.view(np.uint8).reshape(-1, p.itemsize).T.tobytes()))
+        else:
+            out.append((None, p))
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(out, 5))
+
+
+def unpack(blob: bytes) -> list:
+    out = []
+    for dtype, data in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)):
+        if dtype is not None:
+            kind = np.dtype(dtype)
+            data = np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T.copy().view(kind).reshape(-1)
+        out.append(data)
+    return out
+
+
+def small(a: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the narrowest type that holds them."""
+    return a.astype(np.min_scalar_type(int(a.max(initial=0))))

@@ -25,20 +25,18 @@ to its count; chunks ask all of its buckets and add up the parts.
 from __future__ import annotations
 
 import itertools
-import pickle
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import partitions, release_shuffles, written
+from .common import pack, partitions, small, unpack, written
 
 K = 5  # counts up to K are discounted
 CHUNK_TOKENS = 1 << 20  # a chunk ends with the document that passes this many tokens
@@ -51,33 +49,6 @@ _ROW = "chunk long, bucket int, blob binary, stats array<long>"
 _NAMES = ["chunk", "bucket", "blob", "stats"]
 
 
-def pack(*parts) -> bytes:
-    """Arrays (bytes of equal rank together, so that they compress) and other values."""
-    out = []
-    for p in parts:
-        if isinstance(p, np.ndarray):
-            p = np.ascontiguousarray(p)
-            out.append((p.dtype.str, p.view(np.uint8).reshape(-1, p.itemsize).T.tobytes()))
-        else:
-            out.append((None, p))
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(out, 5))
-
-
-def unpack(blob: bytes) -> list:
-    out = []
-    for dtype, data in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)):
-        if dtype is not None:
-            kind = np.dtype(dtype)
-            data = np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T.copy().view(kind).reshape(-1)
-        out.append(data)
-    return out
-
-
-def _small(a: np.ndarray) -> np.ndarray:
-    """Unsigned integers in the narrowest type that holds them."""
-    return a.astype(np.min_scalar_type(int(a.max(initial=0))))
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -129,21 +100,22 @@ def _rows(rows) -> pa.Table:
 
 def _chunk_rows(chunk: int, ids, held, lengths, tokens, words, buckets: int):
     """The chunk's own row and its question to every bucket of words."""
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-    bucket = (_mix(hashes) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((hashes, bucket))
+    tokens, held, lengths = np.concatenate(tokens), np.array(held, bool), np.array(lengths, np.int64)
+    # Frequent words get the small numbers, which pack well.
+    order = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable")
     place = np.empty(len(words), np.int64)
     place[order] = np.arange(len(words))
-    tokens = place[np.concatenate(tokens)]
-    held, lengths = np.array(held, bool), np.array(lengths, np.int64)
+    tokens = place[tokens]
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))[order]
+    bucket = (_mix(hashes) % np.uint64(buckets)).astype(np.int64)
     learned = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(words))
-    hashes, bucket = hashes[order], bucket[order]
-    edges = np.searchsorted(bucket, np.arange(buckets + 1))
-    yield chunk, _STATE, pack(ids, held, lengths, _small(tokens)), None
+    yield chunk, _STATE, pack(ids, held, lengths, small(tokens), small(bucket)), None
+    by_bucket = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
     for b in range(buckets):
-        lo, hi = edges[b], edges[b + 1]
-        if hi > lo:
-            yield chunk, b, pack(hashes[lo:hi], _small(learned[lo:hi])), None
+        mine = by_bucket[edges[b] : edges[b + 1]]
+        if len(mine):
+            yield chunk, b, pack(hashes[mine], small(learned[mine])), None
 
 
 def _read_chunks(docs: DataFrame, buckets: int) -> DataFrame:
@@ -186,7 +158,7 @@ def _answer_words(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
     edges = np.cumsum([0] + [len(p[0]) for p in parts])
     out = [
-        (chunk, bucket, pack(_small(rank[at[lo:hi]]), _small(counts[at[lo:hi]])), None)
+        (chunk, bucket, pack(small(rank[at[lo:hi]]), small(counts[at[lo:hi]])), None)
         for chunk, lo, hi in zip(asked.column("chunk").to_pylist(), edges, edges[1:])
     ]
     return _rows([*out, (None, bucket, None, _count_stats(counts))])
@@ -209,12 +181,13 @@ class _Chunk:
             else:
                 answers.append((bucket, *unpack(blob)))
         answers.sort(key=lambda a: a[0])
-        self.ids, self.held, self.lengths, tokens = state
-        rank = np.concatenate([a[1].astype(np.uint64) for a in answers])
-        owner = np.repeat(np.array([a[0] for a in answers], np.uint64), [len(a[1]) for a in answers])
-        self.count = np.concatenate([a[2].astype(np.int64) for a in answers])
-        n = len(rank)
-        ids = np.append(rank * np.uint64(buckets) + owner, _START)
+        self.ids, self.held, self.lengths, tokens, owner = state
+        n = len(owner)
+        by_bucket = np.argsort(owner, kind="stable")
+        rank, self.count = np.empty(n, np.uint64), np.empty(n, np.int64)
+        rank[by_bucket] = np.concatenate([a[1].astype(np.uint64) for a in answers])
+        self.count[by_bucket] = np.concatenate([a[2].astype(np.int64) for a in answers])
+        ids = np.append(rank * np.uint64(buckets) + owner.astype(np.uint64), _START)
         self.tokens = tokens = tokens.astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
         context = np.empty(len(tokens), np.int64)
@@ -248,7 +221,7 @@ class _Chunk:
         return (_mix(ids + _mix(sub + np.uint64(1))) % np.uint64(buckets)).astype(np.int64)
 
     def questions(self):
-        """``(bucket, contexts, pairs of each, words, learned counts, counts of the words)``."""
+        """``(bucket, contexts as differences, pairs of each, words, learned counts, counts of the words)``."""
         of = {b: i for i, b in enumerate(np.unique(self.ask_bucket).tolist())}
         firsts = np.searchsorted(self.ask_bucket, list(of))
         lasts = np.append(firsts[1:], len(self.ask_bucket))
@@ -264,47 +237,46 @@ class _Chunk:
         for b, lo, hi in zip(of, firsts.tolist(), lasts.tolist()):
             p = slice(edges[lo], edges[hi])
             yield (
-                b, self.ctx_ids[self.ask_ctx[lo:hi]], _small(n_pairs[lo:hi]), _small(self.word_ids[p]),
-                _small(self.learned[p]), _small(self.count[self.word[p]]),
+                b, small(np.diff(self.ctx_ids[self.ask_ctx[lo:hi]], prepend=np.uint64(0))), small(n_pairs[lo:hi]), small(self.word_ids[p]),
+                small(self.learned[p]), small(self.count[self.word[p]]),
             )
 
 
-def _answer_pairs(words: Words):
+def _answer_pairs(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
     """One bucket of the pair table, for every chunk: the pairs' total counts,
     and of each context asked about (its part here): its count, how many
-    words follow it 1..K times, and the lower-order chance of all that do."""
-
-    def run(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
-        bucket, parts = key[0].as_py(), [unpack(b) for b in asked.column("blob").to_pylist()]
-        contexts = np.concatenate([p[0] for p in parts])
-        names, ctx_at = np.unique(contexts, return_inverse=True)
-        ctx = np.repeat(ctx_at, np.concatenate([p[1].astype(np.int64) for p in parts]))
-        word = np.concatenate([p[2].astype(np.uint64) for p in parts])
-        learned = np.concatenate([p[3].astype(np.int64) for p in parts])
-        chance = np.concatenate([p[4].astype(np.int64) for p in parts])
-        order = np.lexsort((word, ctx))
-        c, w = ctx[order], word[order]
-        new = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])]) if len(c) else np.zeros(0, bool)
-        group = np.cumsum(new) - 1
-        total = np.bincount(group, learned[order]).astype(np.int64) if len(c) else np.zeros(0, np.int64)
-        at = np.empty(len(order), np.int64)
-        at[order] = group
-        owner, follows = c[new], total > 0
-        size = len(names)
-        tables = [np.bincount(owner, total, minlength=size).astype(np.int64)]
-        tables += [np.bincount(owner[total == r], minlength=size) for r in range(1, K + 1)]
-        below = words.chance(chance[order][new])
-        lower = np.bincount(owner[follows], below[follows], minlength=size)
-        pair_edges = np.cumsum([0] + [len(p[2]) for p in parts])
-        ctx_edges = np.cumsum([0] + [len(p[0]) for p in parts])
-        out = []
-        for i, chunk in enumerate(asked.column("chunk").to_pylist()):
-            mine = ctx_at[ctx_edges[i] : ctx_edges[i + 1]]
-            counts = total[at[pair_edges[i] : pair_edges[i + 1]]]
-            out.append((chunk, _PAIRS_FROM + bucket, pack(_small(counts), *[_small(t[mine]) for t in tables], lower[mine]), None))
-        return _rows([*out, (None, bucket, None, _count_stats(total))])
-
-    return run
+    words follow it 1..K times; and of the words that follow it, how many
+    occur 1..K times at all, and the sum of the other ones' counts.  These
+    are whole numbers, so parts of a context add up exactly."""
+    bucket, parts = key[0].as_py(), [unpack(b) for b in asked.column("blob").to_pylist()]
+    contexts = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+    names, ctx_at = np.unique(contexts, return_inverse=True)
+    ctx = np.repeat(ctx_at, np.concatenate([p[1].astype(np.int64) for p in parts]))
+    word = np.concatenate([p[2].astype(np.uint64) for p in parts])
+    learned = np.concatenate([p[3].astype(np.int64) for p in parts])
+    alone = np.concatenate([p[4].astype(np.int64) for p in parts])
+    order = np.lexsort((word, ctx))
+    c, w = ctx[order], word[order]
+    new = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])]) if len(c) else np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    total = np.bincount(group, learned[order]).astype(np.int64) if len(c) else np.zeros(0, np.int64)
+    at = np.empty(len(order), np.int64)
+    at[order] = group
+    owner, follows = c[new], total > 0
+    size = len(names)
+    tables = [np.bincount(owner, total, minlength=size).astype(np.int64)]
+    tables += [np.bincount(owner[total == r], minlength=size) for r in range(1, K + 1)]
+    below, after = alone[order][new][follows], owner[follows]
+    tables += [np.bincount(after[below == r], minlength=size) for r in range(1, K + 1)]
+    tables.append(np.bincount(after[below > K], below[below > K], minlength=size).astype(np.int64))
+    pair_edges = np.cumsum([0] + [len(p[2]) for p in parts])
+    ctx_edges = np.cumsum([0] + [len(p[0]) for p in parts])
+    out = []
+    for i, chunk in enumerate(asked.column("chunk").to_pylist()):
+        mine = ctx_at[ctx_edges[i] : ctx_edges[i + 1]]
+        counts = total[at[pair_edges[i] : pair_edges[i + 1]]]
+        out.append((chunk, _PAIRS_FROM + bucket, pack(small(counts), *[small(t[mine]) for t in tables]), None))
+    return _rows([*out, (None, bucket, None, _count_stats(total))])
 
 
 # --- 3: evaluation ----------------------------------------------------------------
@@ -317,7 +289,8 @@ def _evaluate(chunk: _Chunk, answers, words: Words, pair_stats):
     d = discounts(pair_stats[: K + 2])
     size = len(chunk.ctx_ids)
     add = lambda j: np.bincount(chunk.ask_ctx, np.concatenate([b[j] for b in blobs]).astype(float), minlength=size)
-    total, lower = add(1), add(K + 2)
+    total = add(1)
+    lower = (sum(add(1 + K + r) * r * words.d[r] for r in range(1, K + 1)) + add(2 + 2 * K)) / words.all
     left = sum(add(1 + r) * r * (1 - d[r]) for r in range(1, K + 1))
     # A context whose words are all frequent has nothing left: one more count pays for unseen words.
     whole = np.where(left > 0, total, total + 1)
@@ -358,7 +331,6 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id", text_
     state = chunks.where(F.col("bucket") == _STATE)
     questions = chunks.where(F.col("bucket") != _STATE)
     word_answers = written(questions.groupBy("bucket").applyInArrow(_answer_words, _ROW))
-    release_shuffles(spark)
     words = Words(_sum_stats(word_answers))
     learned_docs = slim.where(~F.col("held")).count()
     known = state.union(word_answers.where("chunk IS NOT NULL"))
@@ -369,8 +341,7 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id", text_
         return _rows([(key[0].as_py(), b, pack(*q), None) for b, *q in made.questions()])
 
     pairs = known.groupBy("chunk").applyInArrow(ask, _ROW)
-    pair_answers = written(pairs.groupBy("bucket").applyInArrow(_answer_pairs(words), _ROW))
-    release_shuffles(spark)
+    pair_answers = written(pairs.groupBy("bucket").applyInArrow(_answer_pairs, _ROW))
     pair_stats = _sum_stats(pair_answers)
     schema = T.StructType([
         T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()),

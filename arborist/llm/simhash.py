@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, partitions, release_shuffles, salted_join, written
+from .common import bounded, connected_components, partitions, salted_join, written
 
 SEED = 42
 # Blocks that a key is made of.  Three of seven blocks are 27 bits or more: few chance meetings.
@@ -100,7 +100,6 @@ def link_fingerprints(nodes: DataFrame, distance: int) -> DataFrame:
     )
     # Both sides have the exchange above: it runs once.
     met = written(members.join(hubs, ["part", "key"]).withColumn("near", _near("fp", "hub", distance)))
-    release_shuffles(spark)
     far = met.where(~F.col("near")).select("part", "key", "fp", "n")
     second = far.groupBy("part", "key").agg(F.max(F.struct("n", "fp"))["fp"].alias("hub2"))
     stars = met.where("near AND fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v"))
@@ -171,6 +170,13 @@ def keep_one(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """``docs`` with one row of each component: the row of its smallest id
     (repeated rows of that id: one; a component with null ids only: one)."""
     found = near_duplicates(docs, width, distance)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
-    kept = kept.distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"])).drop("__kept").dropDuplicates(["doc_id"])
+    least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = written(least.groupBy(F.col("doc_id").alias("__kept")).agg(F.count(F.lit(1)).alias("__n")))
+
+    def rows_of(ids: DataFrame) -> DataFrame:
+        n = ids.count()
+        return docs.join(bounded(ids, n, 16 * n), docs["doc_id"].eqNullSafe(ids["__kept"]), "left_semi")
+
+    out = rows_of(kept.where("__n = 1"))
+    repeated = kept.where("__n > 1")
+    return out if repeated.isEmpty() else out.union(rows_of(repeated).dropDuplicates(["doc_id"]))
