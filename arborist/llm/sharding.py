@@ -27,13 +27,6 @@ def _uniform(*columns) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def _by_shard(values: dict, default) -> Column:
-    out = F.lit(default)
-    for shard, v in values.items():
-        out = F.when(F.col("shard") == shard, F.lit(v)).otherwise(out)
-    return out
-
-
 def propagate(parcels: DataFrame, capacity: float, shards: int, rounds: int = ROUNDS) -> DataFrame:
     """Move ``parcels (link, size, shard, n)``: n documents of ``size`` bytes
     each.  Returns the same columns.  Only per-shard sums reach the driver."""
@@ -102,7 +95,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
         F.count(F.lit(1)).alias("n")
     )
     parcels = propagate(parcels, capacity, shards)
-    loads = {r[0]: r[1] for r in parcels.groupBy("shard").agg(F.sum(F.col("n") * F.col("size"))).collect()}
 
     # Parcels to documents: the documents of a link in hash order, shard after shard.
     upto = Window.partitionBy("link", "size").orderBy("shard")
@@ -113,22 +105,30 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
     )
     ranked = prefix_sums(linked, ["link", "size"], "key", ["doc_id"], F.lit(1), "rank", count)
     placed = salted_join(ranked, ends, ["link", "size"], F.col("key"))
-    placed = placed.withColumn("shard", F.filter("ends", lambda e: e["end"] > F.col("rank"))[0]["shard"])
+    columns = ["doc_id", "size", "text_crc32", "key"]
+    placed = placed.select(
+        *columns,
+        F.filter("ends", lambda e: e["end"] > F.col("rank"))[0]["shard"].cast("int").alias("shard"),
+        # Within a shard, links that are split anyway come last: they give way if it is too full.
+        F.when(F.size("ends") > 1, F.shiftrightunsigned("key", 1).bitwiseOR(F.lit(-(1 << 63))))
+        .otherwise(F.shiftrightunsigned("key", 1)).alias("order"),
+    )
+    upto = prefix_sums(placed, ["shard"], "order", ["doc_id"], F.col("size"), "upto", count)
+    placed = written(upto.withColumn("stays", F.col("upto") + F.col("size") / 2 <= F.lit(capacity)))
+    loads = {r[0]: r[1] for r in placed.where("stays").groupBy("shard").agg(F.sum("size")).collect()}
 
-    # Documents without a link: cut their prefix sums where the shards are full.
+    # All other documents: cut their prefix sums where the shards are full.
     room = [max(0.0, capacity - loads.get(s, 0)) for s in range(shards)]
-    scale = (total - sum(loads.values())) / sum(room) if sum(room) else 0.0
-    filled = prefix_sums(alone.withColumn("all", F.lit(1)), ["all"], "key", ["doc_id"], F.col("size"), "before", count)
+    scale = ((total or 0) - sum(loads.values())) / sum(room) if sum(room) else 0.0
+    others = alone.select(*columns).union(placed.where("NOT stays").select(*columns)).withColumn("all", F.lit(1))
+    filled = prefix_sums(others, ["all"], "key", ["doc_id"], F.col("size"), "before", count)
     middle = F.col("before") + F.col("size") / 2
     shard, edge = F.lit(shards - 1), scale * sum(room)
     for s in range(shards - 1, -1, -1):
         shard = F.when(middle < edge, F.lit(s)).otherwise(shard)
         edge -= scale * room[s]
-    columns = ["doc_id", "size", "text_crc32", "key"]
     whole = written(
-        placed.select(*columns, F.col("shard").cast("int").alias("shard")).union(
-            filled.select(*columns, shard.cast("int").alias("shard"))
-        )
+        placed.where("stays").select(*columns, "shard").union(filled.select(*columns, shard.cast("int").alias("shard")))
     )
     slots = prefix_sums(whole, ["shard"], "key", ["doc_id"], F.lit(1), "slot", count)
     return slots.select(
