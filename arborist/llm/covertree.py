@@ -16,7 +16,6 @@ A pivot with many vectors is split into several blocks.
 
 from __future__ import annotations
 
-import io
 import math
 
 import numpy as np
@@ -24,17 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, written
+from .common import connected_components, pack, small, unpack, written
 
 THRESHOLD = 0.9
 BLOCK_ROWS = 4096
 PIVOTS = 512  # at most; a bounded sample of the vectors, used only to deal the blocks
 LEVELS = 7  # radii 1, 1/2, ... 1/64; below that, single vectors
-_EPS = 1e-9  # room for rounding in the bounds; links themselves are decided by the cosine
+_EPS = 1e-7  # room for rounding in the bounds; links themselves are decided by the cosine
 _TILE = 1 << 20  # node pairs looked at together
+_DENSE = 1 << 12  # pairs of children from which a matrix product pays
 
 
-def _unit(values: np.ndarray) -> np.ndarray:
+def unit(values: np.ndarray) -> np.ndarray:
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
@@ -81,21 +81,24 @@ class Tree:
         lo, hi = self.levels[level]["span"][node]
         return self.order[lo:hi]
 
-    def dump(self) -> bytes:
-        out = io.BytesIO()
-        arrays = {f"{k}{i}": v for i, level in enumerate(self.levels) for k, v in level.items()}
-        np.savez(out, x=self.x, order=self.order, **arrays)
-        return out.getvalue()
+    def dump(self, raw: np.ndarray) -> bytes:
+        """Bytes of the tree; ``raw`` are the vectors that ``x`` was made of, in a
+        type as narrow as holds them."""
+        flat = [small(level[k].reshape(-1)) for level in self.levels for k in ("centre", "span", "child") if k in level]
+        return pack(raw.reshape(-1), len(raw), small(self.order), *flat, *[level["radius"] for level in self.levels])
 
     @classmethod
     def load(cls, blob: bytes) -> Tree:
-        data = np.load(io.BytesIO(blob))
+        raw, n, order, *rest = unpack(blob)
         tree = cls.__new__(cls)
-        tree.x, tree.order = data["x"], data["order"]
-        tree.levels = [
-            {k: data[f"{k}{i}"] for k in ("centre", "radius", "span", "child") if f"{k}{i}" in data}
-            for i in range(LEVELS + 2)
-        ]
+        tree.x, tree.order, tree.levels = unit(raw.astype(float).reshape(n, -1)), order.astype(np.int64), []
+        depths = LEVELS + 2
+        radii, flat = rest[-depths:], iter(rest[:-depths])
+        for depth in range(depths):
+            level = {"centre": next(flat).astype(np.int64), "span": next(flat).astype(np.int64).reshape(-1, 2)}
+            if depth + 1 < depths:
+                level["child"] = next(flat).astype(np.int64).reshape(-1, 2)
+            tree.levels.append(level | {"radius": radii[depth]})
         return tree
 
 
@@ -129,12 +132,15 @@ def traverse(a: Tree, b: Tree | None, threshold: float, links: _Links) -> None:
     shift = 0 if same else len(a.x)
     bound = math.sqrt(2 - 2 * threshold)
     last = len(a.levels) - 1
-    stack = [(0, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    while stack:
-        level, i, j = stack.pop()
+    narrow = [(t.x.astype(np.float32)) for t in ([a] if same else [a, b])]
+
+    def settle(level: int, i: np.ndarray, j: np.ndarray):
+        """Drop, link as a whole, or link vectors; what is left must go down."""
+        if same:
+            i, j = i[i <= j], j[i <= j]
         la, lb = a.levels[level], b.levels[level]
         ci, cj = la["centre"][i], lb["centre"][j]
-        cosine = _cosines(a.x, b.x, ci, cj)
+        cosine = np.einsum("ij,ij->i", a.x[ci], b.x[cj])
         if level == last:
             hit = cosine >= threshold
             if same:
@@ -143,13 +149,11 @@ def traverse(a: Tree, b: Tree | None, threshold: float, links: _Links) -> None:
             np.add.at(links.counts, p, 1)
             np.add.at(links.counts, q, 1)
             links.join(p, q)
-            continue
+            return
         apart = np.sqrt(np.maximum(2 - 2 * cosine, 0))
         reach = la["radius"][i] + lb["radius"][j]
         whole = apart + reach <= bound - _EPS
         for s, t in zip(i[whole].tolist(), j[whole].tolist()):
-            if same and s > t:
-                continue
             p, q = a.members(level, s), b.members(level, t) + shift
             itself = same and s == t
             links.counts[p] += len(q) - itself
@@ -158,26 +162,43 @@ def traverse(a: Tree, b: Tree | None, threshold: float, links: _Links) -> None:
             links.join(p, np.full(len(p), q[0]))
             links.join(q, np.full(len(q), p[0]))
         down = ~whole & (apart - reach <= bound + _EPS)
-        if same:
-            down &= i <= j
-        i, j = i[down], j[down]
-        if len(i):
-            stack.extend(_children(level + 1, a.levels[level]["child"], b.levels[level]["child"], i, j))
+        if down.any():
+            stack.append((level, i[down], j[down]))
 
-
-def _cosines(x, y, ci, cj) -> np.ndarray:
-    """Cosines of the listed pairs; a dense list is one matrix product."""
-    rows, at_i = np.unique(ci, return_inverse=True)
-    cols, at_j = np.unique(cj, return_inverse=True)
-    if len(rows) * len(cols) <= 4 * len(ci):
-        return (x[rows] @ y[cols].T)[at_i, at_j]
-    return np.einsum("ij,ij->i", x[ci], y[cj])
-
-
-def _children(level, ca, cb, i, j):
+    stack: list = []
+    settle(0, np.zeros(1, np.int64), np.zeros(1, np.int64))
+    while stack:
+        level, i, j = stack.pop()
+        ca, cb = a.levels[level]["child"], b.levels[level]["child"]
+        wide = (ca[i, 1] - ca[i, 0]) * (cb[j, 1] - cb[j, 0]) >= _DENSE
+        for s, t in zip(i[wide].tolist(), j[wide].tolist()):
+            for p, q in _near(a, b, narrow, level + 1, ca[s], cb[t], bound):
+                settle(level + 1, p, q)
+        if not wide.all():
+            for p, q in _children(ca, cb, i[~wide], j[~wide]):
+                settle(level + 1, p, q)
+
+
+def _near(a: Tree, b: Tree, narrow, level: int, rows, cols, bound: float):
+    """Pairs of the children ``rows`` x ``cols`` that the bounds may keep: all
+    cosines as single-precision matrix products, some rows at a time, with
+    room for their rounding."""
+    la, lb = a.levels[level], b.levels[level]
+    y = narrow[-1][lb["centre"][cols[0] : cols[1]]]
+    widest = lb["radius"][cols[0] : cols[1]].max()
+    step = max(1, _TILE // (cols[1] - cols[0]))
+    for lo in range(rows[0], rows[1], step):
+        hi = min(lo + step, rows[1])
+        limit = np.minimum(2.0, bound + la["radius"][lo:hi] + widest + _EPS)
+        least = (1 - limit * limit / 2 - 1e-5).astype(np.float32)
+        p, q = np.nonzero(narrow[0][la["centre"][lo:hi]] @ y.T >= least[:, None])
+        for at in range(0, len(p), _TILE):
+            yield p[at : at + _TILE] + lo, q[at : at + _TILE] + cols[0]
+
+
+def _children(ca, cb, i, j):
     """All pairs of children of the pairs (i, j), in pieces of about _TILE pairs."""
     na, nb = ca[i, 1] - ca[i, 0], cb[j, 1] - cb[j, 0]
-    # Large products: rows of the first node's children, some at a time.
     rows = np.repeat(np.arange(len(i)), na)
     first = ca[i, 0][rows] + np.arange(len(rows)) - np.repeat(np.cumsum(na) - na, na)
     width = nb[rows]
@@ -187,7 +208,7 @@ def _children(level, ca, cb, i, j):
     for cut in np.unique(np.minimum(cuts + 1, len(rows))):
         r, w = rows[lo:cut], width[lo:cut]
         at = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
-        yield level, np.repeat(first[lo:cut], w), np.repeat(cb[j, 0][r], w) + at
+        yield np.repeat(first[lo:cut], w), np.repeat(cb[j, 0][r], w) + at
         lo = cut
 
 
@@ -207,7 +228,7 @@ def _blocks(vectors: DataFrame, n: int) -> DataFrame:
     by_size: dict[int, list] = {}
     for (v,) in picked:
         by_size.setdefault(len(v), []).append(v)
-    centres = {d: _unit(np.array(vs, float)) for d, vs in by_size.items()}
+    centres = {d: unit(np.array(vs, float)) for d, vs in by_size.items()}
 
     def run(batches):
         for batch in batches:
@@ -229,14 +250,16 @@ def _blocks(vectors: DataFrame, n: int) -> DataFrame:
 def _build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     """One block's tree; its root's centre and radius."""
     order = np.argsort(rows.column("row").to_numpy())
-    x = _unit(np.array(rows.column("vector").to_pylist(), float)[order])
+    vectors = np.array(rows.column("vector").to_pylist(), float)[order]
+    single = vectors.astype(np.float32)
+    x = unit(vectors)
     tree = Tree(x)
     root = tree.levels[0]
     return pa.table({
         "dim": pa.array([key[0].as_py()["dim"]], pa.int32()),
         "name": [repr(key[0].as_py())], "rows": [rows.column("row").to_numpy()[order].tolist()],
         "centre": [x[root["centre"][0]].tolist()], "radius": [float(root["radius"][0])],
-        "tree": pa.array([tree.dump()], pa.binary()),
+        "tree": pa.array([tree.dump(single if (single == vectors).all() else vectors)], pa.binary()),
     })
 
 
