@@ -19,8 +19,8 @@ WORD = f"[^{SPACE}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # A side is broadcast only when it was counted and is below both bounds.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 16 << 20
+BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 4 << 20
 
 # Copies of the small side of a salted join.
 SALTS = 16
@@ -50,7 +50,8 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and
     read back from storage if an executor is lost (no lineage kept).  The
-    shuffle files behind it are dropped."""
+    shuffle files behind it are dropped; the table itself goes when the
+    driver ends, so frames built on it live as long as the session."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, None)
@@ -62,6 +63,8 @@ def written(df: DataFrame) -> DataFrame:
             spark.conf.unset(_CLEANUP)
         else:
             spark.conf.set(_CLEANUP, before)
+    stored = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stored.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(stored)
     return spark.read.schema(df.schema).parquet(path)
 
 

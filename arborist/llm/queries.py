@@ -65,22 +65,76 @@ _SPACE = r"[\x20\x09-\x0D]+"
 ORACLE_SQL = {
     "op6_decontamination": f"""
         WITH items AS (
-            SELECT item_id, list_filter(string_split_regex(lower(text), '{_SPACE}'), x -> x <> '') AS w FROM benchmark
+            SELECT item_id, list_filter(string_split_regex(lower(text), '{_SPACE}'), lambda x: x <> '') AS w FROM benchmark
         ), item_words AS (
             SELECT item_id, w, least(5, len(w)) AS k FROM items WHERE len(w) > 0
         ), item_shingles AS (
-            SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), i -> array_to_string(w[i:i + k - 1], ' '))) AS s
+            SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
             FROM item_words
         ), sizes AS (
             SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id
         ), docs AS (
-            SELECT doc_id, list_filter(string_split_regex(lower(text), '{_SPACE}'), x -> x <> '') AS w FROM documents
+            SELECT doc_id, list_filter(string_split_regex(lower(text), '{_SPACE}'), lambda x: x <> '') AS w FROM documents
         ), doc_shingles AS (
-            SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), i -> array_to_string(w[i:i + k - 1], ' '))) AS s
+            SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
             FROM docs, (SELECT DISTINCT k FROM item_words) WHERE len(w) >= k
         )
         SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_found
         FROM doc_shingles JOIN item_shingles USING (k, s) JOIN sizes USING (item_id)
         GROUP BY doc_id, item_id, n HAVING count(*) >= ceil(0.8 * n - 1e-9)
     """,
+    "op8_covertree": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+        ), usable AS (
+            SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM vectors
+            WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
+        ), links AS (
+            SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.9
+        ), reach AS (
+            SELECT vec_id AS u, vec_id AS v FROM vectors
+            UNION
+            SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v
+        ), least AS (
+            SELECT u, min(v) AS component_id FROM reach GROUP BY u
+        )
+        SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.u = e.vec_id) AS n_links, c.component_id,
+               e.vec_id = c.component_id AS kept
+        FROM embeddings e JOIN least c ON c.u = e.vec_id
+    """,
+    "op10_mixing": """
+        WITH sized AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+                   substr(md5(concat_ws(':', 'mix', CAST(doc_id AS VARCHAR))), 1, 15) AS k FROM documents
+        ), sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+            FROM sized GROUP BY source
+        ), ranked AS (
+            SELECT *, 3 * source_size / weight AS fill, sum(source_size) OVER () AS whole,
+                   coalesce(sum(3 * source_size) OVER before, 0) AS held, sum(weight) OVER later AS free
+            FROM sources WINDOW
+                before AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                later AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+        ), level AS (
+            -- the first source, by how soon it fills up, that stays below its cap
+            SELECT CAST(whole - held AS DOUBLE) / free AS level FROM ranked
+            WHERE CAST(whole - held AS DOUBLE) / free < fill ORDER BY fill LIMIT 1
+        ), targets AS (
+            SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * coalesce((SELECT level FROM level), 0)) AS target
+            FROM sources
+        ), budgets AS (
+            SELECT *, least(3 * source_size, CAST(round(target) AS BIGINT)) AS budget FROM targets
+        ), ordered AS (
+            SELECT s.doc_id, s.size, b.source_size, b.target, b.budget,
+                   coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM sized s JOIN budgets b ON b.source IS NOT DISTINCT FROM s.source
+        )
+        SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+               CAST(CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size
+                    + greatest(0, least(size, budget % source_size - before)) END AS BIGINT) AS taken
+        FROM ordered
+    """,
 }
