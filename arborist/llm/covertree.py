@@ -185,13 +185,16 @@ def _near(a: Tree, b: Tree, narrow, level: int, rows, cols, bound: float):
     room for their rounding."""
     la, lb = a.levels[level], b.levels[level]
     y = narrow[-1][lb["centre"][cols[0] : cols[1]]]
-    widest = lb["radius"][cols[0] : cols[1]].max()
+    reach = (lb["radius"][cols[0] : cols[1]] + bound + _EPS).astype(np.float32)
     step = max(1, _TILE // (cols[1] - cols[0]))
     for lo in range(rows[0], rows[1], step):
         hi = min(lo + step, rows[1])
-        limit = np.minimum(2.0, bound + la["radius"][lo:hi] + widest + _EPS)
-        least = (1 - limit * limit / 2 - 1e-5).astype(np.float32)
-        p, q = np.nonzero(narrow[0][la["centre"][lo:hi]] @ y.T >= least[:, None])
+        least = la["radius"][lo:hi, None].astype(np.float32) + reach
+        np.minimum(least, 2, out=least)
+        least *= least
+        least *= -0.5
+        least += 1 - 1e-5
+        p, q = np.nonzero(narrow[0][la["centre"][lo:hi]] @ y.T >= least)
         for at in range(0, len(p), _TILE):
             yield p[at : at + _TILE] + lo, q[at : at + _TILE] + cols[0]
 
