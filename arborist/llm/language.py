@@ -18,8 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
-
 DIMS = 1 << 12
 SAMPLE_ROWS = 4000  # labelled documents the centroids are fitted on, at most
 SAMPLE_BYTES = 24 << 20  # their text, at most (whole documents only)
