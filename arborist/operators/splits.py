@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.gini import SQUARE_TYPE, side_gini, square, tied_gini, weighted_gini
-from ..session import materialize, maybe_broadcast, small_frame
+from ..session import maybe_broadcast, persisted, small_frame
 from ..settings import CATEGORICAL, FILLER_STRING, ORDINAL, TreeSettings
 from .histogram import class_histogram, numeric_cells, threshold_column
 from .thresholds import approx_quantiles, distinct_threshold_rows, exact_quantile_rows
@@ -106,13 +106,13 @@ def thresholds_frames(spark: SparkSession, rows: list, ordinal, n_quantiles: int
 
 
 def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings, max_nodes: int,
-                    freeze=materialize):
+                    freeze=persisted):
     """Thresholds jobs + counts job of one level.
 
     Returns ``(hist, thresholds_long, threshold_rows)``.  ``hist`` is
     computed in one pass over ``frame`` and passed through ``freeze``, so
-    that its readers share that pass: persisted by default (the caller
-    unpersists it), ``reliable_checkpoint`` for results handed to a caller.
+    that its readers share that pass: persisted by default, and computed by
+    the first of them (the caller unpersists it), ``reliable_checkpoint`` for results handed to a caller.
     It does not grow with the rows.  It is partitioned on (node, feature,
     label): neither a node nor a feature with many labels is one task.
     """
@@ -124,20 +124,22 @@ def level_histogram(frame: DataFrame, label: str, kinds: dict, settings: TreeSet
 
 
 def with_label_totals(hist: DataFrame, reference: bool) -> DataFrame:
-    """Adds ``base``: the total of the row's label in its (node, feature),
-    the pool a split's two sides are drawn from.  NULL numeric values are
-    part of it except under reference semantics."""
+    """Adds two totals of the row's label in its (node, feature): ``rows``, and
+    ``base``, the pool a split's two sides are drawn from.  NULL numeric
+    values are in both, except that reference semantics leave them out of
+    ``base``."""
     non_null = (F.col("kind") == CATEGORICAL) | (F.col("bucket") >= 0)
     counted = F.when(non_null, F.col("cnt")).otherwise(F.lit(0)) if reference else F.col("cnt")
-    return hist.withColumn("base", F.sum(counted).over(Window.partitionBy("node_id", "feature", "label")))
+    label = Window.partitionBy("node_id", "feature", "label")
+    return hist.withColumn("base", F.sum(counted).over(label)).withColumn("rows", F.sum("cnt").over(label))
 
 
 def label_totals(hist: DataFrame, reference: bool) -> DataFrame:
-    """``(node_id, feature, label, base)``."""
+    """``(node_id, feature, label, base, rows)``."""
     return (
         with_label_totals(hist, reference)
         .groupBy("node_id", "feature", "label")
-        .agg(F.max("base").alias("base"))
+        .agg(F.max("base").alias("base"), F.max("rows").alias("rows"))
     )
 
 
@@ -167,7 +169,8 @@ def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = F
     """All candidates of all (node, feature) groups of ``hist`` with their scores.
 
     Columns: node_id, feature, kind, selection, threshold, category,
-    n_left, n_right, gini_left, gini_right, child_gini.  The sums per label
+    n_left, n_right, gini_left, gini_right, child_gini, and of the node
+    n_rows and n_labels.  The sums per label
     run inside the partitions of ``hist``, as :func:`level_histogram`
     returns it; only partial sums per candidate move after that.
     ``threshold_rows`` is the number of threshold rows (they were collected
@@ -176,7 +179,8 @@ def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = F
     """
     dec = SQUARE_TYPE
     group = label_totals(hist, reference).groupBy("node_id", "feature").agg(
-        F.sum("base").alias("n_all"), F.sum(square(F.col("base"))).alias("sq_all")
+        F.sum("base").alias("n_all"), F.sum(square(F.col("base"))).alias("sq_all"),
+        F.sum("rows").alias("n_rows"), F.count(F.lit(1)).alias("n_labels"),
     )
     sums = (
         left_counts(hist, reference)
@@ -213,6 +217,8 @@ def score_candidates(hist: DataFrame, thresholds: DataFrame, reference: bool = F
         g_left.alias("gini_left"),
         g_right.alias("gini_right"),
         child.alias("child_gini"),
+        "n_rows",
+        "n_labels",
     )
 
 
@@ -222,14 +228,14 @@ def best_per(candidates: DataFrame, keys) -> DataFrame:
     return candidates.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def node_label_counts(hist: DataFrame, first_feature: str) -> DataFrame:
-    """``(node_id, label, cnt)``: every feature's cells cover every row of
-    the node once, so the first feature's cells give the node's label mix."""
-    return (
-        hist.where(F.col("feature") == F.lit(first_feature))
-        .groupBy("node_id", "label")
-        .agg(F.sum("cnt").alias("cnt"))
-    )
+def best_per_node(candidates: DataFrame) -> DataFrame:
+    """The candidate with a score that is first in :func:`split_order`, per
+    node: one map-side combined aggregation.  (A feature has either
+    thresholds or categories, so nulls never meet.)"""
+    order = ["child_gini", "feature", "threshold", "category"]
+    rest = [c for c in candidates.columns if c not in ("node_id", *order)]
+    first = F.min(F.struct(*order, *rest)).alias("best")
+    return candidates.where(F.col("child_gini").isNotNull()).groupBy("node_id").agg(first).select("node_id", "best.*")
 
 
 def _bounded(thresholds: DataFrame, rows: int | None) -> DataFrame:

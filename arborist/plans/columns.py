@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.features import feature_kinds
 from ..operators.bucketing import prepare_frame
 from ..operators.splits import best_per, level_histogram, score_candidates, side_counts, split_order
-from ..session import maybe_broadcast, persist_input, reliable_checkpoint
+from ..session import maybe_broadcast, persisted, reliable_checkpoint
 from ..settings import CATEGORICAL, ORDINAL, TreeSettings
 
 
@@ -29,7 +29,7 @@ def root_histogram(df: DataFrame, label: str, features=None, settings: TreeSetti
     held: list = []
 
     def persist(selected: DataFrame) -> DataFrame:
-        held.append(persist_input(selected))
+        held.append(persisted(selected))
         return held[0]
 
     try:

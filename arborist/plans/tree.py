@@ -36,9 +36,9 @@ from pyspark.sql import types as T
 from ..functions.features import require_free_output
 from ..functions.predicates import rule_text
 from ..operators.bucketing import prepare_frame
-from ..operators.splits import best_per, level_histogram, node_label_counts, score_candidates
+from ..operators.splits import best_per_node, level_histogram, score_candidates
 from ..operators.labels import majority_label
-from ..session import batches, persist_input, small_frame
+from ..session import batches, persisted, small_frame
 from ..settings import TreeSettings
 from .routing import assign_labels, assign_leaves
 
@@ -172,7 +172,7 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     held: list = []
 
     def persist(selected: DataFrame) -> DataFrame:
-        held.append(persist_input(selected))
+        held.append(persisted(selected))
         return held[0]
 
     try:
@@ -206,7 +206,7 @@ def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) ->
             if best is not None:
                 node.n_rows = best["n_rows"]
             pure = best is not None and best["n_labels"] <= 1
-            if best is None or best["feature"] is None or (pure and not settings.reference):
+            if best is None or (pure and not settings.reference):
                 node.closed = True
                 continue
             next_frontier.extend(_split(node, best, settings, nodes))
@@ -215,20 +215,14 @@ def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) ->
 
 
 def _best_splits(routed: DataFrame, node_ids: list[int], label: str, kinds: dict, settings: TreeSettings) -> dict:
-    """Statistics and best split, if any, of a batch of nodes: one row each
-    reaches the driver.  The histogram is one pass over the nodes' rows and
+    """Statistics and best split of a batch of nodes: one row for each node
+    that has a split reaches the driver.  The histogram is one pass over the nodes' rows and
     persisted for its readers."""
     mine = routed.where(F.col("node_id").isin(node_ids))
     hist, thresholds, rows = level_histogram(mine, label, kinds, settings, max_nodes=len(node_ids))
     try:
-        scored = score_candidates(hist, thresholds, settings.reference, len(rows)).where(F.col("child_gini").isNotNull())
-        stats = (
-            node_label_counts(hist, next(iter(kinds)))
-            .groupBy("node_id")
-            .agg(F.count(F.lit(1)).alias("n_labels"), F.sum("cnt").alias("n_rows"))
-        )
-        best = best_per(best_per(scored, ["node_id", "feature"]), ["node_id"])
-        return {r["node_id"]: r for r in stats.join(best, "node_id", "left").collect()}
+        best = best_per_node(score_candidates(hist, thresholds, settings.reference, len(rows)))
+        return {r["node_id"]: r for r in best.collect()}
     finally:
         hist.unpersist()
 

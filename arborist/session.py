@@ -61,16 +61,15 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Persist ``df`` and compute it once; the caller unpersists it.
+def persisted(df: DataFrame) -> DataFrame:
+    """Persist ``df``: the first job that reads it computes it, and the caller
+    unpersists it.
 
-    For per-level intermediates whose lineage is one scan and a few
-    aggregations: a lost cached block is recomputed from that short
-    lineage (same plan, same partitioner), so nothing needs writing out.
+    For per-level intermediates and column-pruned inputs whose lineage is
+    one scan and a few aggregations: a lost cached block is recomputed from
+    that short lineage, so nothing needs writing out.
     """
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
-    return df
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
@@ -85,13 +84,6 @@ def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFr
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
-def persist_input(frame: DataFrame) -> DataFrame:
-    """Persist a column-pruned input that several passes will read (the
-    caller unpersists it).  It keeps its partitioning and is computed by
-    the first job that reads it."""
-    return frame.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def batches(items: list, width: int) -> list[list]:
     """``items`` in runs whose frames of ``width`` columns stay within the
     broadcast bounds."""
