@@ -172,29 +172,42 @@ def traverse(a: Tree, b: Tree | None, threshold: float, links: _Links) -> None:
         ca, cb = a.levels[level]["child"], b.levels[level]["child"]
         wide = (ca[i, 1] - ca[i, 0]) * (cb[j, 1] - cb[j, 0]) >= _DENSE
         for s, t in zip(i[wide].tolist(), j[wide].tolist()):
-            for p, q in _near(a, b, narrow, level + 1, ca[s], cb[t], bound):
-                settle(level + 1, p, q)
+            below, rows, cols = level + 1, ca[s], cb[t]
+            to_a, to_b = a.levels[level]["span"][s], b.levels[level]["span"][t]
+            if _pairs(to_a, to_b) <= 2 * _pairs(rows, cols):
+                # Nearly all nodes below are single vectors: no radius can spare more than half of them.
+                below, rows, cols = last, to_a, to_b
+            for p, q in _near(a, b, narrow, below, rows, cols, bound):
+                settle(below, p, q)
         if not wide.all():
             for p, q in _children(ca, cb, i[~wide], j[~wide]):
                 settle(level + 1, p, q)
 
 
+def _pairs(rows, cols) -> int:
+    return int(rows[1] - rows[0]) * int(cols[1] - cols[0])
+
+
 def _near(a: Tree, b: Tree, narrow, level: int, rows, cols, bound: float):
-    """Pairs of the children ``rows`` x ``cols`` that the bounds may keep: all
-    cosines as single-precision matrix products, some rows at a time, with
-    room for their rounding."""
+    """Pairs of the nodes ``rows`` x ``cols`` of a level that the bounds may
+    keep: all cosines as single-precision matrix products, some rows at a
+    time, with room for their rounding."""
     la, lb = a.levels[level], b.levels[level]
-    y = narrow[-1][lb["centre"][cols[0] : cols[1]]]
+    y = narrow[-1][lb["centre"][cols[0] : cols[1]]].T
     reach = (lb["radius"][cols[0] : cols[1]] + bound + _EPS).astype(np.float32)
-    step = max(1, _TILE // (cols[1] - cols[0]))
+    step = max(1, _TILE // int(cols[1] - cols[0]))
     for lo in range(rows[0], rows[1], step):
         hi = min(lo + step, rows[1])
-        least = la["radius"][lo:hi, None].astype(np.float32) + reach
-        np.minimum(least, 2, out=least)
+        cosine = narrow[0][la["centre"][lo:hi]] @ y
+        own = la["radius"][lo:hi].astype(np.float32)
+        widest = min(2.0, float(own.max() + reach.max()))
+        if cosine.max() < 1 - widest * widest / 2 - 1e-5:
+            continue
+        least = np.minimum(own[:, None] + reach, 2)
         least *= least
         least *= -0.5
         least += 1 - 1e-5
-        p, q = np.nonzero(narrow[0][la["centre"][lo:hi]] @ y.T >= least)
+        p, q = np.nonzero(cosine >= least)
         for at in range(0, len(p), _TILE):
             yield p[at : at + _TILE] + lo, q[at : at + _TILE] + cols[0]
 
