@@ -31,7 +31,7 @@ try:
     import corpus_pipeline  # noqa: E402
     from arborist.llm.queries import ORACLE_SQL as LLM_SQL  # noqa: E402
     from arborist.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
-except ModuleNotFoundError as error:
+except ImportError as error:
     if not (error.name or "").startswith(("arborist.llm", "corpus_pipeline")):
         raise
     corpus_pipeline, LLM_QUERIES, LLM_SQL = None, {}, {}
