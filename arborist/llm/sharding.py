@@ -138,22 +138,19 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
 
 
 def sharded_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot``.  Rows of an id are matched in
-    turn: they differ in nothing that placed them, or by their size."""
-    place = shard_documents(docs, shards).select("doc_id", "size", "text_crc32", "shard", "slot")
-    same = ["__id", "__size", "__crc"]
-    place = place.select(
-        F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("text_crc32").alias("__crc"), "shard", "slot"
-    ).withColumn("__n", F.row_number().over(Window.partitionBy(*same).orderBy("shard", "slot")))
+    """``docs`` with ``shard`` and ``slot``.  Rows that repeat an id and a text
+    take that text's places in turn: nothing that placed them differs."""
+
+    def key(*columns: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(columns[0].cast("string"), F.lit("")), *columns[1:])
+
+    place = shard_documents(docs, shards).groupBy(key(F.col("doc_id"), F.col("size"), F.col("text_crc32")).alias("__key"))
+    place = place.agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("__places"))  # one per repeat
     text = F.col("text")
-    docs = (
-        docs.drop("shard", "slot")
-        .withColumn("__id", F.col("doc_id"))
-        .withColumn("__size", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long"))
-        .withColumn("__crc", F.coalesce(F.crc32(text), F.lit(0)))
-        .withColumn("__n", F.row_number().over(Window.partitionBy(*same).orderBy("doc_id")))
-    )
-    on = [docs["__id"].eqNullSafe(place["__id"]), *[docs[c] == place[c] for c in ("__size", "__crc", "__n")]]
-    for c in on[1:]:
-        on[0] = on[0] & c
-    return docs.join(place, on[0]).select(*[c for c in docs.columns if c[:2] != "__"], place["shard"], place["slot"])
+    bytes_, crc = F.coalesce(F.octet_length(text), F.lit(0)) + 1, F.coalesce(F.crc32(text), F.lit(0))
+    keep = [c for c in docs.columns if c not in ("shard", "slot")]
+    # The join and the window below share one exchange of the texts.
+    joined = docs.select(*keep, key(F.col("doc_id"), bytes_.cast("long"), crc).alias("__key")).join(place, "__key")
+    turn = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    at = F.element_at("__places", turn)
+    return joined.withColumn("__at", at).select(*keep, F.col("__at.shard").alias("shard"), F.col("__at.slot").alias("slot"))
