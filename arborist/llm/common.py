@@ -47,12 +47,19 @@ def shared_dir(spark: SparkSession) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame) -> DataFrame:
+# Rows of a file, at least, where the number of rows is known beforehand.
+FILE_ROWS = 250_000
+
+
+def written(df: DataFrame, most_rows: int | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and
     read back from storage if an executor is lost (no lineage kept).  The
     shuffle files behind it are dropped; the table itself goes when the
-    driver ends, so frames built on it live as long as the session."""
+    driver ends, so frames built on it live as long as the session.
+    ``most_rows``, a bound of its rows, keeps small tables in few files."""
     spark = df.sparkSession
+    if most_rows is not None:
+        df = df.coalesce(max(1, math.ceil(most_rows / FILE_ROWS)))
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
@@ -161,7 +168,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if not state[0] or state == seen:
             break
         seen = state
-        edges = written(_star(_star(edges, True), False))
+        # A star step gives at most one edge for each it takes, a small one one more for each node.
+        edges = written(_star(_star(edges, True), False), 2 * state[0])
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 

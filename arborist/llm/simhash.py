@@ -84,8 +84,8 @@ def _near(a: str, b: str, distance: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
 
 
-def link_fingerprints(nodes: DataFrame, distance: int) -> DataFrame:
-    """``(fp, root)`` for every fingerprint with a link, from distinct
+def link_fingerprints(nodes: DataFrame, distance: int, n_nodes: int) -> DataFrame:
+    """``(fp, root)`` for every fingerprint with a link, from ``n_nodes`` distinct
     ``nodes (fp, n)``; ``n`` is how many documents have it."""
     spark = nodes.sparkSession
     keys = F.array(*[
@@ -108,7 +108,7 @@ def link_fingerprints(nodes: DataFrame, distance: int) -> DataFrame:
         .where(_near("fp", "hub2", distance) & (F.col("fp") != F.col("hub2")))
         .select(F.col("fp").alias("u"), F.col("hub2").alias("v"))
     )
-    first = written(connected_components(stars.union(more)))
+    first = written(connected_components(stars.union(more)), n_nodes)
 
     # What the stars left open: members of one key in different components.
     open_keys = met.where(~F.col("near")).select("part", "key").distinct()
@@ -125,7 +125,7 @@ def link_fingerprints(nodes: DataFrame, distance: int) -> DataFrame:
         .select(F.col("a.root").alias("u"), F.col("b.root").alias("v"))
         .distinct()
     )
-    merged = written(connected_components(across))
+    merged = written(connected_components(across), n_nodes)
     roots = first.select(F.col("node").alias("fp"), F.col("root").alias("r")).join(
         merged.select(F.col("node").alias("r"), F.col("root").alias("r2")), "r", "left"
     ).select("fp", F.coalesce("r2", "r").alias("root"))
@@ -146,12 +146,13 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, id_col:
     """
     fps = written(fingerprints(docs, width, id_col, text_col))
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
-    linked = written(link_fingerprints(nodes.select("fp", "n"), distance))
+    n_nodes = nodes.count()
+    linked = written(link_fingerprints(nodes.select("fp", "n"), distance, n_nodes), n_nodes)
     rooted = nodes.join(linked, "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # A component may hold most fingerprints and a fingerprint most documents: both joins are salted.
     named = salted_join(rooted, least, ["root"], F.xxhash64("fp"))
-    named = written(named.select("fp", "component_id", "n"))
+    named = written(named.select("fp", "component_id", "n"), n_nodes)
     return _by_fingerprint(fps, named)
 
 

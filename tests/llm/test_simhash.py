@@ -77,7 +77,7 @@ def test_chain_and_large_group(docs_of, monkeypatch):
     fps = chain + group
     spark_rows = [(f - (1 << 64) if f >> 63 else f, 1) for f in set(fps)]
     nodes = docs_of([(1, "x")]).sparkSession.createDataFrame(spark_rows, "fp long, n long")
-    roots = {r["fp"] % (1 << 64): r["root"] for r in simhash.link_fingerprints(nodes, 4).collect()}
+    roots = {r["fp"] % (1 << 64): r["root"] for r in simhash.link_fingerprints(nodes, 4, len(spark_rows)).collect()}
     assert len({roots[f] for f in chain}) == 1
     assert len({roots[f] for f in set(group)}) == 1
     assert roots[chain[0]] != roots[group[0]]
