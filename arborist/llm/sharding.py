@@ -130,6 +130,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
     whole = written(
         placed.where("stays").select(*columns, "shard").union(filled.select(*columns, shard.cast("int").alias("shard")))
     )
+    # Hashed anew: the shards above are ranges of the old hash.
+    whole = whole.withColumn("key", F.xxhash64("key", F.lit("slot")))
     slots = prefix_sums(whole, ["shard"], "key", ["doc_id"], F.lit(1), "slot", count)
     return slots.select(
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot",
