@@ -48,7 +48,7 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 # Rows of a file, at least, where the number of rows is known beforehand.
-FILE_ROWS = 250_000
+FILE_ROWS = 50_000
 
 
 def written(df: DataFrame, most_rows: int | None = None) -> DataFrame:
