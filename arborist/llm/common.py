@@ -75,6 +75,14 @@ def written(df: DataFrame, most_rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(df: DataFrame, text_col: str = "text") -> Column:
+    """SHA-256 of all columns of a row, 32 bytes: rows that share it agree in
+    the text and the others.  It follows from the row alone, so it is the
+    same in every pass, without a numbered copy of the texts."""
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col] or [F.lit(0).alias("none")]))
+    return F.unhex(F.sha2(F.concat(F.coalesce(F.sha2(F.col(text_col), 256), F.lit("")), others), 256))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, bounded, salted_join, written
+from .common import SPACE, bounded, row_key, salted_join, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -124,7 +124,11 @@ def _contained(slim: DataFrame, items: DataFrame, width: int, longest: bool, thr
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold an item."""
-    hold = written(contained_items(docs, items, **options).select(F.col("doc_id").alias("__id")).distinct())
+    """``docs`` without the rows whose text holds an item; what other rows of
+    the same id, or of none, hold does not count."""
+    text_col = options.get("text_col", "text")
+    keyed = docs.withColumn("__row", row_key(docs, text_col))
+    found = contained_items(keyed, items, **{**options, "id_col": "__row"})
+    hold = written(found.select(F.col("doc_id").alias("__id")).distinct())
     n = hold.count()
-    return docs.join(bounded(hold, n, 16 * n), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    return keyed.join(bounded(hold, n, 48 * n), F.col("__row") == F.col("__id"), "left_anti").drop("__row")

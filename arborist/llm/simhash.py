@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, connected_components, partitions, salted_join, written
+from .common import bounded, connected_components, partitions, row_key, salted_join, written
 
 SEED = 42
 # Blocks that a key is made of.  Three of seven blocks are 27 bits or more: few chance meetings.
@@ -168,16 +168,25 @@ def _by_fingerprint(fps: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
-    """``docs`` with one row of each component: the row of its smallest id
-    (repeated rows of that id: one; a component with null ids only: one)."""
-    found = near_duplicates(docs, width, distance)
-    least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = written(least.groupBy(F.col("doc_id").alias("__kept")).agg(F.count(F.lit(1)).alias("__n")))
+    """``docs`` with one row of each component: the row of its smallest id,
+    nulls last, then the least by a hash of all columns (equal rows: one).
+    Rows count for themselves: that an id is null or stands elsewhere too is no link."""
+    keyed = docs.select("doc_id", "text", row_key(docs).alias("__row"))
+    fps = written(fingerprints(keyed.select(F.struct("doc_id", "__row").alias("doc_id"), "text"), width))
+    rows = fps.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    place = F.struct(F.col("doc_id.doc_id").isNull().alias("last"), "doc_id.doc_id", "doc_id.__row", "n")
+    nodes = written(rows.groupBy("fp").agg(F.min(place).alias("least"), F.sum("n").alias("n")))
+    n_nodes = nodes.count()
+    linked = written(link_fingerprints(nodes.select("fp", "n"), distance, n_nodes), n_nodes)
+    rooted = nodes.select("fp", "least").join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    kept = written(least.select(F.col("least.__row").alias("__kept"), F.col("least.n").alias("__n")), n_nodes)
+    named = docs.withColumn("__row", row_key(docs))
 
-    def rows_of(ids: DataFrame) -> DataFrame:
-        n = ids.count()
-        return docs.join(bounded(ids, n, 16 * n), docs["doc_id"].eqNullSafe(ids["__kept"]), "left_semi")
+    def rows_of(keys: DataFrame) -> DataFrame:
+        n = keys.count()
+        return named.join(bounded(keys, n, 48 * n), named["__row"] == keys["__kept"], "left_semi")
 
     out = rows_of(kept.where("__n = 1"))
     repeated = kept.where("__n > 1")
-    return out if repeated.isEmpty() else out.union(rows_of(repeated).dropDuplicates(["doc_id"]))
+    return (out if repeated.isEmpty() else out.union(rows_of(repeated).dropDuplicates(["__row"]))).drop("__row")

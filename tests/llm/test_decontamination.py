@@ -81,3 +81,12 @@ def test_empty_tables_and_clean_documents(spark, docs_of, with_clashes, empty):
     assert out.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "2", "None"]
     assert decontamination.clean_documents(docs, none).count() == 4
+
+
+def test_clean_documents_goes_by_row_not_by_id(spark, docs_of, with_clashes):
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    rows = [(None, "zero one two three four five six"), (None, "other words"), (None, None), (4, "x one two three four five six"),
+            (4, "clean words"), (5, "one two three four five"), (5, "two three four five six")]
+    out = decontamination.clean_documents(with_clashes(docs_of(rows)), items).collect()
+    want = [rows[1], rows[2], rows[4], rows[5], rows[6]]
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted(want, key=str)

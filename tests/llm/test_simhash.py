@@ -111,3 +111,18 @@ def test_empty_table_and_keep_one(docs_of, with_clashes, empty):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 9]
+
+
+def test_keep_one_goes_by_row_not_by_id(docs_of, with_clashes):
+    rnd = random.Random(11)
+    prose = lambda: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(60))
+    alone = [(None, prose()) for _ in range(8)] + [(50, prose()), (50, prose()), (51, prose())]
+    copied, nameless = prose(), prose()
+    rows = alone + [(None, copied), (7, copied), (50, copied)] + [(None, nameless)] * 3
+    kept = simhash.keep_one(with_clashes(docs_of(rows))).collect()
+    want = [*alone, (7, copied), (None, nameless)]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(want, key=str)
+    # One component without ids besides a null copy of another: the copy does not come back.
+    rows = [(None, nameless), (None, copied), (7, copied)]
+    kept = simhash.keep_one(docs_of(rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(7, copied), (None, nameless)], key=str)
