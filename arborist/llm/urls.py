@@ -34,6 +34,15 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
+def judged_text(url: Column) -> Column:
+    """What the models read: the whole URL, scheme to fragment, its host with
+    A-Z lower-cased; empty for null."""
+    pattern = r"(?s)^(.*?://)([^/?#]*)(.*)$"
+    part = lambda i: F.regexp_extract(url, pattern, i)
+    whole = F.concat(part(1), F.translate(part(2), UPPER, LOWER), part(3))
+    return F.coalesce(F.when(F.contains(url, F.lit("://")), whole).otherwise(url), F.lit(""))
+
+
 def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """``(rule, verdict)`` of the longest rule that fits; nulls without one."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -105,23 +114,24 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     score, threshold``.
 
     URLs that a rule decides teach the models, and keep the rule's verdict;
-    all others are allowed if their score reaches the threshold.  Null URLs
-    and those without ``://`` have an empty host and path and are judged as
-    such.  Without both kinds of labels all models are alike, scores are 0
+    all others are allowed if their score reaches the threshold.  The score
+    is of the whole URL, query and fragment included.  Null URLs and those
+    without ``://`` have an empty host and path for the rules; null URLs
+    score as empty ones.  Without both kinds of labels all models are alike, scores are 0
     and the verdict is allow.  Repeated rows are judged alike; an empty
     table gives an empty result; columns not named are not read.
     """
     host, path = split_url(F.col(url_col))
-    urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), judged_text(F.col(url_col)).alias("text"))
     name, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     urls = urls.withColumn("rule", name).withColumn("verdict", verdict)
-    # The same host and path score alike: each is cut into grams once.
+    # The same URL scores alike, and has one host and path: each is cut into grams once.
     fold = F.pmod(F.crc32(F.col("host")), F.lit(CALIBRATION_FOLD)) == 0
     texts = written(
-        urls.groupBy("host", "path")
+        urls.groupBy("text", "host")
         .agg(F.first("verdict").alias("verdict"), F.count(F.lit(1)).alias("n"))
         .withColumn("calibrates", fold)
-        .withColumn("grams", _grams(F.concat("host", "path"), order))
+        .withColumn("grams", _grams(F.col("text"), order))
     )
     teaches = lambda v: F.sum(F.when((F.col("verdict") == v) & ~F.col("calibrates"), F.col("n")).otherwise(0))
     counts = (
@@ -133,19 +143,19 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     n_grams = model.count()
     side = bounded(model, n_grams, n_grams * (4 * (order + 1) + 32))
     scored = (
-        texts.select("host", "path", "verdict", "calibrates", F.explode("grams").alias("gram"))
+        texts.select("text", "verdict", "calibrates", F.explode("grams").alias("gram"))
         .join(side, "gram")
-        .groupBy("host", "path", "verdict", "calibrates")
+        .groupBy("text", "verdict", "calibrates")
         .agg(F.avg("llr").alias("score"))
     )
     scored = written(scored)
     cut = _threshold(scored)
-    return _attach(urls, scored.select("host", "path", "score"), cut)
+    return _attach(urls, scored.select("text", "score"), cut)
 
 
 def _attach(urls: DataFrame, scores: DataFrame, cut: float) -> DataFrame:
-    # A host and path may hold a third of all rows, so the join is salted by the row's id.
-    out = salted_join(urls, scores, ["host", "path"], F.xxhash64("page_id"))
+    # A URL may hold a third of all rows, so the join is salted by the row's id.
+    out = salted_join(urls, scores, ["text"], F.xxhash64("page_id"))
     judged = F.when(F.col("score") >= F.lit(cut), F.lit("allow")).otherwise(F.lit("block"))
     return out.select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", judged).alias("verdict"),

@@ -102,3 +102,19 @@ def test_learns_what_rules_accept(spark):
     assert sum(got[2000 + i] == "allow" for i in range(200)) >= 190
     assert sum(got[3000 + i] == "block" for i in range(200)) >= 190
     assert urls.judge_urls(df.where("false")).collect() == []
+
+
+def test_every_part_of_the_url_is_judged(spark):
+    good, bad = ["maple", "river", "stone", "cloud", "field"], ["casino", "jackpot", "poker", "roulette", "slots"]
+    rows = []
+    for i in range(150):
+        rows.append((i, f"http://h{i}.org/fr/go?to={good[i % 5]}-{good[i // 5 % 5]}"))  # accepted by rule
+        rows.append((1000 + i, f"http://h{i}.net/fr/go?to={bad[i % 5]}-{bad[i // 5 % 5]}"))  # rejected by rule
+    rows += [(2000, "http://a.com/fr/go?to=maple-stone"), (2001, "http://a.com/fr/go?to=casino-slots"),
+             (2002, "http://A.com/fr/go?to=maple-stone"), (2003, "http://a.com/fr/go#maple-stone"), (2004, "http://a.com/fr/go#casino-slots"),
+             (2005, "go?to=maple-stone"), (2006, "go?to=casino-slots"), (2007, None), (2008, "")]
+    got = {r["page_id"]: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    for a, b in ((2000, 2001), (2003, 2004), (2005, 2006)):
+        assert got[a]["score"] > got[b]["score"] and (got[a]["host"], got[a]["path"]) == (got[b]["host"], got[b]["path"])
+    assert (got[2000]["verdict"], got[2001]["verdict"]) == ("allow", "block")
+    assert got[2000]["score"] == got[2002]["score"] and got[2007]["score"] == got[2008]["score"]
