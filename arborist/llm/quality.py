@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from .common import written
 
-SAMPLE_BYTES = 5 << 20  # of each label's text for its dictionary, at most (whole documents only)
+SAMPLE_BYTES = 5 << 20  # of each label's text for its dictionary, at most
+SHARES = 16  # a document gives its dictionary at most one part in this many of them
 DICTIONARY_BYTES = 1 << 18  # at most
 SAMPLE_ROWS = 20_000  # of each label, at most
 CALIBRATION_ROWS = 4000  # of each label, at most
@@ -89,27 +90,55 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a), float(b)
 
 
+def _share_bytes() -> int:
+    return max(1, SAMPLE_BYTES // SHARES // BLOCK) * BLOCK
+
+
+def _share(data: bytes, most: int) -> bytes:
+    """The text, or blocks from all over it if it is longer than ``most`` bytes."""
+    if len(data) <= most:
+        return data
+    n = most // BLOCK
+    starts = [i * (len(data) - BLOCK) // max(1, n - 1) for i in range(n)]
+    return b"".join(data[at : at + BLOCK] for at in starts)
+
+
+def _shares(texts: DataFrame, most: int) -> DataFrame:
+    """``(quality, h, data)``: what every row gives its label's dictionary."""
+
+    def run(batches):
+        for batch in batches:
+            data = [_share(t.as_py(), most) for t in batch.column(2).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary())], ["quality", "h", "data"])
+
+    return texts.select(F.col("quality").cast("int"), "h", "text").mapInArrow(run, "quality int, h string, data binary")
+
+
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict]:
-    """``(doc_id, quality, half)`` of the rows to learn from, and the counts of
-    the labelled rows by (quality, half).  Only ids, labels and lengths are
-    joined; half 0 feeds the dictionaries, half 1 the calibration."""
+    """``(doc_id, bytes, mark, quality, half, h)`` of the rows to learn from, and
+    the counts of the labelled rows by (quality, half).  Only ids, labels, lengths
+    and hashes of the texts are joined; half 0 feeds the dictionaries, half 1 the
+    calibration.  Rows are picked for themselves (equal ones once), not by id."""
     known = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    slim = docs.select("doc_id", F.octet_length("text").alias("bytes")).where("bytes > 0")
+    slim = docs.select("doc_id", F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("mark")).where("bytes > 0")
     text = F.col("doc_id").cast("string")
     half = F.pmod(F.crc32(F.concat(F.lit("half"), text)), F.lit(2)).cast("int")
-    rows = written(slim.join(known, "doc_id").withColumn("half", half).withColumn("h", F.md5(text)))
-    counts = {(r[0], r[1]): r[2] for r in rows.groupBy("quality", "half").count().collect()}
+    h = F.md5(F.concat_ws(":", text, F.col("mark").cast("string")))
+    rows = slim.join(known, "doc_id").groupBy("doc_id", "bytes", "mark", "quality").agg(F.count(F.lit(1)).alias("n"))
+    rows = written(rows.withColumn("half", half).withColumn("h", h))
+    counts = {(r[0], r[1]): r[2] for r in rows.groupBy("quality", "half").agg(F.sum("n")).collect()}
     picked = []
     for q in (0, 1):
         for part, most in ((0, SAMPLE_ROWS), (1, CALIBRATION_ROWS)):
             mine = rows.where((F.col("quality") == q) & (F.col("half") == part))
             picked.append(mine.orderBy("h", "doc_id", "bytes").limit(most))
-    drawn = picked[0].union(picked[1]).union(picked[2]).union(picked[3])
+    drawn = picked[0].union(picked[1]).union(picked[2]).union(picked[3]).drop("n")
     # The dictionaries' rows end where their bytes do; a label has SAMPLE_ROWS rows at most here.
+    # A long text counts by its share, so the first row always fits and the sample ends nearly full.
     upto = Window.partitionBy("quality", "half").orderBy("h", "doc_id", "bytes")
-    drawn = drawn.withColumn("upto", F.sum("bytes").over(upto))
-    drawn = drawn.where((F.col("half") == 1) | (F.col("upto") <= SAMPLE_BYTES))
-    return written(drawn.select("doc_id", "quality", "half").distinct()), counts
+    drawn = drawn.withColumn("upto", F.sum(F.least("bytes", F.lit(_share_bytes()))).over(upto))
+    drawn = drawn.where((F.col("half") == 1) | (F.col("upto") <= max(SAMPLE_BYTES, _share_bytes())))
+    return written(drawn.drop("upto")), counts
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
@@ -117,18 +146,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     marks 0 or 1 (the least one if it repeats an id); other labels, null
     ids and texts without bytes are left out.  The dictionaries and the
     calibration use different documents, both in hash order up to the
-    module's bounds; the calibration weighs the labels by their true
+    module's bounds (a long text gives a dictionary blocks from all over it); the calibration weighs the labels by their true
     counts.  If a label is missing, every score is the share of label 1
     (0.5 without labels)."""
     drawn, sizes = _sample(docs, labels)
     counts = [sum(v for k, v in sizes.items() if k[0] == q) for q in (0, 1)]
     if any((q, half) not in sizes for q in (0, 1) for half in (0, 1)):
         return {"share": counts[1] / sum(counts) if sum(counts) else 0.5}
-    # At most 2 * (SAMPLE_ROWS + CALIBRATION_ROWS) ids.
-    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # At most 2 * (SAMPLE_ROWS + CALIBRATION_ROWS) rows; copies of one count once.
+    marked = docs.select("doc_id", "text", F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("mark"))
+    texts = marked.join(F.broadcast(drawn), ["doc_id", "bytes", "mark"]).dropDuplicates(["doc_id", "bytes", "mark"])
     samples: dict[int, list[bytes]] = {0: [], 1: []}
-    for q, text in texts.where("half = 0").orderBy(F.md5(F.col("doc_id").cast("string")), "text").select("quality", "text").collect():
-        samples[q].append(text.encode())
+    for q, _, data in _shares(texts.where("half = 0"), _share_bytes()).orderBy("h", "data").collect():
+        samples[q].append(bytes(data))
     both = (_dictionary(samples[1]), _dictionary(samples[0]))
     points = np.array([tuple(r) for r in _differences(texts.where("half = 1"), both, ["quality"]).collect()], float)
     y, x = points[:, 0], points[:, 1]

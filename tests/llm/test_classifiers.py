@@ -92,3 +92,19 @@ def test_every_block_of_a_text_counts():
     good, bad = quality._compressors([quality._dictionary([prose(rnd, "en", 200).encode()]), quality._dictionary([junk(rnd, "en", 200).encode()])])
     clean = prose(rnd, "en", 500)
     assert quality.size_difference(clean.encode(), good, bad) > quality.size_difference((clean + junk(rnd, "en", 500)).encode(), good, bad)
+
+
+def test_long_and_repeated_rows_leave_the_dictionaries_whole(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 40_000)
+    rnd = random.Random(6)
+    rows, marks = labelled(6, 200)
+    good = [i for i, q in marks if q]
+    # Every good document is longer than the whole sample; a labelled id has a null text and another row too.
+    rows = [(i, prose(rnd, "en", 9000) if q else t) for (i, t), (_, q) in zip(rows, marks)]
+    extra = [(good[i], None) for i in range(8)] + [(good[0], prose(rnd, "fr", 50))]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    model = quality.fit(docs_of(rows + extra), labels)
+    assert min(map(len, model["dictionaries"])) > 1000
+    fresh = [(1000 + i, (prose if i % 2 else junk)(rnd, "en", 80)) for i in range(40)]
+    got = {r["doc_id"]: r["predicted"] for r in quality.score(docs_of(fresh), model).collect()}
+    assert sum(got[1000 + i] == i % 2 for i in range(40)) >= 38
