@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontamination, katz, language, mixing, pii, quality, sharding, simhash, urls
+from . import (
+    covertree, decontamination, katz, language, mixing, pii, quality, resampling, sharding, simhash, templates, urls, whitening,
+)
 from .common import table
 
 
@@ -55,9 +57,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_sharding, op3_quality, op4_simhash, op5_katz, op6_decontamination, op7_personal_data, op8_covertree, op9_url_filter, op10_mixing)
+    for f in (
+        op1_language_id, op2_sharding, op3_quality, op4_simhash, op5_katz, op6_decontamination, op7_personal_data, op8_covertree,
+        op9_url_filter, op10_mixing, op11_resampling, op12_html_extraction, op13_whitening,
+    )
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -137,4 +156,44 @@ ORACLE_SQL = {
                     + greatest(0, least(size, budget % source_size - before)) END AS BIGINT) AS taken
         FROM ordered
     """,
+    "op11_resampling": """
+        WITH crc_table AS (
+            -- CRC-32 of a byte by its rule: eight steps of the reflected polynomial
+            SELECT list(c ORDER BY b) AS t FROM (
+                SELECT b, list_reduce([CAST(b AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS c
+                FROM range(256) AS r(b))
+        ), words AS (
+            SELECT doc_id, true AS raw, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+            UNION ALL
+            SELECT NULL, false, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') FROM benchmark
+        ), terms AS (
+            SELECT doc_id, raw, unnest(w) AS word FROM words
+        ), vocabulary AS (
+            SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM terms)
+        ), bucketed AS (
+            SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(x) // 2),
+                    lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+                lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 10000 AS bucket
+            FROM vocabulary, crc_table
+        ), counts AS (
+            SELECT bucket, count(*) FILTER (raw) AS s, count(*) FILTER (NOT raw) AS t FROM terms JOIN bucketed USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * (sum(s) OVER () + 10000))
+                / (CAST(s + 1 AS DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM counts
+        ), weights AS (
+            SELECT doc_id, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+            FROM terms JOIN bucketed USING (word) JOIN gains USING (bucket) WHERE raw GROUP BY doc_id
+        ), scored AS (
+            SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+                + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+            FROM words d LEFT JOIN weights USING (doc_id) WHERE d.raw
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                10 * count(*) OVER (PARTITION BY n_features >= 20) // 100 AS drawn FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM placed
+    """,
 }
