@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import written
 
@@ -178,7 +179,7 @@ def ranked(rows: DataFrame, order: list[str], segment_rows: int = SEGMENT_ROWS)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(segment, pa.int32())], [*batch.schema.names, "__segment"])
 
-        schema = runs.schema.add("__segment", "int")
+        schema = T.StructType([*runs.schema.fields, T.StructField("__segment", T.IntegerType())])
         runs = written(runs.mapInArrow(locate, schema))
     sizes = dict(runs.groupBy("__segment").count().collect())
     before, total = [], 0
@@ -215,9 +216,3 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_w
     others = rows.where(F.col("n_words") < least_words).withColumn("rank", F.lit(None).cast("long"))
     return first.select(*others.columns).union(others)
 
-
-def drawn_documents(docs: DataFrame, target: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is drawn, with all their columns; ids
-    must be unique and not null, as rows are joined by them."""
-    found = resample(docs, target, **options).where("rank IS NOT NULL").select(F.col("doc_id").alias("__id"))
-    return docs.join(found, F.col(options.get("id_col", "doc_id")) == F.col("__id"), "left_semi")

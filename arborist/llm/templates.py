@@ -68,7 +68,7 @@ _TAG = re.compile(
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
-_OPEN_END = re.compile(r"<(?:[a-zA-Z/!?][^>]*)?\Z")
+_OPEN_END = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 
 NONE, HARD, SOFT = 0, 1, 2  # how an element is dropped: not, by what it is, by its class or id
 
@@ -305,19 +305,21 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
 
 
-def template_subtrees(parsed: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """``(host, subtree, part)`` of the subtrees that stand on at least
-    ``min_pages`` different pages of their host and ``share`` of them;
-    ``part`` is the share.  Pages of a host whose region reads the same
-    count once: copies of an article are no template."""
+def template_subtrees(parsed: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE,
+                      article_share: float = ARTICLE_SHARE) -> DataFrame:
+    """``(host, marked, subtree)`` of the subtrees that stand on at least
+    ``min_pages`` different pages of their host and kind (with a marked
+    article or not) and ``share`` or ``article_share`` of those.  Pages of
+    a host whose region reads the same count once: copies of an article
+    are no template."""
+    kind = ["host", "marked"]
     hashes = F.array_distinct(F.flatten(F.transform("pieces", lambda p: p["above"])))
-    single = parsed.select("host", "page", hashes.alias("subtrees")).dropDuplicates(["host", "page"])
-    single = written(single)
-    pages = single.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
-    counts = single.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree")
+    single = written(parsed.select(*kind, "page", hashes.alias("subtrees")).dropDuplicates([*kind, "page"]))
+    pages = single.groupBy(*kind).agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+    counts = single.select(*kind, F.explode("subtrees").alias("subtree")).groupBy(*kind, "subtree")
     counts = counts.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    part = F.col("n") / F.col("pages")
-    return counts.join(pages, "host").where(part >= share).select("host", "subtree", part.alias("part"))
+    least = F.when(F.col("marked"), F.lit(article_share)).otherwise(F.lit(share))
+    return counts.join(pages, kind).where(F.col("n") >= least * F.col("pages")).select(*kind, "subtree")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -328,8 +330,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     as single spaces, blocks joined by one; empty if there is none.
     ``n_deleted`` counts the texts that template removal took out.  Where a
     page marks an article (or main part) only that is read, and a subtree in
-    it is template from ``article_share`` of the host's pages on; elsewhere
-    from ``share``.  Null and empty HTML has an empty text; pages without a
+    it is template from ``article_share`` of the host's pages with one on;
+    on the other pages from ``share`` of those on.  Null and empty HTML has an empty text; pages without a
     host are one host of their own; rows that repeat an id or a page have
     rows of their own; hosts with fewer than ``min_pages`` different pages
     keep all texts; an empty table gives an empty result; other columns are
@@ -338,21 +340,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     parsed = written(parsed_pages(slim).withColumn("host", host_of(F.col("url"))))
     # A host has at most (subtrees of a page) / share of them: an array of a page's size.
-    found = template_subtrees(parsed, min_pages, share).groupBy("host").agg(
-        F.collect_list("subtree").alias("weak"),
-        F.collect_list(F.when(F.col("part") >= article_share, F.col("subtree"))).alias("strong"),
-    )
-    found = written(found)
+    found = template_subtrees(parsed, min_pages, share, article_share)
+    found = written(found.groupBy("host", "marked").agg(F.collect_list("subtree").alias("subtrees")))
     hosts, letters, hashes = found.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("host")), F.lit(0)), F.coalesce(F.sum(F.size("weak")), F.lit(0))
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("host")), F.lit(0)), F.coalesce(F.sum(F.size("subtrees")), F.lit(0))
     ).first()
     side = bounded(found, hosts, letters + 16 * hashes + 64 * hosts)
     if side is not found:
-        joined = parsed.join(side, "host", "left")
+        joined = parsed.join(side, ["host", "marked"], "left")
     else:
-        joined = salted_join(parsed, found, ["host"], F.xxhash64("page", "page_id"), "left")
-    none = F.array().cast("array<bigint>")
-    template = F.coalesce(F.when(F.col("marked"), F.col("strong")).otherwise(F.col("weak")), none)
+        joined = salted_join(parsed, found, ["host", "marked"], F.xxhash64("page", "page_id"), "left")
+    template = F.coalesce("subtrees", F.array().cast("array<bigint>"))
     gone = lambda p: F.arrays_overlap(p["above"], template)
     kept = F.transform("pieces", lambda p: F.when(gone(p), F.lit(" ")).otherwise(p["text"]))
     text = F.trim(F.regexp_replace(F.array_join(kept, ""), " +", " "))
