@@ -39,9 +39,9 @@ from ..settings import QUANTILES
 GROUP = ["node_id", "feature"]
 
 # Scale of the first pass: cells per unit of the natural logarithm, and an
-# offset that keeps all magnitudes of doubles above 0.
+# offset of so many units that keeps all magnitudes of doubles above 0.
 CELLS_PER_E = 32
-MAGNITUDE_OFFSET = 24_000
+MAGNITUDE_OFFSET = 750
 OUTER = 1 << 20  # cells of the infinities; NaN is one further
 PARTS = 1 << 20  # parts of a cell in the later passes
 
@@ -80,10 +80,10 @@ def nearest_rank(n: F.Column, quantile: F.Column) -> F.Column:
     return F.floor((n - F.lit(1)).cast("double") * quantile + F.lit(0.5)).cast("long")
 
 
-def _scale(value: F.Column) -> F.Column:
+def _scale(value: F.Column, per_e: int = CELLS_PER_E) -> F.Column:
     """Order-keeping cell of a value: equal steps of its logarithm, zero, the
-    infinities and NaN in cells of their own."""
-    size = F.floor(F.log(F.abs(value)) * CELLS_PER_E).cast("long") + MAGNITUDE_OFFSET
+    infinities and NaN in cells of their own (``per_e`` up to 700)."""
+    size = F.floor(F.log(F.abs(value)) * per_e).cast("long") + MAGNITUDE_OFFSET * per_e
     infinite = F.abs(value) == float("inf")
     cell = F.when(F.isnan(value), OUTER + 1).when(infinite, OUTER).when(value == 0, 0).otherwise(size)
     return F.when((value < 0) & ~F.isnan(value), -cell).otherwise(cell).cast("long")

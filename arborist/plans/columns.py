@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.features import feature_kinds
+from ..operators import cells
 from ..operators.bucketing import prepare_frame
-from ..operators.splits import best_per, level_histogram, score_candidates, side_counts, split_order
-from ..session import maybe_broadcast, persisted, reliable_checkpoint
+from ..operators.splits import THRESHOLD_SCHEMA, best_per, level_histogram, score_candidates, side_counts, split_order
+from ..session import maybe_broadcast, persisted, reliable_checkpoint, small_frame, spread
 from ..settings import CATEGORICAL, ORDINAL, TreeSettings
 
 
@@ -21,21 +22,31 @@ def root_histogram(df: DataFrame, label: str, features=None, settings: TreeSetti
     """Prepared frame as node 1: ``(hist, thresholds, kinds)``.
 
     The column-pruned input is persisted while the thresholds and the
-    histogram are computed (one raw read) and released before returning;
-    the histogram is written to the checkpoint folder, which is all the
+    histogram are computed (one raw read) and released before returning.
+    Thresholds and histogram come from one table of cells; rows are read
+    again only in cells that hold a threshold and several values.  The
+    histogram is written to the checkpoint folder, which is all the
     returned (lazy) frames read.
     """
     settings = settings or TreeSettings()
+    exact = settings.threshold_mode == "exact"
     held: list = []
 
-    def persist(selected: DataFrame) -> DataFrame:
-        held.append(persisted(selected))
-        return held[0]
+    def encode(selected: DataFrame) -> DataFrame:
+        if exact:
+            selected = cells.encoded(selected, feature_kinds(df, label, features))
+        if settings.persist_input:
+            held.append(persisted(spread(selected)))
+            return held[0]
+        return selected
 
     try:
-        frame, kinds, _ = prepare_frame(df, label, features, settings, persist if settings.persist_input else None)
+        frame, kinds, keep = prepare_frame(df, label, features, settings, encode)
         frame = frame.withColumn("node_id", F.lit(1).cast("long"))
-        hist, thresholds, rows = level_histogram(frame, label, kinds, settings, max_nodes=1, freeze=reliable_checkpoint)
+        if exact and kinds:
+            hist, thresholds, rows = _from_cells(frame, cells.encoding(label, kinds, keep), settings, held)
+        else:
+            hist, thresholds, rows = level_histogram(frame, label, kinds, settings, max_nodes=1, freeze=reliable_checkpoint)
     finally:
         # Everything returned reads the checkpointed histogram, not the input.
         for frame in held:
@@ -43,6 +54,17 @@ def root_histogram(df: DataFrame, label: str, features=None, settings: TreeSetti
     return hist, maybe_broadcast(thresholds, len(rows)), kinds
 
 
+def _from_cells(frame: DataFrame, enc: cells.Encoding, settings: TreeSettings, held: list):
+    counts = persisted(cells.count_cells(frame, enc, [1], {}))
+    held.append(counts)
+    found = cells.level_thresholds(counts, frame, enc, [1], settings.quantiles)
+    held.extend(parts for parts, _ in found.passes)
+    rows, _ = cells.bucketed(counts, found, [1], enc)
+    hist = reliable_checkpoint(cells.long_histogram(rows, enc).repartition("node_id", "feature", "label"))
+    named = [(n, enc.names[f], idx, t, m) for n, f, idx, t, m in found.rows]
+    return hist, small_frame(frame.sparkSession, named, THRESHOLD_SCHEMA), named
+
+
 def candidate_splits(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None) -> DataFrame:
     settings = settings or TreeSettings()
     hist, thresholds, _ = root_histogram(df, label, features, settings)

@@ -47,12 +47,18 @@ def use_joins(nodes: dict, force: bool | None = None) -> bool:
 
 
 def assign_leaves(df: DataFrame, nodes: dict, reference: bool, output_col: str = "node_id",
-                  joins: bool | None = None) -> DataFrame:
+                  joins: bool | None = None, start: int | None = None) -> DataFrame:
     """``df`` plus ``output_col``: the id of the node that is not split where
-    each row ends (NULL when reference routing loses the row)."""
-    if not use_joins(nodes, joins):
+    each row ends (NULL when reference routing loses the row).  With
+    ``start``, ``df`` already has ``output_col`` as of that depth, and only
+    the splits from there on are applied."""
+    if start is None and not use_joins(nodes, joins):
         return df.withColumn(output_col, route(nodes, lambda n: F.lit(n.node_id).cast("long"), reference))
     splits = sorted(_splits(nodes), key=lambda n: (n.depth, n.node_id))
+    if start is not None:
+        splits = [n for n in splits if n.depth >= start]
+        if not splits:
+            return df
     if not splits:
         return df.withColumn(output_col, F.lit(1).cast("long"))
     features = sorted({n.feature for n in splits})
@@ -74,13 +80,16 @@ def assign_leaves(df: DataFrame, nodes: dict, reference: bool, output_col: str =
     moved = moved.when(test, F.col("__arb_left"))
     moved = moved.when(~test, F.col("__arb_right")) if reference else moved.otherwise(F.col("__arb_right"))
 
-    # Every row starts at the root: its split needs no join.
-    root = splits[0]
-    first = split_predicate(root.feature, root.kind, root.threshold, root.category, reference)
-    at = F.when(first, F.lit(root.left_id))
-    at = at.when(~first, F.lit(root.right_id)) if reference else at.otherwise(F.lit(root.right_id))
-    out = df.withColumn(output_col, at.cast("long"))
-    for depth in range(1, splits[-1].depth + 1):
+    if start is None:
+        # Every row starts at the root: its split needs no join.
+        root = splits[0]
+        first = split_predicate(root.feature, root.kind, root.threshold, root.category, reference)
+        at = F.when(first, F.lit(root.left_id))
+        at = at.when(~first, F.lit(root.right_id)) if reference else at.otherwise(F.lit(root.right_id))
+        out, from_depth = df.withColumn(output_col, at.cast("long")), 1
+    else:
+        out, from_depth = df, start
+    for depth in range(from_depth, splits[-1].depth + 1):
         rows = [
             (n.node_id, index[n.feature], n.kind == ORDINAL, n.threshold, n.category, n.left_id, n.right_id)
             for n in splits if n.depth == depth

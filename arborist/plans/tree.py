@@ -1,24 +1,35 @@
 """Level-wise fit of a binary classification tree and its node table.
 
 The model is a table of nodes with heap ids (root 1, children 2i and
-2i+1).  The prepared input (label + features, categories bucketed) is
-persisted for the fit.  Fitting grows the tree one depth at a time, for
-every open node of the level in the same Spark jobs:
+2i+1).  The prepared input (label + features, categories bucketed, cell
+numbers of the numeric features) is persisted for the fit.  Fitting grows
+the tree one depth at a time, for every open node of the level in the same
+Spark jobs:
 
 1. ``node_id`` of every row = the routing of ``routing.assign_leaves``
-   over the raw columns (map-only); rows of closed nodes are dropped;
-2. thresholds: exact nearest-rank quantiles per (node, numeric feature),
-   usually two passes that shuffle cell counts, collected (bounded by
-   nodes x features x quantiles);
-3. counts: bucket numbers / categories melted and counted per (node,
-   feature, key, label) in one pass, map-side combined and persisted;
-   scored from there, one row per node is collected;
-4. children are appended on the driver; a child is closed when it reaches
+   over the raw columns (map-only);
+2. counts: the level's table of cells (``operators.cells``), persisted.
+   Only the rows of the smaller child of every split are counted; the
+   larger child is the parent's counts minus its sibling's.  Features that
+   are constant in a node are left out below it;
+3. thresholds: exact nearest-rank quantiles per (node, numeric feature)
+   from that table; rows are read again only in cells that hold a target
+   rank and several values.  Collected (bounded by nodes x features x
+   quantiles);
+4. scores: label counts of all candidates from the table; one row per
+   candidate is collected;
+5. children are appended on the driver; a child is closed when it reaches
    the maximum depth or its side of the split is smaller than the minimum
    leaf size.
 
 A level with many open nodes runs in batches, so that what is broadcast
-or collected at once stays within fixed bounds.
+or collected at once stays within fixed bounds.  Every ``ROUTE_LEVELS``
+levels the open nodes' rows are written with their node id and routed from
+there, so that a deep tree is not walked from its root at every level.
+
+Reference semantics lose rows between a node and its children, so there
+every open node is counted from its rows.  The approximate threshold mode
+reads the rows once for thresholds and once for the counts.
 
 After the last level one aggregation labels every leaf with its most
 frequent label (ties: smaller label).  Only tree-sized data ever reaches
@@ -33,13 +44,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.features import require_free_output
+from ..functions.features import feature_kinds, require_free_output
 from ..functions.predicates import rule_text
+from ..operators import cells
 from ..operators.bucketing import prepare_frame
-from ..operators.splits import best_per_node, level_histogram, score_candidates
 from ..operators.labels import majority_label
-from ..session import batches, persisted, small_frame
-from ..settings import TreeSettings
+from ..operators.splits import best_per_node, level_histogram, score_candidates
+from ..session import batches, persisted, reliable_checkpoint, small_frame, spread
+from ..settings import ORDINAL, TreeSettings
 from .routing import assign_labels, assign_leaves
 
 PREDICTED_LABEL = "PREDICTED_LABEL"
@@ -171,13 +183,17 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
     settings = settings or TreeSettings()
     held: list = []
 
-    def persist(selected: DataFrame) -> DataFrame:
-        held.append(persisted(selected))
-        return held[0]
+    def encode(selected: DataFrame) -> DataFrame:
+        if settings.threshold_mode == "exact":
+            selected = cells.encoded(selected, feature_kinds(df, label, features))
+        if settings.persist_input:
+            held.append(persisted(spread(selected)))
+            return held[-1]
+        return selected
 
     try:
-        frame, kinds, _ = prepare_frame(df, label, features, settings, persist if settings.persist_input else None)
-        model = _grow(frame, label, kinds, settings)
+        frame, kinds, keep = prepare_frame(df, label, features, settings, encode)
+        model = _grow(frame, label, kinds, keep, settings)
         _label_leaves(model, frame)
     finally:
         for frame in held:
@@ -187,37 +203,148 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
 
 # Nodes of a level that are worked on together, at most (an IN list of their ids).
 BATCH_NODES = 1024
+# Levels between two writes of the rows with their node ids.
+ROUTE_LEVELS = 6
 
 
-def _grow(frame: DataFrame, label: str, kinds: dict, settings: TreeSettings) -> TreeModel:
+def _grow(frame: DataFrame, label: str, kinds: dict, keep: dict, settings: TreeSettings) -> TreeModel:
     nodes: dict[int, Node] = {1: Node(1, 0, closed=settings.max_depth == 0)}
     frontier = [] if nodes[1].closed or not kinds else [1]
-    # Threshold columns of a node: what a batch broadcasts and collects per node.
-    width = 1 + len(kinds) * len(settings.quantiles)
-    while frontier:
-        routed = assign_leaves(frame, nodes, settings.reference, "node_id")
-        found: dict = {}
-        for run in batches(frontier, width):
-            for i in range(0, len(run), BATCH_NODES):
-                found |= _best_splits(routed, run[i : i + BATCH_NODES], label, kinds, settings)
-        next_frontier = []
-        for node_id in frontier:
-            node, best = nodes[node_id], found.get(node_id)
-            if best is not None:
-                node.n_rows = best["n_rows"]
-            pure = best is not None and best["n_labels"] <= 1
-            if best is None or (pure and not settings.reference):
-                node.closed = True
-                continue
-            next_frontier.extend(_split(node, best, settings, nodes))
-        frontier = next_frontier
+    level = _KeptCounts(cells.encoding(label, kinds, keep), settings) if settings.threshold_mode == "exact" else None
+    rows, start = frame, None
+    try:
+        while frontier:
+            depth = nodes[frontier[0]].depth
+            routed = assign_leaves(rows, nodes, settings.reference, "node_id", start=start)
+            if depth and depth % ROUTE_LEVELS == 0:
+                rows, start = reliable_checkpoint(routed.where(F.col("node_id").isNotNull())), depth
+                routed = rows
+            if level is not None:
+                found = level.best_splits(routed, frontier, nodes)
+            else:
+                found = {}
+                width = 1 + len(kinds) * len(settings.quantiles)
+                for run in batches(frontier, width):
+                    for i in range(0, len(run), BATCH_NODES):
+                        found |= _best_splits(routed, run[i : i + BATCH_NODES], label, kinds, settings)
+            next_frontier = []
+            for node_id in frontier:
+                node, best = nodes[node_id], found.get(node_id)
+                if best is not None:
+                    node.n_rows = best["n_rows"]
+                pure = best is not None and best["n_labels"] <= 1
+                if best is None or (pure and not settings.reference):
+                    node.closed = True
+                    continue
+                next_frontier.extend(_split(node, best, settings, nodes))
+            frontier = next_frontier
+    finally:
+        if level is not None:
+            level.release()
     return TreeModel(nodes, label, kinds, settings)
 
 
+class _KeptCounts:
+    """The tables of cells of one level, in batches of nodes, and the next
+    level's from them.  ``counted`` is how many cells of rows each level
+    counted (nodes x features that were melted), for tests and tuning."""
+
+    def __init__(self, enc: cells.Encoding, settings: TreeSettings):
+        self.enc, self.settings = enc, settings
+        self.tables: list[tuple[list[int], DataFrame]] = []
+        self.constant: dict[int, set[int]] = {}  # features of a node that no descendant can split on
+        self.counted: list[list[tuple[int, int]]] = []
+
+    def release(self) -> None:
+        for _, table in self.tables:
+            table.unpersist()
+
+    def best_splits(self, routed: DataFrame, frontier: list[int], nodes: dict[int, Node]) -> dict:
+        """Statistics and best split of every node of ``frontier`` that has a split."""
+        before, self.tables = self.tables, self._next(routed, frontier, nodes)
+        found: dict = {}
+        # Threshold and candidate cells of a node: what a batch broadcasts and collects per node.
+        width = 12 * len(self.enc.kinds) * cells.slots(self.enc, len(self.settings.quantiles))
+        constant: dict[int, set[int]] = {}
+        for ids, table in self.tables:
+            for run in batches(ids, width):
+                for r in self._batch(routed, table, run):
+                    if r["constant"]:
+                        constant.setdefault(r["node_id"], set()).add(r["feature"])
+                    self._take(found, r)
+        for ids, _ in self.tables:
+            for n in ids:
+                constant.setdefault(n, set()).update(self.constant.get(n >> 1, ()))
+        self.constant = constant
+        for _, table in before:
+            table.unpersist()
+        return {n: _Best(r, self.enc) for n, (_, r) in found.items()}
+
+    def _take(self, found: dict, r) -> None:
+        """Keep the first by score, feature name, then threshold or category (their order is that of ``idx``)."""
+        if r["child_gini"] is None:
+            return
+        order = (r["child_gini"], self.enc.names[r["feature"]], r["idx"])
+        if r["node_id"] not in found or order < found[r["node_id"]][0]:
+            found[r["node_id"]] = (order, r)
+
+    def _next(self, routed: DataFrame, frontier: list[int], nodes: dict[int, Node]) -> list[tuple[list[int], DataFrame]]:
+        out: list[tuple[list[int], DataFrame]] = []
+        dead = {n: self.constant.get(n >> 1, set()) for n in frontier}
+        if not self.tables or self.settings.reference:
+            for i in range(0, len(frontier), BATCH_NODES):
+                ids = frontier[i : i + BATCH_NODES]
+                self._note(ids, dead)
+                out.append((ids, cells.count_cells(routed, self.enc, ids, {n: dead[n] for n in ids if dead[n]})))
+        else:
+            opened = set(frontier)
+            for parents, table in self.tables:
+                mine = [p for p in parents if nodes[p].is_split and (2 * p in opened or 2 * p + 1 in opened)]
+                for i in range(0, len(mine), BATCH_NODES // 2):
+                    part = mine[i : i + BATCH_NODES // 2]
+                    smaller = {p: 2 * p + (nodes[p].n_right < nodes[p].n_left) for p in part}
+                    ids = [c for p in part for c in (2 * p, 2 * p + 1) if c in opened]
+                    gone = {p: self.constant[p] for p in part if self.constant.get(p)}
+                    self._note(list(smaller.values()), {c: gone.get(p, set()) for p, c in smaller.items()})
+                    out.append((ids, cells.next_cells(table, routed, self.enc, smaller, ids, gone)))
+        depth = nodes[frontier[0]].depth
+        freeze = reliable_checkpoint if depth and depth % ROUTE_LEVELS == 0 else persisted
+        return [(ids, freeze(table)) for ids, table in out]
+
+    def _note(self, ids: list[int], dead: dict[int, set[int]]) -> None:
+        self.counted.append([(n, len(self.enc.names) - len(dead.get(n, ()))) for n in ids])
+
+    def _batch(self, routed: DataFrame, table: DataFrame, ids: list[int]) -> list:
+        enc, quantiles, reference = self.enc, self.settings.quantiles, self.settings.reference
+        found = cells.level_thresholds(table, routed, enc, ids, quantiles)
+        try:
+            rows, facts = cells.bucketed(table, found, ids, enc)
+            return cells.scored_candidates(rows, facts, enc, len(quantiles), reference).collect()
+        finally:
+            found.release()
+
+
+class _Best:
+    """A collected best candidate under the names that :func:`_split` reads."""
+
+    def __init__(self, row, enc: cells.Encoding):
+        feature = enc.names[row["feature"]]
+        kind = enc.kinds[feature]
+        category = None if kind == ORDINAL else enc.categories[feature][row["idx"] - 1]
+        self._values = {
+            **{k: row[k] for k in ("child_gini", "n_left", "n_right", "n_rows", "n_labels")},
+            "feature": feature, "kind": kind, "threshold": row["threshold"], "category": category,
+            "selection": row["text"] if kind == ORDINAL else category,
+        }
+
+    def __getitem__(self, name: str):
+        return self._values[name]
+
+
 def _best_splits(routed: DataFrame, node_ids: list[int], label: str, kinds: dict, settings: TreeSettings) -> dict:
-    """Statistics and best split of a batch of nodes: one row for each node
-    that has a split reaches the driver.  The histogram is one pass over the nodes' rows and
-    persisted for its readers."""
+    """Statistics and best split of a batch of nodes from a histogram of
+    their rows, for approximate thresholds: one row for each node that has
+    a split reaches the driver."""
     mine = routed.where(F.col("node_id").isin(node_ids))
     hist, thresholds, rows = level_histogram(mine, label, kinds, settings, max_nodes=len(node_ids))
     try:

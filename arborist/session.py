@@ -72,6 +72,25 @@ def persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+# Inputs estimated below this many bytes are dealt over all cores; so many bytes a task.
+SPREAD_BYTES = 256 << 20
+SPREAD_TASK_BYTES = 1 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt round-robin over the cores if it is small: a file of few
+    row groups gives few tasks, and a fit reads its input many times.
+    Larger inputs keep the partitions of their scan.  Spark's own estimate
+    of the plan's size decides, without a job."""
+    if is_remote():
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_BYTES:
+        return df
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, -(-size // SPREAD_TASK_BYTES))
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
     """DataFrame of tree-sized driver-side rows (thresholds, node table).
 
