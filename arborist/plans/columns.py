@@ -110,3 +110,48 @@ def in_out_counts(df: DataFrame, label: str, features=None, settings: TreeSettin
     settings = settings or TreeSettings()
     hist, thresholds, _ = root_histogram(df, label, features, settings)
     return side_counts(hist, thresholds, settings.reference)
+
+
+def zero_filled_histogram(df: DataFrame, label: str, features=None, settings: TreeSettings | None = None) -> DataFrame:
+    """``(feature, kind, threshold, category, label, cnt, label_total)``: the left
+    count of every label in every candidate, 0 where it has none.
+
+    Each label's counts are one sparse vector per feature and the zeros are
+    read from it, so no grid of values and labels is joined; exact
+    thresholds, whatever the settings' mode.
+    """
+    settings = (settings or TreeSettings()).with_(threshold_mode="exact")
+    held: list = []
+
+    def encode(selected: DataFrame) -> DataFrame:
+        held.append(persisted(spread(cells.encoded(selected, feature_kinds(df, label, features)))))
+        return held[0]
+
+    try:
+        frame, kinds, keep = prepare_frame(df, label, features, settings, encode)
+        enc = cells.encoding(label, kinds, keep)
+        frame = frame.withColumn("node_id", F.lit(1).cast("long"))
+        counts = persisted(cells.count_cells(frame, enc, [1], {}))
+        held.append(counts)
+        found = cells.level_thresholds(counts, frame, enc, [1], settings.quantiles)
+        held.extend(parts for parts, _ in found.passes)
+        rows, facts = cells.bucketed(counts, found, [1], enc)
+        width = cells.slots(enc, len(settings.quantiles))
+        filled = reliable_checkpoint(
+            cells.zero_filled(rows, enc, width, settings.reference).join(facts.drop("opened"), ["node_id", "feature"], "left")
+        )
+    finally:
+        for frame in held:
+            frame.unpersist()
+    category = F.lit(None).cast("string")
+    for j, f in enumerate(enc.names):
+        if enc.categories.get(f):
+            kept = F.array(*[F.lit(c) for c in enc.categories[f]])
+            category = F.when(F.col("feature") == j, F.try_element_at(kept, F.col("idx"))).otherwise(category)
+    threshold = F.when(F.col("feature").isin(enc.ordinals), F.try_element_at("ts", F.col("idx")))
+    out = filled.select(
+        enc.name().alias("feature"), enc.kind().alias("kind"), threshold.alias("threshold"), category.alias("category"),
+        "label", F.col("l").cast("long").alias("cnt"), F.col("base").cast("long").alias("label_total"),
+    )
+    # Slots past a feature's last candidate, and labels that reference semantics leave out.
+    return out.where((F.col("threshold").isNotNull() | F.col("category").isNotNull()) & (F.col("label_total") > 0))

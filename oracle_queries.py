@@ -50,6 +50,18 @@ DATASETS = {
         "CASE WHEN l_discount <= 0.04 THEN CAST('NaN' AS DOUBLE) ELSE l_discount END AS l_discount, l_tax FROM lineitem",
         {"l_discount": "ordinal", "l_tax": "ordinal"},
     ),
+    "part_constant": (
+        "p_partkey",
+        "p_type",
+        "SELECT p_partkey, p_type, CASE WHEN p_size >= 25 THEN 1 ELSE 0 END AS big, 'same' AS one, p_size, p_brand FROM part",
+        {"big": "ordinal", "one": "categorical", "p_size": "ordinal", "p_brand": "categorical"},
+    ),
+    "documents_filled": (
+        "doc_id",
+        "lang",
+        "SELECT doc_id, lang, lang AS same, source, n_chars FROM documents",
+        {"same": "categorical", "source": "categorical", "n_chars": "ordinal"},
+    ),
     "part": (
         "p_partkey",
         "p_type",
@@ -502,3 +514,72 @@ ORACLE_SQL["best_split_unsigned"] = root_sql(
     f" SELECT feature, kind, threshold, CAST(threshold AS VARCHAR) AS selection, n_left, n_right, {_r('child_gini')} FROM bs0",
     features=["o_custkey"],
 )
+
+_NODE_TABLE = (
+    "SELECT node_id, CASE WHEN node_id = 1 THEN NULL ELSE node_id // 2 END AS parent_id, CAST(depth AS INTEGER) AS depth, "
+    "is_leaf, feature, kind, threshold, category, n_left, n_right, n_rows, label, "
+    f"{_r('child_gini')} FROM nodes"
+)
+
+ORACLE_SQL["fit_pruned_node_table"] = tree_sql("part_constant", 4, 20, _NODE_TABLE)
+ORACLE_SQL["fit_deep_node_table"] = tree_sql("orders", 12, 400, _NODE_TABLE)
+
+# A path's tests, walked up from the leaf one parent at a time.
+ORACLE_SQL["leaf_boxes"] = tree_sql(
+    "lineitem", 3, 32,
+    ", up AS (SELECT node_id AS leaf, node_id // 2 AS at, node_id % 2 = 0 AS lft FROM nodes WHERE is_leaf AND node_id > 1 "
+    "UNION ALL SELECT node_id, node_id // 4, (node_id // 2) % 2 = 0 FROM nodes WHERE is_leaf AND node_id > 3 "
+    "UNION ALL SELECT node_id, node_id // 8, (node_id // 4) % 2 = 0 FROM nodes WHERE is_leaf AND node_id > 7) "
+    "SELECT u.leaf AS node_id, n.feature, n.kind, max(n.threshold) FILTER (u.lft) AS lo, min(n.threshold) FILTER (NOT u.lft) AS hi, "
+    "max(n.category) FILTER (u.lft) AS category, "
+    "CASE WHEN max(n.category) FILTER (u.lft) IS NULL THEN string_agg(DISTINCT n.category, ',' ORDER BY n.category) FILTER (NOT u.lft) END AS excluded, "
+    "max(l.n_rows) AS n_rows FROM up u JOIN nodes n ON n.node_id = u.at JOIN nodes l ON l.node_id = u.leaf "
+    "GROUP BY u.leaf, n.feature, n.kind",
+).replace(" , up AS", ", up AS")
+
+ORACLE_SQL["predict_indexed"] = tree_sql(
+    "orders", 2, 32,
+    "SELECT p.k AS o_orderkey, row_number() OVER (ORDER BY o.o_totalprice DESC, o.o_orderkey) - 1 AS row_index, "
+    "l.label AS PREDICTED_LABEL FROM leafrows r JOIN leaflab l ON l.node = r.node JOIN prep p ON p.rid = r.rid "
+    "JOIN orders o ON o.o_orderkey = p.k",
+)
+
+ORACLE_SQL["zero_filled_histogram"] = root_sql(
+    "documents_filled",
+    " SELECT g.feature, 'categorical' AS kind, CAST(NULL AS DOUBLE) AS threshold, g.c AS category, g.y AS label, "
+    "coalesce(o.cl, 0) AS cnt, g.tot AS label_total FROM cg0 g LEFT JOIN cl0 o "
+    "ON o.node = g.node AND o.feature = g.feature AND o.c = g.c AND o.y = g.y "
+    "UNION ALL SELECT g.feature, 'ordinal', g.t, CAST(NULL AS VARCHAR), g.y, coalesce(o.cl, 0), g.tot "
+    "FROM og0 g LEFT JOIN ol0 o ON o.node = g.node AND o.feature = g.feature AND o.t = g.t AND o.y = g.y",
+)
+
+ORACLE_SQL["frame_diff"] = (
+    "WITH a AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, 0 AS place FROM orders), "
+    "changed AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 89 = 0 THEN '?' ELSE o_orderstatus END AS o_orderstatus, "
+    "CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice * 1.0000000001::DOUBLE WHEN o_orderkey % 97 = 0 THEN o_totalprice + 1.5::DOUBLE "
+    "ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 101 <> 0), "
+    "twice AS (SELECT * FROM changed UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 211 = 0), "
+    # What is equal on both sides cancels out, copy by copy; the rest is ranked per key.
+    "numbered AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderkey, o_orderstatus, o_totalprice) AS copy FROM twice), "
+    "left_rest AS (SELECT a.* FROM a LEFT JOIN numbered n ON n.o_custkey = a.o_custkey AND n.o_orderkey = a.o_orderkey "
+    "AND n.o_orderstatus = a.o_orderstatus AND n.o_totalprice = a.o_totalprice AND n.copy = 1 WHERE n.copy IS NULL), "
+    "right_rest AS (SELECT n.o_custkey, n.o_orderkey, n.o_orderstatus, n.o_totalprice, row_number() OVER (PARTITION BY n.o_custkey, n.o_orderkey "
+    "ORDER BY n.o_orderstatus, n.o_totalprice) - 1 AS place FROM numbered n LEFT JOIN a ON n.o_custkey = a.o_custkey "
+    "AND n.o_orderkey = a.o_orderkey AND n.o_orderstatus = a.o_orderstatus AND n.o_totalprice = a.o_totalprice AND n.copy = 1 "
+    "WHERE a.place IS NULL), "
+    "pairs AS (SELECT coalesce(x.o_custkey, y.o_custkey) AS o_custkey, coalesce(x.o_orderkey, y.o_orderkey) AS o_orderkey, "
+    "CAST(coalesce(x.place, y.place) AS INTEGER) AS place, x.o_orderkey AS xk, y.o_orderkey AS yk, x.o_orderstatus AS xs, "
+    "y.o_orderstatus AS ys, x.o_totalprice AS xp, y.o_totalprice AS yp FROM left_rest x FULL JOIN right_rest y "
+    "ON x.o_custkey = y.o_custkey AND x.o_orderkey = y.o_orderkey AND x.place = y.place) "
+    "SELECT o_custkey, o_orderkey, place, 'left_only' AS status, CAST(NULL AS VARCHAR) AS \"column\", CAST(NULL AS VARCHAR) AS left_value, "
+    "CAST(NULL AS VARCHAR) AS right_value FROM pairs WHERE yk IS NULL "
+    "UNION ALL SELECT o_custkey, o_orderkey, place, 'right_only', NULL, NULL, NULL FROM pairs WHERE xk IS NULL "
+    "UNION ALL SELECT o_custkey, o_orderkey, place, 'differs', 'o_orderstatus', xs, ys FROM pairs WHERE xk = yk AND xs <> ys "
+    "UNION ALL SELECT o_custkey, o_orderkey, place, 'differs', 'o_totalprice', CAST(xp AS VARCHAR), CAST(yp AS VARCHAR) FROM pairs "
+    "WHERE xk = yk AND NOT abs(xp - yp) <= 1e-8 + 1e-5 * abs(yp)"
+)
+
+ORACLE_SQL["csv_inferred"] = (
+    "SELECT *, CAST(2 AS BIGINT) AS n_bad, 'c_custkey bigint, c_name string, c_nationkey bigint, c_acctbal double, c_mktsegment string' "
+    "AS types FROM (SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer)"
+)
