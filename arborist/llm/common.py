@@ -33,14 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``, or
     the folder set on the context.  Unset, a local session uses the temp
-    folder (one machine) and a cluster its warehouse, never a machine-local
-    folder."""
+    folder (one machine); a cluster session is refused, because any folder
+    chosen here might be one machine's own."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if spark.sparkContext.master.startswith("local"):
         return f"{tempfile.gettempdir()}/arborist-shared"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_arborist_shared"
+    raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by the cluster (HDFS, S3, ...)")
 
 
 # Shuffle files of a finished query go at once, not when the driver next collects garbage.
@@ -156,11 +156,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         near = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        out = near.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # A hub may hold most edges: its rows are spread over several tasks.
+        out = salted_join(near.where("v > u"), least, ["u"], F.xxhash64("v")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = salted_join(down, least, ["u"], F.xxhash64("v")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         out = moved.union(least.select("u", F.col("m").alias("v")))
     return out.where("u <> v").distinct()
 

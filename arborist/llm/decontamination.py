@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, bounded, row_key, salted_join, written
+from .common import SPACE, bounded, salted_join, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -72,24 +72,43 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = SHINGLE, thr
     fewer words than a shingle is one shingle, its whole word sequence.
     Items without words are in no document; null and empty documents hold
     no item, and documents shorter than a shingle only items that short.
-    Rows of the same id are one document (their shingles together) or one
-    item (its first text by order); empty tables give an empty result.
-    Other columns are not read.
+    Texts decide, not ids: rows that share an id, or have none, are documents
+    and items of their own, and a pair of ids has a row for each pair of
+    texts behind it (rows alike in id and text count once).  Empty tables
+    give an empty result; other columns are not read.
     """
-    items = items.groupBy(F.col(item_col).alias("item")).agg(F.min(item_text_col).alias("text"))
-    items = written(_with_words(items, F.col("text")).where(F.size("w") > 0).drop("text"))
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    named = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
+    named = written(named.withColumn("item", _text_key(F.col("text"))).where("item IS NOT NULL").dropDuplicates(["item_id", "item"]))
+    items = written(_with_words(named.select("item", "text").dropDuplicates(["item"]), F.col("text")).where(F.size("w") > 0).drop("text"))
+    text = F.col(text_col)
+    slim = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), _text_key(text).alias("key"))
     # One pass for each shingle length that occurs: the usual one, and those of items shorter than it.
     lengths = [r[0] for r in items.select(F.least(F.size("w"), F.lit(width))).distinct().collect()]
-    found = [_contained(slim, items, k, k == width, threshold) for k in sorted(lengths)]
+    found = [_contained(slim.select("key", "text"), items, k, k == width, threshold) for k in sorted(lengths)]
     if not found:
         return slim.where("false").select(
-            "doc_id", F.lit(0).alias("item_id"), F.lit(0).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("n_found")
+            "doc_id", F.lit(None).cast(named.schema["item_id"].dataType).alias("item_id"),
+            F.lit(0).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("n_found"),
         )
-    out = found[0]
+    pairs = found[0]
     for more in found[1:]:
-        out = out.union(more)
-    return out
+        pairs = pairs.union(more)
+    # From texts back to rows, on both sides.
+    pairs = written(pairs)
+    n_pairs = pairs.count()
+    holding = pairs.join(named.select("item_id", "item"), "item")
+    rows = slim.select("doc_id", "key")
+    kept = written(pairs.select("key").distinct())
+    n_kept = kept.count()
+    rows = rows.join(bounded(kept, n_kept, 48 * n_kept), "key", "left_semi").distinct()
+    side = bounded(holding, n_pairs, 160 * n_pairs) if named.count() <= n_pairs else holding
+    joined = rows.join(side, "key") if side is not holding else salted_join(rows, holding, ["key"], F.xxhash64("doc_id"))
+    return joined.select("doc_id", "item_id", "n_shingles", "n_found")
+
+
+def _text_key(text: Column) -> Column:
+    """SHA-256 of a text, 32 bytes; equal texts are one."""
+    return F.unhex(F.sha2(text, 256))
 
 
 def _contained(slim: DataFrame, items: DataFrame, width: int, longest: bool, threshold: float) -> DataFrame:
@@ -103,32 +122,36 @@ def _contained(slim: DataFrame, items: DataFrame, width: int, longest: bool, thr
     ).first()
     probe = sketched.select(F.explode("sketch").alias("hash")).distinct()
     probe = bounded(probe, n_hashes, 16 * n_hashes)
-    read = _with_words(slim, F.col("text")).select("doc_id", "h").withColumn("most", _below_ceiling(parts, width))
+    read = _with_words(slim, F.col("text")).select("key", "h").withColumn("most", _below_ceiling(parts, width))
     hits = read.where("most IS NOT NULL").select(
-        "doc_id", F.explode(F.filter(_hashes(width), lambda x: x <= F.col("most"))).alias("hash")
+        "key", F.explode(F.filter(_hashes(width), lambda x: x <= F.col("most"))).alias("hash")
     )
-    candidates = written(hits.join(probe, "hash", "left_semi").select("doc_id").distinct())
+    candidates = written(hits.join(probe, "hash", "left_semi").select("key").distinct())
     n = candidates.count()
-    again = slim.join(bounded(candidates, n, 16 * n).withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    exact = _with_words(again, F.col("text")).select("doc_id", F.explode(_shingles(width)).alias("shingle"))
+    again = slim.join(bounded(candidates, n, 48 * n), "key", "left_semi")
+    exact = _with_words(again, F.col("text")).select("key", F.explode(_shingles(width)).alias("shingle"))
     wanted = sketched.select("item", "n", "need", F.explode("shingles").alias("shingle"))
     side = bounded(wanted, n_shingles, letters + 48 * n_shingles)
-    pairs = exact.join(side, "shingle") if side is not wanted else salted_join(exact, wanted, ["shingle"], F.xxhash64("doc_id"))
+    pairs = exact.join(side, "shingle") if side is not wanted else salted_join(exact, wanted, ["shingle"], F.xxhash64("key"))
     return (
         pairs.distinct()
-        .groupBy("doc_id", "item", "n", "need")
+        .groupBy("key", "item", "n", "need")
         .agg(F.count(F.lit(1)).alias("n_found"))
         .where("n_found >= need")
-        .select("doc_id", F.col("item").alias("item_id"), F.col("n").cast("long").alias("n_shingles"), "n_found")
+        .select("key", "item", F.col("n").cast("long").alias("n_shingles"), "n_found")
     )
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows whose text holds an item; what other rows of
-    the same id, or of none, hold does not count."""
-    text_col = options.get("text_col", "text")
-    keyed = docs.withColumn("__row", row_key(docs, text_col))
-    found = contained_items(keyed, items, **{**options, "id_col": "__row"})
-    hold = written(found.select(F.col("doc_id").alias("__id")).distinct())
+    """``docs`` without the rows whose text holds an item, whatever their ids:
+    a null or repeated id says nothing about a row.  Null and empty texts
+    hold no item and stay; without items all rows stay, and an empty table
+    stays empty."""
+    text = F.col(options.get("text_col", "text"))
+    keyed = docs.select(text.alias("text"), _text_key(text).alias("key"))
+    options = {k: v for k, v in options.items() if k not in ("text_col", "id_col")}
+    found = contained_items(keyed, items, **options, id_col="key")
+    hold = written(found.select(F.col("doc_id").alias("__held")).distinct())
     n = hold.count()
-    return keyed.join(bounded(hold, n, 48 * n), F.col("__row") == F.col("__id"), "left_anti").drop("__row")
+    out = docs.withColumn("__row", _text_key(text))
+    return out.join(bounded(hold, n, 48 * n), F.col("__row") == F.col("__held"), "left_anti").drop("__row")

@@ -54,6 +54,51 @@ def _targets(totals: DataFrame, weights, cap: int):
     return totals.withColumn("target", F.least(F.col("most").cast("double"), F.col("weight") * F.lit(level)))
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
+    """``docs`` plus the columns the plan works on: id, source, its name without
+    nulls, words and a 64-bit key that follows from the seed, id and text."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"), F.md5(F.col(text_col))))
+    source = F.col(source_col).cast("string")
+    return docs.withColumns({
+        "__id": F.col(id_col),
+        "__source": source,
+        "__name": F.coalesce(F.concat(F.lit("s"), source), F.lit("n")),
+        "__size": F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"),
+        # 60 bits of the digest, moved up: the prefix sums cut at the top bits.
+        "__key": F.shiftleft(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 4),
+    })
+
+
+_PLAN = ["__id", "__source", "__name", "__size", "__key"]
+
+
+def _facts(rows: DataFrame, weights, cap: int) -> tuple[DataFrame, int, int, int]:
+    """Totals, targets and budgets by source, with their number, bytes and the rows counted."""
+    totals = rows.groupBy("__name", F.col("__source").alias("source")).agg(
+        F.sum("__size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    totals = _targets(row_number_by(totals, F.asc_nulls_last("source")), weights, cap)
+    totals = totals.withColumn("budget", F.least(F.col("most"), F.round("target").cast("long")))
+    n_sources, name_bytes, n_rows = totals.agg(
+        F.count(F.lit(1)), F.sum(F.octet_length("__name")), F.sum("rows")
+    ).first()
+    facts = totals.select("__name", F.col("source_size").alias("__whole"), F.col("target").alias("__target"), F.col("budget").alias("__budget"))
+    return facts, n_sources, name_bytes or 0, n_rows or 0
+
+
+def _taken(rows: DataFrame, facts: DataFrame, n_sources: int, name_bytes: int, n_rows: int, ties: list[str]) -> DataFrame:
+    """``rows`` (of :func:`_keyed`, with any other columns) plus ``__taken`` and ``__copies``."""
+    ordered = prefix_sums(rows, ["__name"], "__key", ["__id", "__size", *ties], F.col("__size"), "__upto", n_rows)
+    side = bounded(facts, n_sources, name_bytes + 64 * n_sources)
+    joined = ordered.join(side, "__name") if side is not facts else salted_join(ordered, facts, ["__name"], F.col("__key"))
+    size, whole = F.col("__size"), F.col("__whole")
+    epochs = F.when(whole > 0, F.floor(F.col("__budget") / whole)).otherwise(0)
+    rest = F.col("__budget") - epochs * whole
+    part = F.greatest(F.lit(0), F.least(size, rest - F.col("__upto")))
+    taken = (epochs * size + part).cast("long")
+    copies = F.when(size > 0, F.floor((2 * taken + size) / (2 * size))).otherwise(0).cast("int")
+    return joined.withColumns({"__taken": taken, "__copies": copies})
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_EPOCHS, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", seed: str = "mix") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, source, size, source_size,
@@ -66,58 +111,35 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_EPOCHS, id_col: str =
     document at the cut gives only its first words); ``copies`` rounds that
     to whole documents.  A null source is a source of its own, after all
     others; null and empty texts have size 0 and are never taken; rows
-    that repeat an id are taken one by one; an empty table gives an empty
-    result.  Reruns agree: nothing depends on the order of the input.
+    that share an id, or have none, are told apart by their texts and taken
+    one by one; an empty table gives an empty result.  Reruns agree: nothing
+    depends on the order of the input.
     """
-    name = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    rows = written(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))).alias("digest"),
-        )
-        # 60 bits of the digest, moved up: the prefix sums cut at the top bits.
-        .withColumn("key", F.shiftleft(F.conv(F.substring("digest", 1, 15), 16, 10).cast("long"), 4))
-        .withColumn("name", name)
-        .drop("digest")
-    )
-    totals = rows.groupBy("name", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
-    totals = _targets(row_number_by(totals, F.asc_nulls_last("source")), weights, cap)
-    totals = totals.withColumn("budget", F.least(F.col("most"), F.round("target").cast("long")))
-    n_sources, name_bytes, n_rows = totals.agg(
-        F.count(F.lit(1)), F.sum(F.octet_length("name")), F.sum("rows")
-    ).first()
-    ordered = prefix_sums(rows, ["name"], "key", ["doc_id", "size"], F.col("size"), "before", n_rows or 0)
-    facts = totals.select("name", "source_size", "target", "budget")
-    side = bounded(facts, n_sources, (name_bytes or 0) + 64 * n_sources)
-    joined = ordered.join(side, "name") if side is not facts else salted_join(ordered, facts, ["name"], F.col("key"))
-    size, whole = F.col("size"), F.col("source_size")
-    epochs = F.when(whole > 0, F.floor(F.col("budget") / whole)).otherwise(0)
-    rest = F.col("budget") - epochs * whole
-    part = F.greatest(F.lit(0), F.least(size, rest - F.col("before")))
-    taken = (epochs * size + part).cast("long")
-    return joined.select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"),
-        F.when(size > 0, F.floor((2 * taken + size) / (2 * size))).otherwise(0).cast("int").alias("copies"),
+    rows = written(_keyed(docs, id_col, text_col, source_col, seed).select(*_PLAN))
+    planned = _taken(rows, *_facts(rows, weights, cap), [])
+    return planned.select(
+        F.col("__id").alias("doc_id"), F.col("__source").alias("source"), F.col("__size").alias("size"),
+        F.col("__whole").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken"),
+        F.col("__copies").alias("copies"),
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_EPOCHS, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", seed: str = "mix") -> DataFrame:
     """The mix itself: ``docs`` with every row as often as its ``copies``.
 
-    The copies of an id that repeats in ``docs`` are joined by id, words and source;
-    rows alike in those share the average of their copies, rounded.
+    The rows travel through the plan themselves, so ids may be null or
+    repeat: each row gets its own copies, and the copies of a source hold
+    its budget to within half of the document at the cut.  Texts move once,
+    by hash ranges within their source.  Null and empty texts are never
+    taken; of rows alike in id and text the order of a hash of their other
+    columns decides; an empty table gives an empty result.
     """
-    plan = mix(docs, **options)
-    same = ["doc_id", "source", "size"]
-    plan = plan.groupBy(*same).agg(F.floor(F.avg("copies") + 0.5).cast("int").alias("__copies"))
-    plan = plan.where("__copies > 0").select(*[F.col(c).alias(f"__{c}") for c in same], "__copies")
-    docs = docs.withColumn("__words", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    on = (
-        docs["doc_id"].eqNullSafe(plan["__doc_id"])
-        & docs["source"].eqNullSafe(plan["__source"])
-        & (docs["__words"] == plan["__size"])
-    )
-    columns = [c for c in docs.columns if c != "__words"]
-    return docs.join(plan, on).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*columns)
+    columns = docs.columns
+    keyed = _keyed(docs, id_col, text_col, source_col, seed)
+    facts = _facts(written(keyed.select(*_PLAN)), weights, cap)
+    others = [F.col(f"`{c}`") for c in columns if c != text_col]
+    keyed = keyed.withColumn("__other", F.xxhash64(F.to_json(F.struct(*others))))
+    planned = _taken(keyed, *facts, ["__other"])
+    return planned.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(
+        *[F.col(f"`{c}`") for c in columns])

@@ -1,11 +1,16 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contexts.
 
-Base entities come from fixed patterns with their checks.  They seed a
-pattern-instance graph: an instance is an identifier (a base match, or any
-other word with a digit), a pattern is the text right before or after it.
-Rounds of joins score a pattern by the trust in its instances and an
-instance by its patterns; identifiers that only trusted patterns surround
-are reported besides the base spans, as kind ``context``.
+Base entities come from fixed patterns with their checks; with key digests
+(32, 40 or 64 hexadecimal digits) they seed a pattern-instance graph.  An
+instance is an identifier: a base match, any other word with a digit, or
+what is assigned by ``=`` or ``:``.  A pattern is the text right before or
+after a mention.  A pattern's precision is the trusted share of all places
+in the corpus where its word stands, so that a word of ordinary text never
+speaks.  Rounds of joins score patterns by the trust in their instances,
+and an instance by its speaking patterns, combined as independent
+witnesses: contexts that say nothing take nothing away.  Identifiers that
+the patterns vouch for are reported besides the base spans, as kind
+``context``.
 
 Only DataFrame functions are used.  Positions come from cutting the text
 at the matches and adding up the lengths, in code points.
@@ -32,10 +37,14 @@ NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9
 CONTEXT = "context"
 # A word with a digit, cut free of what stands before it, as in key="...".
 IDENTIFIER = rf"(?<![^{SPACE}\"'=:(\[<])[^{SPACE}\"'=:(\[<0-9]*+[0-9][^{SPACE}\"')\]>,;]*+"
+# A word right after = or :, also without a digit.
+ASSIGNED = rf"(?<=[=:]|[=:] |[=:][\"']|[=:] [\"'])[^{SPACE}\"'=:(\[<)\]>,;]{{4,}}+"
+# Digests of the usual lengths, as keys and tokens are written.
+SECRET = "^(?=.*[a-f])(?=.*[0-9])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
 WINDOW = 48  # characters looked at on either side
 ROUNDS = 3
 MIN_TRUSTED = 4  # distinct trusted instances of a pattern that may speak
-MIN_PRECISION = 0.6  # of their share among its instances
+MIN_PRECISION = 0.6  # of their share among all places of its word
 MIN_TRUST = 0.75  # of an instance that is reported
 
 _SPAN = "array<struct<start:int,end:int,text:string>>"
@@ -100,19 +109,43 @@ def _tagged(spans: Column, rank: int) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end")))
 
 
+def _plain(c: Column) -> Column:
+    return F.regexp_replace(F.lower(c), "[0-9]+", "0")
+
+
+_LETTERS = rf"[^{SPACE}]*\p{{L}}[^{SPACE}]*"
+_TO_MENTION = rf"{_LETTERS}(?:[{SPACE}]+[^{SPACE}\p{{L}}]*)*"
+
+
 def _contexts(text: Column, start: Column, end: Column) -> Column:
-    """Patterns of a mention: the last one and two words before it, the first after it."""
-    before = F.lower(F.substring(text, F.greatest(F.lit(1), start - WINDOW + 1), F.least(F.lit(WINDOW), start)))
-    after = F.lower(F.substring(text, end + 1, F.lit(WINDOW)))
-    plain = lambda c: F.regexp_replace(c, "[0-9]+", "0")
-    word, gap = f"[^{SPACE}]+", f"[{SPACE}]*"
-    one = F.regexp_extract(before, f"({word}{gap})$", 1)
-    two = F.regexp_extract(before, f"({word}[{SPACE}]+{word}{gap})$", 1)
-    next_ = F.regexp_extract(after, f"^{gap}({word})", 1)
-    named = F.array(
-        F.concat(F.lit("1 "), plain(one)), F.concat(F.lit("2 "), plain(two)), F.concat(F.lit("+ "), plain(next_))
-    )
-    return F.filter(named, lambda p: F.length(p) > 2)
+    """Patterns of a mention with the words they stand on: the last word with a
+    letter up to the mention, the same with the word before it, the next word."""
+    before = _plain(F.substring(text, F.greatest(F.lit(1), start - WINDOW + 1), F.least(F.lit(WINDOW), start)))
+    after = _plain(F.substring(text, end + 1, F.lit(WINDOW)))
+    one = F.regexp_extract(before, rf"(?:^|[{SPACE}])({_TO_MENTION})$", 1)
+    two = F.regexp_extract(before, rf"(?:^|[{SPACE}])([^{SPACE}]+[{SPACE}]+{_TO_MENTION})$", 1)
+    next_ = F.regexp_extract(after, rf"^[{SPACE}]+([^{SPACE}]+)", 1)
+    word = lambda c: F.regexp_extract(c, rf"^([^{SPACE}]+)", 1)
+
+    def pattern(kind, c, *words):
+        return F.struct(F.concat(F.lit(kind), c).alias("pattern"), F.array(*words).alias("words"))
+
+    named = F.array(pattern("1 ", one, word(one)), pattern("2 ", two, word(two), word(one)), pattern("+ ", next_, next_))
+    return F.filter(named, lambda p: F.length(p["pattern"]) > 2)
+
+
+def word_totals(texts: DataFrame, wanted: DataFrame, n_wanted: int, letters: int) -> DataFrame:
+    """``(word, total)``: how often each of the ``wanted (word)`` stands in
+    ``texts (text)``, as a word or as the start of one up to a quote, colon
+    or the like."""
+    every = texts.select(F.explode(F.split(_plain(F.col("text")), f"[{SPACE}]+")).alias("whole"))
+    start = F.regexp_extract("whole", r"^([^\"'=:(\[<]*[\"'=:(\[<]+)", 1)
+    every = every.select(F.explode(F.array_distinct(F.array("whole", start))).alias("word"))
+    side = bounded(wanted, n_wanted, letters + 16 * n_wanted)
+    if side is not wanted:
+        every = every.join(side, "word", "left_semi")
+        return every.groupBy("word").agg(F.count(F.lit(1)).alias("total"))
+    return every.groupBy("word").agg(F.count(F.lit(1)).alias("total")).join(wanted, "word", "left_semi")
 
 
 def _mentions(text: Column, base: Column) -> Column:
@@ -121,44 +154,63 @@ def _mentions(text: Column, base: Column) -> Column:
     def mention(s, seed):
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.lower(s["text"]).alias("instance"),
-            F.lit(seed).alias("seed"), _contexts(text, s["start"], s["end"]).alias("patterns"),
+            (F.lit(seed) | F.lower(s["text"]).rlike(SECRET)).alias("seed"), F.lit(seed).alias("base"), _contexts(text, s["start"], s["end"]).alias("patterns"),
         )
 
     seeds = F.transform(base, lambda s: mention(s, True))
     words = F.filter(
-        _matches(text, IDENTIFIER),
+        _matches(text, f"{IDENTIFIER}|{ASSIGNED}"),
         lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])),
     )
     return F.concat(seeds, F.transform(words, lambda s: mention(s, False)))
 
 
-def trusted_instances(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(instance, trust)`` from the distinct ``edges (pattern, instance)`` and the
-    ``seeds (instance)``.  A round scores patterns by their instances'
-    trust, then instances by the mean precision of all their patterns;
-    patterns that may not speak count as 0."""
+def trusted_instances(edges: DataFrame, seeds: DataFrame, totals: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``(instance, trust)`` of every instance that a speaking pattern vouches
+    for, from ``edges (pattern, instance, n)`` (n mentions), the ``seeds
+    (instance)`` and ``totals (pattern, total)``, all places of a pattern.
+
+    Seeds are trusted throughout.  A round scores a pattern by ``precision``
+    = trusted mentions / places; it speaks from MIN_TRUSTED distinct trusted
+    instances and MIN_PRECISION on, with the weight precision * t / (t + 1)
+    of its t trusted instances.  An instance's trust is 1 - the product of
+    (1 - weight) over its speaking patterns: the silent ones do not count.
+    """
     edges, seeds = written(edges), written(seeds.distinct())
-    trust = seeds.select("instance", F.lit(1.0).alias("trust"))
+    start = seeds.select("instance", F.lit(1.0).alias("trust"))
+    trust = start
+    found = start.where("false")
     for _ in range(rounds):
         known = edges.join(trust, "instance", "left")
+        scored = known.groupBy("pattern").agg(
+            F.count_if(F.col("trust") >= MIN_TRUST).alias("t"), F.sum(F.col("n") * F.coalesce("trust", F.lit(0.0))).alias("trusted")
+        ).where(F.col("t") >= MIN_TRUSTED)
+        precision = F.col("trusted") / F.col("total")
         patterns = written(
-            known.groupBy("pattern")
-            .agg(
-                F.count_if(F.col("trust") >= MIN_TRUST).alias("n"),
-                (F.sum(F.coalesce("trust", F.lit(0.0))) / F.count(F.lit(1))).alias("precision"),
-            )
-            .where((F.col("n") >= MIN_TRUSTED) & (F.col("precision") >= MIN_PRECISION))
-            .select("pattern", "precision")
+            scored.join(totals, "pattern").where(precision >= MIN_PRECISION)
+            .select("pattern", (F.least(precision, F.lit(1.0)) * F.col("t") / (F.col("t") + 1)).alias("weight"))
         )
         count, size = patterns.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("pattern")), F.lit(0))).first()
         side = bounded(patterns, count, size + 24 * count)
-        scored = edges.join(side, "pattern", "left") if side is not patterns else salted_join(
-            edges, patterns, ["pattern"], F.xxhash64("instance"), "left"
-        )
-        found = scored.groupBy("instance").agg(F.avg(F.coalesce("precision", F.lit(0.0))).alias("trust"))
-        fresh = found.where("trust > 0").join(seeds, "instance", "left_anti")
-        trust = written(seeds.select("instance", F.lit(1.0).alias("trust")).union(fresh))
-    return trust
+        spoken = edges.join(side, "pattern") if side is not patterns else salted_join(
+            edges, patterns, ["pattern"], F.xxhash64("instance"))
+        found = written(spoken.groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.col("weight"))))).alias("trust")))
+        trust = start.union(found.join(seeds, "instance", "left_anti"))
+    return found
+
+
+def _pattern_totals(edges: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(pattern, total)`` of ``edges (pattern, words, ...)``: the places of its
+    rarest word, an upper bound of the pattern's own.  A pattern on a word
+    cut off by the window has no total and never speaks."""
+    patterns = written(edges.select("pattern", "words").distinct())
+    wanted = written(patterns.select(F.explode("words").alias("word")).distinct())
+    n, letters = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))).first()
+    totals = written(word_totals(texts, wanted, n, letters))
+    found = patterns.select("pattern", F.explode(F.array_distinct("words")).alias("word"), F.size(F.array_distinct("words")).alias("n_distinct"))
+    side = bounded(totals, n, letters + 24 * n)
+    found = found.join(side, "word").groupBy("pattern", "n_distinct").agg(F.min("total").alias("total"), F.count(F.lit(1)).alias("n"))
+    return written(found.where("n = n_distinct").select("pattern", "total"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,7 +226,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.col("text")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumns({k: base_spans(text, k) for k in KINDS})
-    holds = text.rlike("[0-9]") | (F.size("email") > 0)
+    holds = text.rlike("[0-9=:]") | (F.size("email") > 0)
     every = F.concat(*KINDS)
     rows = written(
         rows.select(
@@ -182,12 +234,19 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         )
     )
     mentions = rows.select("row", F.inline("mentions"))
-    edges = mentions.select(F.explode("patterns").alias("pattern"), "instance").distinct()
-    trust = trusted_instances(edges, mentions.where("seed").select("instance"))
-    found = mentions.where("NOT seed").select("row", "start", "end", "instance")
+    uses = mentions.select("instance", F.inline("patterns")).groupBy("pattern", "words", "instance").agg(F.count(F.lit(1)).alias("n"))
+    uses = written(uses)
+    # Patterns with fewer distinct instances can never speak.
+    able = uses.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).where(F.col("instances") >= MIN_TRUSTED)
+    edges = written(uses.join(able.select("pattern"), "pattern", "left_semi"))
+    totals = _pattern_totals(edges, docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    trust = trusted_instances(edges.select("pattern", "instance", "n"), mentions.where("seed").select("instance"), totals)
+    found = mentions.where("NOT base").select("row", "start", "end", "instance")
     rank = F.lit(len(KINDS)).alias("rank")
-    trusted = trust.where(F.col("trust") >= MIN_TRUST).select("instance")
-    added = salted_join(found, trusted, ["instance"], F.col("row"))
+    trusted = written(trust.where(F.col("trust") >= MIN_TRUST).select("instance"))
+    count, letters = trusted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("instance")), F.lit(0))).first()
+    side = bounded(trusted, count, letters + 16 * count)
+    added = found.join(side, "instance") if side is not trusted else salted_join(found, trusted, ["instance"], F.col("row"))
     added = added.groupBy("row").agg(F.collect_list(F.struct("start", rank, "end")).alias("added"))  # of one text
     out = rows.join(added, "row", "left")
     base = F.concat(*[_tagged(F.col(k), i) for i, k in enumerate(KINDS)])

@@ -125,7 +125,7 @@ ORACLE_SQL = {
     "op10_mixing": """
         WITH sized AS (
             SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-                   substr(md5(concat_ws(':', 'mix', CAST(doc_id AS VARCHAR))), 1, 15) AS k FROM documents
+                   substr(md5(concat_ws(':', 'mix', CAST(doc_id AS VARCHAR), md5(text))), 1, 15) AS k FROM documents
         ), sources AS (
             SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
                    [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight

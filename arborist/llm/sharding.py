@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prefix_sums, salted_join, written
+from .common import bounded, prefix_sums, salted_join, written
 
 SHARDS = 8
 ROUNDS = 12
@@ -139,20 +139,52 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
     )
 
 
+def _ranked(df: DataFrame, key: str) -> DataFrame:
+    """Written ``df`` plus ``__rank`` from 0 among the rows of ``key``: positions
+    within a task's share of a key and the shares' offsets, so that a key
+    with most of the rows is not one task."""
+    df = written(df.withColumn("__at", F.monotonically_increasing_id()))
+    df = df.withColumn("__share", F.shiftright("__at", 33))
+    shares = df.groupBy(key, "__share").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(key).orderBy("__share").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    inside = F.row_number().over(Window.partitionBy(key, "__share").orderBy("__at")) - 1
+    ranked = df.withColumn("__inside", inside).join(shares, [key, "__share"])
+    return ranked.withColumn("__rank", F.col("__inside") + F.col("__before")).drop("__at", "__share", "__inside", "__before")
+
+
 def sharded_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot``.  Rows that repeat an id and a text
-    take that text's places in turn: nothing that placed them differs."""
+    """``docs`` with ``shard`` and ``slot``.
+
+    Rows alike in id and text take their places in turn: nothing that
+    placed them differs.  Null ids and texts are placed like others and an
+    empty table stays empty.  A column ``shard`` or ``slot`` of the input is
+    returned as ``input_shard`` or ``input_slot`` (with more ``input_`` where
+    that is taken, too).
+    """
+    names = {}
+    for c in docs.columns:
+        name = c
+        while name in ("shard", "slot") or (name != c and name in docs.columns):
+            name = f"input_{name}"
+        names[c] = name
+    keep = [F.col(f"`{c}`").alias(n) for c, n in names.items()]
 
     def key(*columns: Column) -> Column:
         return F.concat_ws(":", F.coalesce(columns[0].cast("string"), F.lit("")), *columns[1:])
 
-    place = shard_documents(docs, shards).groupBy(key(F.col("doc_id"), F.col("size"), F.col("text_crc32")).alias("__key"))
-    place = place.agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("__places"))  # one per repeat
+    place = shard_documents(docs, shards)
+    place = written(place.select(key(F.col("doc_id"), F.col("size"), F.col("text_crc32")).alias("__key"), "shard", "slot"))
+    repeated = written(place.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"))
+    n_keys, key_bytes = repeated.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("__key")), F.lit(0))).first()
     text = F.col("text")
     bytes_, crc = F.coalesce(F.octet_length(text), F.lit(0)) + 1, F.coalesce(F.crc32(text), F.lit(0))
-    keep = [c for c in docs.columns if c not in ("shard", "slot")]
-    # The join and the window below share one exchange of the texts.
-    joined = docs.select(*keep, key(F.col("doc_id"), bytes_.cast("long"), crc).alias("__key")).join(place, "__key")
-    turn = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    at = F.element_at("__places", turn)
-    return joined.withColumn("__at", at).select(*keep, F.col("__at.shard").alias("shard"), F.col("__at.slot").alias("slot"))
+    keyed = docs.withColumn("__key", key(F.col("doc_id"), bytes_.cast("long"), crc)).select(*keep, "__key")
+    columns = [*[F.col(f"`{n}`") for n in names.values()], "shard", "slot"]
+    if not n_keys:
+        return keyed.join(place, "__key").select(*columns)
+    side = bounded(repeated.select("__key"), n_keys, key_bytes + 16 * n_keys)
+    single = keyed.join(side, "__key", "left_anti").join(place.join(side, "__key", "left_anti"), "__key")
+    several = _ranked(keyed.join(side, "__key", "left_semi"), "__key")
+    places = _ranked(place.join(side, "__key", "left_semi"), "__key")
+    return single.select(*columns).union(several.join(places, ["__key", "__rank"]).select(*columns))

@@ -110,7 +110,10 @@ def link_fingerprints(nodes: DataFrame, distance: int, n_nodes: int) -> DataFram
     )
     first = written(connected_components(stars.union(more)), n_nodes)
 
-    # What the stars left open: members of one key in different components.
+    # What the stars left open: members of one key in different components.  A
+    # key's largest component is not compared with itself: only the members
+    # outside it meet the others, so one far member costs one comparison for
+    # each close one.
     open_keys = met.where(~F.col("near")).select("part", "key").distinct()
     labelled = (
         met.join(open_keys, ["part", "key"], "left_semi")
@@ -118,11 +121,16 @@ def link_fingerprints(nodes: DataFrame, distance: int, n_nodes: int) -> DataFram
         .join(first.select(F.col("node").alias("fp"), "root"), "fp", "left")
         .select("part", "key", "fp", F.coalesce("root", "fp").alias("root"))
     )
-    a, b = labelled.alias("a"), labelled.alias("b")
+    labelled = written(labelled)
+    sizes = labelled.groupBy("part", "key", "root").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("part", "key").agg(F.max(F.struct("size", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots"))
+    largest = written(largest.where("roots > 1").select("part", "key", "largest"))
+    several = salted_join(labelled, largest, ["part", "key"], F.xxhash64("fp"))
+    outside = several.where("root <> largest").select("part", "key", F.col("fp").alias("fp2"), F.col("root").alias("root2"))
     across = (
-        a.join(b, ["part", "key"])
-        .where((F.col("a.root") < F.col("b.root")) & _near("a.fp", "b.fp", distance))
-        .select(F.col("a.root").alias("u"), F.col("b.root").alias("v"))
+        salted_join(several, outside, ["part", "key"], F.xxhash64("fp"))
+        .where((F.col("root") != F.col("root2")) & _near("fp", "fp2", distance))
+        .select(F.col("root").alias("u"), F.col("root2").alias("v"))
         .distinct()
     )
     merged = written(connected_components(across), n_nodes)

@@ -14,18 +14,14 @@ def brute(docs, items, width=5, threshold=0.8):
     def shingles(w, k):
         return {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)}
 
-    texts, first, out = {}, {}, []
-    for d, t in docs:
-        texts.setdefault(d, []).append(words(t))
-    for i, t in items:
-        if t is not None:
-            first[i] = min(t, first.get(i, t))
-    for i, t in first.items():
+    # Rows are documents and items, whatever their ids; rows alike in id and text count once.
+    out = []
+    for i, t in dict.fromkeys(items):
         w = words(t)
         k = min(width, len(w))
         mine = shingles(w, k) if w else set()
-        for d, many in texts.items():
-            got = len(mine & set().union(*(shingles(x, k) for x in many)))
+        for d, x in dict.fromkeys(docs):
+            got = len(mine & shingles(words(x), k)) if mine else 0
             if mine and got >= threshold * len(mine) - 1e-9:
                 out.append((d, i, len(mine), got))
     return sorted(out, key=str)
@@ -90,3 +86,23 @@ def test_clean_documents_goes_by_row_not_by_id(spark, docs_of, with_clashes):
     out = decontamination.clean_documents(with_clashes(docs_of(rows)), items).collect()
     want = [rows[1], rows[2], rows[4], rows[5], rows[6]]
     assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted(want, key=str)
+
+
+def test_items_and_documents_without_ids(spark, docs_of, with_clashes):
+    text = lambda c: " ".join(f"{c}{j}" for j in range(12))
+    items = [(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (7, text("c")), (8, text("c"))]
+    df = with_clashes(spark.createDataFrame(items, "item_id long, text string"))
+    docs = [(None, "x " + text("a")), (None, "y " + text("b")), (1, text("c") + " z"), (1, text("d")), (1, "clean one"), (None, "clean two"),
+            (2, text("c") + " z"), (2, text("c") + " z")]
+    got = decontamination.contained_items(with_clashes(docs_of(docs)), df).collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, items)
+    kept = decontamination.clean_documents(docs_of(docs), df).collect()
+    assert sorted(r["text"] for r in kept) == ["clean one", "clean two"]
+
+
+def test_a_text_that_many_rows_hold(spark, docs_of):
+    item = " ".join(f"w{j}" for j in range(20))
+    docs = [(i, "before " + item) for i in range(500)] + [(1000, "other words altogether")]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert decontamination.contained_items(docs_of(docs), items).count() == 500
+    assert decontamination.clean_documents(docs_of(docs), items).count() == 1

@@ -87,3 +87,23 @@ def test_prefix_sums_of_a_hot_group(spark):
         for r in mine:
             assert r["before"] == total
             total += r["v"]
+
+
+def test_budgets_hold_without_ids(docs_of, monkeypatch):
+    """Null and repeated ids: every row gets its own copies."""
+    original = common.prefix_sums
+    monkeypatch.setattr(mixing, "prefix_sums", lambda *a, **k: original(*a, **k, rows_per_bin=50))
+    rnd = random.Random(9)
+    rows = [(None, f"word{i} " * rnd.randint(1, 9), "ab"[i % 2]) for i in range(1_500)]
+    rows += [(7, f"other{i} one two", "a") for i in range(200)] + [(8, "the very same", "b")] * 150
+    docs = docs_of(rows)
+    plan = mixing.mix(docs).collect()
+    budget = {r["source"]: round(r["target"]) for r in plan}
+    for s in "ab":
+        assert abs(sum(r["taken"] for r in plan if r["source"] == s) - budget[s]) <= 1
+    out = mixing.mixed_documents(docs).collect()
+    held = {s: sum(words(r["text"]) for r in out if r["source"] == s) for s in "ab"}
+    assert all(abs(held[s] - budget[s]) <= 9 for s in "ab")
+    assert len(out) == sum(r["copies"] for r in plan)
+    keys = mixing._keyed(docs, "doc_id", "text", "source", "mix")
+    assert keys.select("__key").distinct().count() == len({(d, t) for d, t, _ in rows})

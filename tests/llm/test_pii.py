@@ -91,3 +91,68 @@ def test_no_seeds_and_empty_table(docs_of, empty):
     out = pii.personal_data(docs_of([(1, "nothing 5 here 6"), (2, None)])).collect()
     assert [r["spans"] for r in out] == ["", ""]
     assert pii.personal_data(empty).collect() == []
+
+
+def contexts_of(docs_of, rows):
+    text = dict(rows)
+    out = {}
+    for r in pii.personal_data(docs_of(rows)).collect():
+        spans = [s.split(":") for s in r["spans"].split(",") if s.startswith("context:")]
+        out[r["doc_id"]] = [text[r["doc_id"]][int(s):int(e)] for _, s, e in spans]
+    return out
+
+
+def test_a_trusted_left_context_is_enough(docs_of):
+    """Random words follow the mentions: patterns that say nothing take nothing away."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=6))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, f"{prose(5)} contact: user{i}@mail.example.org {prose(6)}") for i in range(20)]
+    unseen = {100: "QX-4471", 101: "88/KLM/2", 102: "v7k3m", 103: "JOHNDOE", 104: "id55"}
+    rows += [(d, f"{prose(4)} contact: {x} {prose(5)}") for d, x in unseen.items()]
+    clean = [(200 + i, f"{prose(5)} {rnd.randint(1, 999)} {prose(3)} note: {word()} {prose(3)}") for i in range(40)]
+    out = contexts_of(docs_of, rows + clean)
+    assert {d: out[d] for d in unseen} == {d: [x] for d, x in unseen.items()}
+    assert all(out[d] == [] for d, _ in clean)
+
+
+def test_key_digests_teach_their_context(docs_of):
+    rnd = random.Random(5)
+    digest = lambda n: "".join(rnd.choice("0123456789") + rnd.choice("abcdef") for _ in range(n // 2))
+    rows = [(i, f'some text token = "{digest(40)}" and more {i}') for i in range(12)]
+    rows += [(50, 'old token = "hunter2-secret" here'), (51, f"commit {digest(40)} fixed it"), (52, "no token at all 12")]
+    out = contexts_of(docs_of, rows)
+    assert all(len(out[i]) == 1 and len(out[i][0]) == 40 for i in range(12))
+    assert out[50] == ["hunter2-secret"] and out[51] == [] and out[52] == []
+
+
+def test_trust_matches_a_plain_version(spark):
+    import math
+
+    rnd = random.Random(6)
+    edges = {(f"p{rnd.randrange(25)}", f"i{rnd.randrange(60)}"): rnd.randint(1, 4) for _ in range(500)}
+    seeds = {f"i{i}" for i in range(25)}
+    totals = {f"p{p}": sum(n for (q, _), n in edges.items() if q == f"p{p}") + rnd.choice([0, 0, 3, 100]) for p in range(24)}
+    trust, found = dict.fromkeys(seeds, 1.0), {}
+    for _ in range(3):
+        weight = {}
+        for p, total in totals.items():
+            mine = [(i, n) for (q, i), n in edges.items() if q == p]
+            t = sum(trust.get(i, 0) >= pii.MIN_TRUST for i, _ in mine)
+            precision = sum(n * trust.get(i, 0) for i, n in mine) / total if total else 0
+            if t >= pii.MIN_TRUSTED and precision >= pii.MIN_PRECISION:
+                weight[p] = min(1, precision) * t / (t + 1)
+        found = {}
+        for p, i in edges:
+            if p in weight:
+                found[i] = found.get(i, 1.0) * (1 - weight[p])
+        found = {i: 1 - x for i, x in found.items()}
+        trust = {**found, **dict.fromkeys(seeds, 1.0)}
+    got = pii.trusted_instances(
+        spark.createDataFrame([(p, i, n) for (p, i), n in edges.items()], "pattern string, instance string, n long"),
+        spark.createDataFrame([(s,) for s in sorted(seeds)] * 2, "instance string"),
+        spark.createDataFrame(list(totals.items()), "pattern string, total long"),
+    )
+    got = {r["instance"]: r["trust"] for r in got.collect()}
+    assert got.keys() == found.keys() and all(math.isclose(got[i], found[i], rel_tol=1e-9) for i in got)
+    assert 0 < len(found) < 60

@@ -69,3 +69,21 @@ def test_columns_stay(docs_of, with_clashes):
     assert got.columns == [*docs.columns, "shard", "slot"]
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in got.collect()) == sorted((str(d), str(t)) for d, t in rows)
     assert sharding.sharded_documents(with_clashes(docs_of(rows))).count() == len(rows)
+
+
+def test_equal_rows_take_their_places_in_turn(docs_of):
+    rows = corpus(4, n=100, groups=3) + [(1, "the same row")] * 700 + [(None, None)] * 90
+    got = sharding.sharded_documents(docs_of(rows).repartition(6)).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in got) == sorted((str(d), str(t)) for d, t in rows)
+    for s in range(8):
+        mine = [r["slot"] for r in got if r["shard"] == s]
+        assert sorted(mine) == list(range(len(mine)))
+
+
+def test_columns_of_the_same_name_are_kept(docs_of):
+    from pyspark.sql import functions as F
+
+    docs = docs_of([(i, f"text {i}") for i in range(20)]).withColumn("shard", F.lit("mine")).withColumn("input_shard", F.lit("too"))
+    got = sharding.sharded_documents(docs)
+    assert got.columns == [*docs.columns[:-2], "input_input_shard", "input_shard", "shard", "slot"]
+    assert {(r["input_input_shard"], r["input_shard"]) for r in got.collect()} == {("mine", "too")}

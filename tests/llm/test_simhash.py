@@ -126,3 +126,33 @@ def test_keep_one_goes_by_row_not_by_id(docs_of, with_clashes):
     rows = [(None, nameless), (None, copied), (7, copied)]
     kept = simhash.keep_one(docs_of(rows)).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(7, copied), (None, nameless)], key=str)
+
+
+def test_a_far_member_does_not_compare_all_the_others(spark):
+    """Many fingerprints around a hub and some a little further off: the same
+    components as brute force, and the close ones are not paired with each other."""
+    rnd = random.Random(21)
+    hub = rnd.getrandbits(64)
+    close = {hub} | {hub ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)}
+    fps = list(close)[:900]
+    spread = [hub ^ sum(1 << i for i in rnd.sample(range(64), 7)) for _ in range(20)]
+    fps = list(dict.fromkeys([hub, *fps, *spread]))
+    nodes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, 1 + (f == hub)) for f in fps], "fp long, n long")
+    roots = {r["fp"] % (1 << 64): r["root"] for r in simhash.link_fingerprints(nodes, 4, len(fps)).collect()}
+    parent = {f: f for f in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(fps):
+        for b in fps[:i]:
+            if bin(a ^ b).count("1") <= 4:
+                parent[find(a)] = find(b)
+    groups = {}
+    for f in fps:
+        groups.setdefault(find(f), set()).add(f)
+    for g in groups.values():
+        assert len({roots.get(f, f) for f in g}) == 1
+    assert len({roots.get(f, f) for f in fps}) == len(groups)
