@@ -14,13 +14,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIMS = 1 << 12
 SAMPLE_ROWS = 4000  # labelled documents the centroids are fitted on, at most
-SAMPLE_BYTES = 24 << 20  # their text, at most (whole documents only)
+SAMPLE_BYTES = 24 << 20  # their text, at most
+BLOCKS = 64  # documents of a language, at least, that its room holds
 CENTROIDS = 3  # per language
 ROUNDS = 8
 REJECT_SHARE = 0.001  # of the learned documents would be rejected
@@ -99,26 +100,35 @@ def _centroids(x: np.ndarray, k: int) -> np.ndarray:
 def fit(labelled: DataFrame) -> dict:
     """Model of ``labelled (doc_id, text, lang)``.  Rows without a language
     or letters are left out.  Document frequencies cover all rows; the
-    centroids are fitted on a sample bounded by SAMPLE_ROWS and
-    SAMPLE_BYTES, in hash order, the same number for each language."""
+    centroids are fitted on a sample of at most SAMPLE_ROWS documents and
+    SAMPLE_BYTES, shared out evenly: each language has its own rows and
+    its own room, whatever the sizes of the others, and a long document
+    gives a block from somewhere in it, at most 1 / BLOCKS of the room."""
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
     df, n = document_frequencies(labelled.select("text"))
     langs = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
     if not langs:
         return {}
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    each = max(1, SAMPLE_ROWS // len(langs))
-    rank = F.md5(F.concat_ws(":", F.lit("lang"), F.col("doc_id").cast("string")))
+    each, room = max(1, SAMPLE_ROWS // len(langs)), SAMPLE_BYTES // len(langs)
+    block = max(1, room // BLOCKS // 4)  # characters, of up to 4 bytes
+    digest = F.md5(F.concat_ws(":", F.lit("lang"), F.col("doc_id").cast("string"), F.md5("text")))
+    number = lambda at: F.conv(F.substring("digest", at, 8), 16, 10).cast("long")
     share = F.lit(0.0)
     for lang, count in langs.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2.0 * each / count + 10 / count))).otherwise(share)
-    draw = F.conv(F.substring(rank, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    sample = labelled.where(draw < share).withColumn("rank", rank).orderBy("rank").select("lang", "text")
-    taken, room = {lang: [] for lang in langs}, SAMPLE_BYTES
+    # Three parts of the digest: who is drawn, in which order, and where the block starts.
+    drawn = labelled.withColumn("digest", digest).where(number(1) / F.lit(float(1 << 32)) < share).where(F.col("text").rlike(r"\p{L}"))
+    start = number(17) % F.greatest(F.length("text") - block + 1, F.lit(1)) + 1
+    drawn = drawn.select("lang", number(9).alias("rank"), F.substring("text", start.cast("int"), F.lit(block)).alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "text"))
+    sample = drawn.withColumn("place", place).where(F.col("place") <= each).orderBy("lang", "place").select("lang", "text")
+    taken, left = {lang: [] for lang in langs}, {lang: room for lang in langs}
     for lang, text in sample.toLocalIterator():
-        if len(taken[lang]) < each and len(text) * 4 <= room and _LETTER.search(text):
+        size = len(text.encode())
+        if size <= left[lang] and _LETTER.search(text):
             taken[lang].append(text)
-            room -= len(text.encode())
+            left[lang] -= size
     names, centres, cosines = [], [], []
     for lang in sorted(langs):
         if taken[lang]:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, bounded, salted_join, written
+from .common import LOWER, UPPER, bounded, partitions, salted_join, written
 
 # Fixed values of the contract: (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -130,6 +130,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     texts = written(
         urls.groupBy("text", "host")
         .agg(F.first("verdict").alias("verdict"), F.count(F.lit(1)).alias("n"))
+        # Few bytes, much work: as many tasks as the session's shuffles have.
+        .repartition(partitions(pages.sparkSession))
         .withColumn("calibrates", fold)
         .withColumn("grams", _grams(F.col("text"), order))
     )
@@ -142,10 +144,11 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     model = written(gram_scores(counts, order))
     n_grams = model.count()
     side = bounded(model, n_grams, n_grams * (4 * (order + 1) + 32))
+    cut_up = texts.select("text", "verdict", "calibrates", F.explode("grams").alias("gram"))
+    # Some grams stand in every URL.
+    joined = cut_up.join(side, "gram") if side is not model else salted_join(cut_up, model, ["gram"], F.xxhash64("text"))
     scored = (
-        texts.select("text", "verdict", "calibrates", F.explode("grams").alias("gram"))
-        .join(side, "gram")
-        .groupBy("text", "verdict", "calibrates")
+        joined.groupBy("text", "verdict", "calibrates")
         .agg(F.avg("llr").alias("score"))
     )
     scored = written(scored)

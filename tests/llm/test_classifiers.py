@@ -108,3 +108,35 @@ def test_long_and_repeated_rows_leave_the_dictionaries_whole(spark, docs_of, mon
     fresh = [(1000 + i, (prose if i % 2 else junk)(rnd, "en", 80)) for i in range(40)]
     got = {r["doc_id"]: r["predicted"] for r in quality.score(docs_of(fresh), model).collect()}
     assert sum(got[1000 + i] == i % 2 for i in range(40)) >= 38
+
+
+def test_a_rare_language_has_its_own_room(spark, monkeypatch):
+    """Frequent languages with long texts leave a rare one its centroids."""
+    import random
+
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 90)
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 60_000)
+    rnd = random.Random(12)
+    sets = {"aa": ["tha", "ing", "ther", "and"], "bb": ["ñor", "ción", "que", "los"], "cc": ["zwa", "üch", "sch", "ig"]}
+    text = lambda k, n: " ".join("".join(rnd.choices(sets[k], k=2)) for _ in range(n))
+    rows = [(i, text(k, 300), k) for i, k in enumerate(["aa", "bb"] * 400)] + [(5_000 + i, text("cc", 300), "cc") for i in range(12)]
+    rows += [(9_000, text("aa", 60_000), "aa"), (None, text("bb", 50), "bb"), (None, text("cc", 50), "cc")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert sorted(model["names"]) == sorted(["aa", "bb", "cc"] * language.CENTROIDS)
+    got = [(r["doc_id"], r["lang_pred"]) for r in language.predict(docs, model).collect()]
+    want = {d: k for d, _, k in rows if d is not None}
+    assert sum(want[d] == p for d, p in got if d is not None) >= 0.99 * len(want)
+
+
+def test_predictions_match_a_plain_nearest_centroid(spark):
+    import math
+
+    texts = ["the thing that was there and then", "que los niños son cosas", "der zweck ist nicht schlicht", "and the other things there", "las cosas que son"]
+    docs = spark.createDataFrame([(i, t, "abcab"[i]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    for r in language.predict(docs, model).collect():
+        v = [math.sqrt(c) * w for c, w in zip(language.gram_counts(texts[r["doc_id"]]), model["idf"])]
+        norm = math.sqrt(sum(x * x for x in v))
+        cosines = [sum(x * y for x, y in zip(v, c)) / norm for c in model["centres"]]
+        assert r["lang_pred"] == model["names"][max(range(len(cosines)), key=cosines.__getitem__)]
