@@ -70,6 +70,9 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _OPEN_END = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 
+# Characters of pages that a task hands on together, about.
+_CHARS = 1 << 20
+
 NONE, HARD, SOFT = 0, 1, 2  # how an element is dropped: not, by what it is, by its class or id
 
 
@@ -118,9 +121,10 @@ class _Page:
         self.stack = [0]
         self.texts: list[tuple[int, str]] = []
         self.marked = 0  # open articles and main parts
+        self.open_p = 0
 
     def open(self, tag: str, attrs: str) -> None:
-        if tag in _ENDS_P:
+        if self.open_p and tag in _ENDS_P:
             self._end_open(("p",), ("article", "section", "div", "td", "li", "blockquote", "body", "table", "main"))
         if tag in _CLOSES:
             self._end_open(_CLOSES[tag], _BOUNDARY[tag])
@@ -138,6 +142,7 @@ class _Page:
         if tag not in VOID:
             self.stack.append(i)
             self.marked += mark > 0
+            self.open_p += tag == "p"
 
     def _end_open(self, names: tuple, boundary: tuple) -> None:
         for at in range(len(self.stack) - 1, 0, -1):
@@ -162,6 +167,7 @@ class _Page:
     def _pop(self) -> None:
         i = self.stack.pop()
         self.marked -= self.mark[i] > 0
+        self.open_p -= self.tag[i] == "p"
         if self.parts[i]:
             digest = xxhash.xxh64_intdigest(self.tag[i].encode() + b"\0" + b"\0".join(self.parts[i]))
             self.hash[i] = digest - (1 << 64) if digest >> 63 else digest
@@ -200,7 +206,7 @@ def parse(source: str) -> _Page:
             continue
         tag = name.lower()
         if m["close"]:
-            if tag == "p" and not any(page.tag[i] == "p" for i in page.stack):
+            if tag == "p" and not page.open_p:
                 page.texts.append((page.stack[-1], " "))
             page.close(tag)
             continue
@@ -284,18 +290,26 @@ def parsed_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     at = pages.columns.index(html_col)
     piece = pa.struct([pa.field("text", pa.string()), pa.field("above", pa.list_(pa.int64()))])
 
+    def rows(batch, lo, found):
+        """One batch of the rows from ``lo`` on, as far as they were parsed."""
+        rest = [c.slice(lo, len(found)) for i, c in enumerate(batch.columns) if i != at]
+        pieces = [[{"text": t, "above": a} for t, a in texts] for texts, _ in found]
+        whole = [xxhash.xxh64_intdigest("".join(t for t, _ in texts).encode("utf-8", "surrogatepass")) for texts, _ in found]
+        new = [pa.array(pieces, pa.list_(piece)), pa.array([m for _, m in found]), pa.array(np.array(whole, np.uint64).view(np.int64))]
+        return pa.RecordBatch.from_arrays([*rest, *new], [*others, "pieces", "marked", "page"])
+
     def run(batches):
         for batch in batches:
-            rest = [c for i, c in enumerate(batch.columns) if i != at]
-            for row in range(batch.num_rows):  # a page at a time: they may be long
-                found, marked = region(parse(batch.column(at)[row].as_py() or ""))
-                whole = xxhash.xxh64_intdigest("".join(t for t, _ in found).encode("utf-8", "surrogatepass"))
-                new = [
-                    pa.array([[{"text": t, "above": a} for t, a in found]], pa.list_(piece)),
-                    pa.array([marked]),
-                    pa.array(np.array([whole], np.uint64).view(np.int64)),
-                ]
-                yield pa.RecordBatch.from_arrays([*[c.slice(row, 1) for c in rest], *new], [*others, "pieces", "marked", "page"])
+            lo, found, held = 0, [], 0
+            for row in range(batch.num_rows):
+                source = batch.column(at)[row].as_py() or ""
+                found.append(region(parse(source)))
+                held += len(source)
+                if held >= _CHARS:  # pages may be long
+                    yield rows(batch, lo, found)
+                    lo, found, held = row + 1, [], 0
+            if found:
+                yield rows(batch, lo, found)
 
     return pages.mapInArrow(run, T.StructType([*schema.fields, *T.StructType.fromDDL(_NEW).fields]))
 
