@@ -181,27 +181,27 @@ class _Level:
 
     def __init__(self, chunk: "_Chunk", below, learned_docs: int, total: int, buckets: int):
         self.below, n, size = below, len(chunk.word_ids), len(below.ids)
-        context = np.empty(len(chunk.tokens), np.int64)
+        context = np.empty(len(chunk.tokens), np.int32)
         context[1:] = below.at[:-1]
         context[chunk.starts] = size
-        codes, at = np.unique(context * n + chunk.tokens, return_inverse=True)
-        learned = np.bincount(at[np.repeat(~chunk.held, chunk.lengths)], minlength=len(codes))
-        lower = np.empty(len(codes), np.int64)
+        codes, at = np.unique(context.astype(np.int64) * n + chunk.tokens, return_inverse=True)
+        learned = small(np.bincount(at[np.repeat(~chunk.held, chunk.lengths)], minlength=len(codes)))
+        lower = np.empty(len(codes), np.int32)
         lower[at] = below.at
         # A context's own context, one word shorter, where there is one.
         self.context, self.shorter = context, np.zeros(size + 1, np.int64)
         if below.context is not None:
             self.shorter[context] = below.context
-        ctx, word = codes // n, codes % n
+        ctx, word = (codes // n).astype(np.int32), (codes % n).astype(np.int32)
+        del codes
         ids = np.append(below.ids, _START)
         # A context with over a bucket's even share of all n-grams is split by the next word.
         seen = np.append(below.count, learned_docs)
         splits = (1 + seen / max(1, total) * buckets).astype(np.uint64)
         word_ids = chunk.word_ids[word]
-        sub = _mix(word_ids) % splits[ctx]
-        bucket = self._bucket(ids[ctx], sub, buckets)
+        bucket = self._bucket(ids[ctx], _mix(word_ids) % splits[ctx], buckets).astype(np.int32)
         order = np.lexsort((word_ids, ids[ctx], bucket))
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
         self.at, self.ctx, self.words = place[at], ctx[order], word_ids[order]
         self.lower, self.bucket, self.learned, self.ctx_ids = lower[order], bucket[order], learned[order], ids
@@ -221,6 +221,7 @@ class _Level:
 
     def answered(self, answers) -> None:
         """Take the buckets' answers, which come in the order of the questions."""
+        del self.bucket, self.learned
         blobs = [unpack(b) for _, b in sorted(answers, key=lambda a: a[0])]
         self.count = np.concatenate([b[0].astype(np.int64) for b in blobs])
         self.facts = [
@@ -242,7 +243,7 @@ class _Level:
         heads = np.concatenate([[0], run])
         sizes = np.diff(np.append(heads, key.shape[1]))
         width = len(self.ctx_ids)
-        with_grams = self.bucket[heads] * width + self.ctx[heads]
+        with_grams = self.bucket[heads].astype(np.int64) * width + self.ctx[heads]
         grams_of = dict(zip(with_grams.tolist(), sizes.tolist()))
         n_grams = np.array([grams_of.get(x, 0) for x in (self.ask_bucket * width + self.ask_ctx).tolist()], np.int64)
         edges = np.concatenate([[0], np.cumsum(n_grams)])
@@ -271,7 +272,7 @@ class _Chunk:
         rank[by_bucket] = np.concatenate([b[0].astype(np.uint64) for b in blobs])
         self.count[by_bucket] = np.concatenate([b[1].astype(np.int64) for b in blobs])
         self.ids = self.word_ids = rank * np.uint64(buckets) + owner.astype(np.uint64)
-        self.at = self.tokens = tokens.astype(np.int64)
+        self.at = self.tokens = tokens.astype(np.int32)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
         self.levels, below = [], self
         for n in range(2, order + 1):
