@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, pack, small, unpack, written
+from .common import SALTS, connected_components, pack, salted_join, small, unpack, written
 
 THRESHOLD = 0.9
 BLOCK_ROWS = 4096
 PIVOTS = 512  # at most; a bounded sample of the vectors, used only to deal the blocks
+BLOCKS_PER_SALT = 256  # blocks that one task holds against all others of their length
 LEVELS = 7  # radii 1, 1/2, ... 1/64; below that, single vectors
 _EPS = 1e-7  # room for rounding in the bounds; links themselves are decided by the cosine
 _TILE = 1 << 20  # node pairs looked at together
@@ -35,6 +36,8 @@ _DENSE = 1 << 12  # pairs of children from which a matrix product pays
 
 
 def unit(values: np.ndarray) -> np.ndarray:
+    # Scaled by a power of two first, which is exact, so that no square overflows or vanishes.
+    values = np.ldexp(values, -np.frexp(np.abs(values).max(axis=1, keepdims=True))[1])
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
@@ -251,7 +254,7 @@ def _blocks(vectors: DataFrame, n: int) -> DataFrame:
             out = []
             for v in batch.column(1).to_pylist():
                 c = centres.get(len(v))
-                out.append(0 if c is None else int((c @ (np.array(v) / np.linalg.norm(v))).argmax()))
+                out.append(0 if c is None else int((c @ unit(np.array([v], float))[0]).argmax()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], ["row", "vector", "pivot"])
 
     dealt = written(vectors.select("row", "vector").mapInArrow(run, "row long, vector array<double>, pivot int"))
@@ -315,17 +318,17 @@ def cosine_links(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     schema = "dim int, name string, rows array<long>, centre array<double>, radius double, tree binary"
     blocks = written(_blocks(usable, usable.count()).groupBy("block").applyInArrow(_build, schema))
     # Pairs of blocks by number, one row per block; those too far apart are dropped.
-    facts = blocks.select("dim", "name", "centre", "radius")
-    a, b = facts.alias("a"), facts.alias("b")
-    cosine = F.aggregate(
-        F.zip_with("a.centre", "b.centre", lambda p, q: p * q), F.lit(0.0), lambda s, x: s + x
-    )
+    # One length may hold all blocks, so its first blocks are dealt to tasks.
+    one = blocks.select("dim", F.col("name").alias("one"), F.col("centre").alias("centre1"), F.col("radius").alias("radius1"))
+    two = blocks.select("dim", F.col("name").alias("two"), F.col("centre").alias("centre2"), F.col("radius").alias("radius2"))
+    cosine = F.aggregate(F.zip_with("centre1", "centre2", lambda p, q: p * q), F.lit(0.0), lambda s, x: s + x)
     apart = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * cosine))
     bound = math.sqrt(2 - 2 * threshold) + 1e-6
-    pairs = a.join(b, F.col("a.dim") == F.col("b.dim")).where(
-        (F.col("a.name") <= F.col("b.name")) & (apart - F.col("a.radius") - F.col("b.radius") <= bound)
+    salts = max(SALTS, blocks.count() // BLOCKS_PER_SALT)
+    pairs = salted_join(one, two, ["dim"], F.xxhash64("one"), salts=salts).where(
+        (F.col("one") <= F.col("two")) & (apart - F.col("radius1") - F.col("radius2") <= bound)
     )
-    pairs = written(pairs.select(F.col("a.name").alias("one"), F.col("b.name").alias("two")))
+    pairs = written(pairs.select("one", "two"))
     sides = pairs.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("name"))
     met = sides.join(blocks.select("name", "rows", "tree"), "name").groupBy("one", "two")
     found = written(met.applyInArrow(_compare(threshold), "row long, n long, root long"))
@@ -334,7 +337,7 @@ def cosine_links(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     named = base.select("vec_id", "row").join(roots, F.col("row") == F.col("node"), "left")
     named = named.select("vec_id", "row", F.coalesce("root", "row").alias("root")).join(counts, "row", "left")
     least = named.groupBy("root").agg(F.min("vec_id").alias("component_id"))
-    out = named.join(least, "root")
+    out = salted_join(named, least, ["root"], F.xxhash64("row"))
     component = F.coalesce("component_id", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

@@ -88,3 +88,22 @@ def test_levels_halve_and_cover():
         assert sorted(np.concatenate([tree.members(depth, i) for i in range(len(level["centre"]))])) == list(range(300))
         if depth:
             assert set(tree.levels[depth - 1]["centre"]) <= set(level["centre"])
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200])
+def test_huge_and_tiny_doubles_link_like_others(spark, scale):
+    rows = [(i, [x * scale for x in v]) for i, v in vectors(4, singles=30, groups=4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(covertree.cosine_links(df)) == brute(vectors(4, singles=30, groups=4))
+
+
+def test_links_across_many_blocks_in_64_dimensions(spark, monkeypatch):
+    # Clusters wider than a block, so links cross blocks, and block pairs fall to several tasks.
+    monkeypatch.setattr(covertree, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(covertree, "BLOCKS_PER_SALT", 2)
+    rnd = np.random.default_rng(9)
+    rows = [c + 0.25 * rnd.normal(size=64) * np.linalg.norm(c) / 8 for c in rnd.normal(size=(12, 64)) for _ in range(60)]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
+    want = brute(rows)
+    assert sum(n for _, n, _ in want) > 10_000
+    assert found(covertree.cosine_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))) == want
