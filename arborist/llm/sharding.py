@@ -29,7 +29,9 @@ def _uniform(*columns) -> Column:
 
 def propagate(parcels: DataFrame, capacity: float, shards: int, rounds: int = ROUNDS) -> DataFrame:
     """Move ``parcels (link, size, shard, n)``: n documents of ``size`` bytes
-    each.  Returns the same columns.  Only per-shard sums reach the driver."""
+    each.  Returns the same columns.  Only per-shard sums reach the driver.
+    Moves need room, which documents without a link leave; if all are linked,
+    and the shards full from the start, few can move (``cut_edges`` tells)."""
     parcels = written(parcels)
     for turn in range(rounds):
         loads = {r[0]: r[1] for r in parcels.groupBy("shard").agg(F.sum(F.col("n") * F.col("size"))).collect()}
@@ -61,6 +63,17 @@ def propagate(parcels: DataFrame, capacity: float, shards: int, rounds: int = RO
     return parcels
 
 
+def cut_edges(parcels: DataFrame) -> DataFrame:
+    """One row ``edges, cut``: pairs of linked documents of ``parcels (link,
+    shard, n)``, and those of them in different shards (0, 0 if empty).
+    Counted from the parcels, no pair is made."""
+    pairs = lambda n: (n.cast("decimal(38,0)") * (n - 1) / 2).cast("decimal(38,0)")
+    held = parcels.groupBy("link", "shard").agg(F.sum("n").alias("n"))
+    links = held.groupBy("link").agg(pairs(F.sum("n")).alias("all"), F.sum(pairs(F.col("n"))).alias("inside"))
+    edges, inside = (F.coalesce(F.sum(c), F.lit(0)) for c in ("all", "inside"))
+    return links.agg(edges.cast("long").alias("edges"), (edges - inside).cast("long").alias("cut"))
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
                     link: Column | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, size, text_crc32, law, shard,

@@ -87,3 +87,32 @@ def test_columns_of_the_same_name_are_kept(docs_of):
     got = sharding.sharded_documents(docs)
     assert got.columns == [*docs.columns[:-2], "input_input_shard", "input_shard", "shard", "slot"]
     assert {(r["input_input_shard"], r["input_shard"]) for r in got.collect()} == {("mine", "too")}
+
+
+def test_every_round_cuts_fewer_edges(spark):
+    # Also a link that holds a third of all linked documents and fits no shard; half of all have no link.
+    rnd = random.Random(6)
+    sizes = {f"link {i}": rnd.randint(2, 60) for i in range(80)} | {"hot": 1200}
+    docs = [(link, 100, rnd.randrange(8)) for link, n in sizes.items() for _ in range(n)]
+    parcels = spark.createDataFrame(docs, "link string, size long, shard int").groupBy("link", "size", "shard").count()
+    parcels = parcels.withColumnRenamed("count", "n").cache()
+    capacity = 2 * 100 * len(docs) / 8
+
+    def cut(rounds):
+        out = sharding.propagate(parcels, capacity, 8, rounds)
+        edges, cut = sharding.cut_edges(out).first()
+        held = {}
+        for r in out.collect():
+            held.setdefault(r["link"], {}).setdefault(r["shard"], 0)
+            held[r["link"]][r["shard"]] += r["n"]
+        assert {link: sum(h.values()) for link, h in held.items()} == sizes
+        assert edges == sum(n * (n - 1) // 2 for n in sizes.values())
+        assert cut == edges - sum(n * (n - 1) // 2 for h in held.values() for n in h.values())
+        return cut
+
+    cuts = [cut(rounds) for rounds in (0, 1, 3, 12)]
+    # The hot link needs two shards: with one of them full, this many of its edges must be cut.
+    fits = int(capacity // 100)
+    least = fits * (sizes["hot"] - fits)
+    assert all(later < sooner for sooner, later in zip(cuts, cuts[1:])) and least <= cuts[-1] < 2 * least
+    assert tuple(sharding.cut_edges(parcels.where("false")).first()) == (0, 0)
