@@ -20,6 +20,8 @@ table and the smaller children's rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..functions.features import col
 from ..functions.gini import SQUARE_TYPE, square, tied_gini, weighted_gini
-from ..session import persisted, small_frame
+from ..session import BROADCAST_ROW_LIMIT, narrowed, persisted, small_frame
 from ..settings import CATEGORICAL, FILLER_STRING, ORDINAL
 from .thresholds import PARTS, _same, _scale, distinct_threshold_rows, nearest_rank, quantile_grid
 
@@ -59,6 +61,7 @@ _FACT_SCHEMA = T.StructType(
         T.StructField("opened", T.ArrayType(T.IntegerType())),
     ]
 )
+_LABEL_SCHEMA = T.StructType([T.StructField("__label", T.StringType()), T.StructField("__number", T.IntegerType())])
 _PART_SCHEMA = T.StructType([T.StructField("open", T.IntegerType()), T.StructField("part", T.LongType())])
 
 
@@ -69,6 +72,12 @@ class Encoding:
     label: str
     kinds: dict[str, str]
     categories: dict[str, list[str]]
+    # The rows hold the kept categories' numbers (see :func:`numbered`), not their texts.
+    coded: bool = False
+
+    @property
+    def category_type(self) -> str:
+        return "int" if self.coded else "string"
 
     @property
     def names(self) -> list[str]:
@@ -99,13 +108,40 @@ def encoded(frame: DataFrame, kinds: dict[str, str]) -> DataFrame:
     })
 
 
+def label_numbers(frame: DataFrame, label: str) -> list[str] | None:
+    """All labels in the order of their bytes, or None if they are too many to broadcast."""
+    rows = frame.select(col(label)).distinct().limit(BROADCAST_ROW_LIMIT + 1).collect()
+    return sorted((r[0] for r in rows), key=lambda y: y.encode()) if len(rows) <= BROADCAST_ROW_LIMIT else None
+
+
+def numbered(frame: DataFrame, enc: Encoding, labels: list[str] | None) -> DataFrame:
+    """The prepared rows in numbers, which are cached and read by the column
+    without decoding texts, all of them in node 1: ordinal features as
+    doubles, a category as its number among the kept ones from 1 (others 0),
+    a label as its number in ``labels`` (None: as it is)."""
+    y = col(enc.label)
+    if labels is not None:
+        table = small_frame(frame.sparkSession, list(zip(labels, range(len(labels)))), _LABEL_SCHEMA)
+        frame = frame.join(F.broadcast(table), y == F.col("__label"))
+        y = F.col("__number").alias(enc.label)
+    out = []
+    for f in enc.names:
+        if enc.kinds[f] == ORDINAL:
+            out.append(col(f).cast("double").alias(f))
+        else:
+            at = F.array_position(F.array(*[F.lit(c) for c in enc.categories[f]]), col(f))
+            out.append(F.coalesce(F.when(col(f) != FILLER_STRING, at), F.lit(0)).cast("int").alias(f))
+    numbers = [F.col(f"__c{i}") for i in range(len(enc.ordinals))]
+    return frame.select(F.lit(1).cast("long").alias("node_id"), y, *out, *numbers)
+
+
 def melted(routed: DataFrame, enc: Encoding, features: list[int]) -> DataFrame:
     """``(node_id, feature, cell, category, value, label)``: one row per row and listed feature."""
     args = []
     for j in features:
         f = enc.names[j]
         if enc.kinds[f] == ORDINAL:
-            args += [F.lit(j), F.col(f"__c{enc.ordinals.index(j)}"), F.lit(None).cast("string"), col(f).cast("double")]
+            args += [F.lit(j), F.col(f"__c{enc.ordinals.index(j)}"), F.lit(None).cast(enc.category_type), col(f).cast("double")]
         else:
             args += [F.lit(j), F.lit(None).cast("int"), col(f), F.lit(None).cast("double")]
     return routed.select(
@@ -204,22 +240,27 @@ def level_thresholds(cells: DataFrame, routed: DataFrame, enc: Encoding, nodes:
     mine = cells.where(F.col("node_id").isin(nodes) & F.col("cell").isNotNull())
     totals = mine.groupBy("node_id", "feature", "cell").agg(
         F.sum("cnt").alias("cnt"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    ranks = [nearest_rank(F.col("n"), F.lit(q)) for q in quantiles]
     found = (
         _with_running(totals, ["node_id", "feature"], "cell")
+        .where(reduce(or_, [(r >= F.col("cum") - F.col("cnt")) & (r < F.col("cum")) for r in ranks]))
         .select("*", F.inline(quantile_grid(quantiles)))
         .withColumn("rank", nearest_rank(F.col("n"), F.col("quantile")))
         .where(_INSIDE)
-        .select("node_id", "feature", "cell", "q_index", (F.col("rank") - (F.col("cum") - F.col("cnt"))).alias("rank"), "lo", "hi")
+        .select("node_id", "feature", "cell", "q_index", (F.col("rank") - (F.col("cum") - F.col("cnt"))).alias("rank"), "cnt", "lo", "hi")
         .collect()
     )
     values: list[tuple] = []
     while found:
         left: dict[tuple, list] = {}
+        held: dict[tuple, int] = {}  # rows of the cell, or of the parts of it that are cut again
         for r in found:
             if _same(r["lo"], r["hi"]):
                 values.append((r["node_id"], r["feature"], r["q_index"], quantiles[r["q_index"]], r["lo"] + 0.0))
             else:
-                left.setdefault((r["node_id"], r["feature"], r["cell"], r["lo"], r["hi"]), []).append((r["q_index"], r["rank"]))
+                key = (r["node_id"], r["feature"], r["cell"], r["lo"], r["hi"])
+                left.setdefault(key, []).append((r["q_index"], r["rank"]))
+                held[key] = r["cnt"]
         if not left:
             break
         if out.passes:  # parts that are cut again count in the next pass only
@@ -228,7 +269,7 @@ def level_thresholds(cells: DataFrame, routed: DataFrame, enc: Encoding, nodes:
         first = len(out.opened)
         opened = [(first + i, *key, targets) for i, (key, targets) in enumerate(sorted(left.items(), key=lambda x: x[0]))]
         out.opened.extend(opened)
-        parts = persisted(_parts(routed, enc, opened))
+        parts = persisted(narrowed(_parts(routed, enc, opened), sum(held.values())))
         out.passes.append((parts, []))
         found = _ranked_parts(parts, opened)
     out.rows = distinct_threshold_rows(values)
@@ -253,7 +294,7 @@ def _ranked_parts(parts: DataFrame, opened: list[tuple]) -> list:
     totals = parts.groupBy("open", "part").agg(F.sum("cnt").alias("cnt"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return (
         _with_running(totals, ["open"], "part").join(targets, "open").where(_INSIDE)
-        .select("open", "part", "node_id", "feature", "cell", "q_index", (F.col("rank") - (F.col("cum") - F.col("cnt"))).alias("rank"), "lo", "hi")
+        .select("open", "part", "node_id", "feature", "cell", "q_index", (F.col("rank") - (F.col("cum") - F.col("cnt"))).alias("rank"), "cnt", "lo", "hi")
         .collect()
     )
 
@@ -289,10 +330,11 @@ def bucketed(cells: DataFrame, found: LevelThresholds, nodes: list[int], enc: En
         for parts, again in found.passes:
             if again:
                 parts = parts.join(F.broadcast(small_frame(spark, again, _PART_SCHEMA)), ["open", "part"], "left_anti")
-            inner = parts.join(place, "open").withColumn("category", F.lit(None).cast("string")).select(*wide)
+            inner = parts.join(place, "open").withColumn("category", F.lit(None).cast(enc.category_type)).select(*wide)
             rows = rows.union(inner.join(facts, ["node_id", "feature"], "left"))
-    reached = F.coalesce(F.size(F.filter("ts", lambda t: t <= F.col("lo"))), F.lit(0))
-    reached = F.when(F.col("ts").isNull(), F.lit(0)).otherwise(reached)
+    # One test for each threshold, not a function over the array: those are not compiled.
+    most = max((r[2] for r in found.rows), default=0)
+    reached = sum((F.when(F.get("ts", F.lit(i)) <= F.col("lo"), 1).otherwise(0) for i in range(most)), F.lit(0))
     bucket = F.when(F.col("feature").isin(enc.ordinals), F.when(F.col("cell").isNull(), F.lit(-1)).otherwise(reached))
     return rows.withColumn("bucket", bucket.cast("int")).select(
         "node_id", "feature", "bucket", "category", "label", "cnt", "lo", "hi"), facts
@@ -315,9 +357,9 @@ def label_vectors(rows: DataFrame, enc: Encoding, width: int) -> DataFrame:
     Slot of an ordinal row: its bucket, of a category: its number among the
     kept ones from 1; NULL values and the sentinel are in ``rest``.  One
     map-side combined exchange, spread by label."""
-    number = F.lit(None).cast("int")
+    number = F.col("category") if enc.coded else F.lit(None).cast("int")
     for j, f in enumerate(enc.names):
-        if enc.categories.get(f):
+        if enc.categories.get(f) and not enc.coded:
             at = F.array_position(F.array(*[F.lit(c) for c in enc.categories[f]]), F.col("category")).cast("int")
             number = F.when(F.col("feature") == j, F.when(F.col("category") != FILLER_STRING, at)).otherwise(number)
     ordinal = F.col("feature").isin(enc.ordinals)

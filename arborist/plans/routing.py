@@ -47,11 +47,12 @@ def use_joins(nodes: dict, force: bool | None = None) -> bool:
 
 
 def assign_leaves(df: DataFrame, nodes: dict, reference: bool, output_col: str = "node_id",
-                  joins: bool | None = None, start: int | None = None) -> DataFrame:
+                  joins: bool | None = None, start: int | None = None, codes: dict[str, list[str]] | None = None) -> DataFrame:
     """``df`` plus ``output_col``: the id of the node that is not split where
     each row ends (NULL when reference routing loses the row).  With
     ``start``, ``df`` already has ``output_col`` as of that depth, and only
-    the splits from there on are applied."""
+    the splits from there on are applied.  With ``codes`` (and ``start``),
+    ``df`` holds a category as its number from 1 in its feature's list."""
     if start is None and not use_joins(nodes, joins):
         return df.withColumn(output_col, route(nodes, lambda n: F.lit(n.node_id).cast("long"), reference))
     splits = sorted(_splits(nodes), key=lambda n: (n.depth, n.node_id))
@@ -68,13 +69,18 @@ def assign_leaves(df: DataFrame, nodes: dict, reference: bool, output_col: str =
     num = F.lit(None).cast("double")
     cat = F.lit(None).cast("string")
     for f in features:
-        if kinds[f] == ORDINAL:
+        if kinds[f] == ORDINAL or codes is not None:
             num = F.when(f_idx == index[f], col(f).cast("double")).otherwise(num)
         else:
             cat = F.when(f_idx == index[f], col(f)).otherwise(cat)
     threshold = F.col("__arb_threshold")
     ordinal_test = num > threshold if reference else num >= threshold
-    test = F.when(F.col("__arb_ordinal"), ordinal_test).otherwise(cat == F.col("__arb_category"))
+    equal = cat == F.col("__arb_category") if codes is None else num == threshold
+    test = F.when(F.col("__arb_ordinal"), ordinal_test).otherwise(equal)
+
+    def bound(n):
+        return n.threshold if codes is None or n.kind == ORDINAL else float(codes[n.feature].index(n.category) + 1)
+
     current = F.col(output_col)
     moved = F.when(F.col("__arb_node").isNull(), current)
     moved = moved.when(test, F.col("__arb_left"))
@@ -91,7 +97,7 @@ def assign_leaves(df: DataFrame, nodes: dict, reference: bool, output_col: str =
         out, from_depth = df, start
     for depth in range(from_depth, splits[-1].depth + 1):
         rows = [
-            (n.node_id, index[n.feature], n.kind == ORDINAL, n.threshold, n.category, n.left_id, n.right_id)
+            (n.node_id, index[n.feature], n.kind == ORDINAL, bound(n), n.category, n.left_id, n.right_id)
             for n in splits if n.depth == depth
         ]
         # A row moved by one batch is at a child, which no other batch of this depth has.

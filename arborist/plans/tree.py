@@ -38,7 +38,7 @@ the driver.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +50,7 @@ from ..operators import cells
 from ..operators.bucketing import prepare_frame
 from ..operators.labels import majority_label
 from ..operators.splits import best_per_node, level_histogram, score_candidates
-from ..session import batches, persisted, reliable_checkpoint, small_frame, spread
+from ..session import TASK_ROWS, batches, narrowed, persisted, reliable_checkpoint, small_frame, spread
 from ..settings import ORDINAL, TreeSettings
 from .routing import assign_labels, assign_leaves
 
@@ -193,8 +193,8 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
 
     try:
         frame, kinds, keep = prepare_frame(df, label, features, settings, encode)
-        model = _grow(frame, label, kinds, keep, settings)
-        _label_leaves(model, frame)
+        model, rows = _grow(_Rows(frame, held), label, kinds, keep, settings)
+        _label_leaves(model, rows)
     finally:
         for frame in held:
             frame.unpersist()
@@ -202,23 +202,69 @@ def fit(df: DataFrame, label: str, features=None, settings: TreeSettings | None
 
 
 # Nodes of a level that are worked on together, at most (an IN list of their ids).
-BATCH_NODES = 1024
+BATCH_NODES = 4096
 # Levels between two writes of the rows with their node ids.
 ROUTE_LEVELS = 6
 
 
-def _grow(frame: DataFrame, label: str, kinds: dict, keep: dict, settings: TreeSettings) -> TreeModel:
+class _Rows:
+    """The rows of a fit, with their node ids as of depth ``start`` (None:
+    without).  ``held`` are the frames persisted for them: the ids of a level
+    are persisted when a level is opened, as all its passes read them, and
+    what they were made from is released when the level is done."""
+
+    def __init__(self, frame: DataFrame, held: list):
+        self.frame, self.held = frame, held
+        self.start: int | None = None
+        self.codes: dict[str, list[str]] | None = None  # categories by number
+        self.labels: list[str] | None = None  # labels by number
+
+    def number(self, enc: cells.Encoding, settings: TreeSettings) -> None:
+        self.labels = cells.label_numbers(self.frame, enc.label)
+        self._keep(cells.numbered(self.frame, enc, self.labels), 0, settings)
+        self.codes = enc.categories
+
+    def routed(self, nodes: dict[int, Node], reference: bool) -> DataFrame:
+        """The rows in the nodes where they end; rows that reference routing loses are left out."""
+        out = assign_leaves(self.frame, nodes, reference, "node_id", start=self.start, codes=self.codes)
+        return out.where(F.col("node_id").isNotNull()) if reference else out
+
+    def open_level(self, nodes: dict[int, Node], depth: int, settings: TreeSettings) -> DataFrame:
+        routed = self.routed(nodes, settings.reference)
+        if depth and depth % ROUTE_LEVELS == 0:
+            self.frame, self.start = reliable_checkpoint(routed), depth
+        elif depth and settings.persist_input:
+            self._keep(routed, depth, settings)
+        else:
+            return routed
+        return self.frame
+
+    def close_level(self) -> None:
+        """Release what the level's own rows, read and so kept by now, were made from."""
+        if self.start is not None:
+            for frame in self.held:
+                if frame is not self.frame:
+                    frame.unpersist()
+            self.held[:] = [frame for frame in self.held if frame is self.frame]
+
+    def _keep(self, frame: DataFrame, depth: int, settings: TreeSettings) -> None:
+        self.frame, self.start = frame, depth
+        if settings.persist_input:
+            self.held.append(persisted(frame))
+            self.frame = self.held[-1]
+
+
+def _grow(rows: _Rows, label: str, kinds: dict, keep: dict, settings: TreeSettings) -> tuple[TreeModel, _Rows]:
     nodes: dict[int, Node] = {1: Node(1, 0, closed=settings.max_depth == 0)}
     frontier = [] if nodes[1].closed or not kinds else [1]
-    level = _KeptCounts(cells.encoding(label, kinds, keep), settings) if settings.threshold_mode == "exact" else None
-    rows, start = frame, None
+    level = None
+    if frontier and settings.threshold_mode == "exact":
+        enc = replace(cells.encoding(label, kinds, keep), coded=True)
+        level = _KeptCounts(enc, settings)
+        rows.number(enc, settings)
     try:
         while frontier:
-            depth = nodes[frontier[0]].depth
-            routed = assign_leaves(rows, nodes, settings.reference, "node_id", start=start)
-            if depth and depth % ROUTE_LEVELS == 0:
-                rows, start = reliable_checkpoint(routed.where(F.col("node_id").isNotNull())), depth
-                routed = rows
+            routed = rows.open_level(nodes, nodes[frontier[0]].depth, settings)
             if level is not None:
                 found = level.best_splits(routed, frontier, nodes)
             else:
@@ -227,6 +273,7 @@ def _grow(frame: DataFrame, label: str, kinds: dict, keep: dict, settings: TreeS
                 for run in batches(frontier, width):
                     for i in range(0, len(run), BATCH_NODES):
                         found |= _best_splits(routed, run[i : i + BATCH_NODES], label, kinds, settings)
+            rows.close_level()
             next_frontier = []
             for node_id in frontier:
                 node, best = nodes[node_id], found.get(node_id)
@@ -241,7 +288,7 @@ def _grow(frame: DataFrame, label: str, kinds: dict, keep: dict, settings: TreeS
     finally:
         if level is not None:
             level.release()
-    return TreeModel(nodes, label, kinds, settings)
+    return TreeModel(nodes, label, kinds, settings), rows
 
 
 class _KeptCounts:
@@ -252,6 +299,7 @@ class _KeptCounts:
     def __init__(self, enc: cells.Encoding, settings: TreeSettings):
         self.enc, self.settings = enc, settings
         self.tables: list[tuple[list[int], DataFrame]] = []
+        self.root_rows = 0  # of the root's table: no node's has more
         self.constant: dict[int, set[int]] = {}  # features of a node that no descendant can split on
         self.counted: list[list[tuple[int, int]]] = []
 
@@ -308,8 +356,18 @@ class _KeptCounts:
                     self._note(list(smaller.values()), {c: gone.get(p, set()) for p, c in smaller.items()})
                     out.append((ids, cells.next_cells(table, routed, self.enc, smaller, ids, gone)))
         depth = nodes[frontier[0]].depth
-        freeze = reliable_checkpoint if depth and depth % ROUTE_LEVELS == 0 else persisted
-        return [(ids, freeze(table)) for ids, table in out]
+        if not depth:
+            table = persisted(narrowed(out[0][1], TASK_ROWS))
+            self.root_rows = table.count()
+            return [(out[0][0], table)]
+        freeze = reliable_checkpoint if depth % ROUTE_LEVELS == 0 else persisted
+        return [(ids, freeze(narrowed(table, self._most_rows(ids, nodes)))) for ids, table in out]
+
+    def _most_rows(self, ids: list[int], nodes: dict[int, Node]) -> int:
+        """Bound of the rows in the table of ``ids``: a row has one cell of a
+        feature, and a node's cells and labels are among the root's."""
+        sizes = [nodes[n >> 1].n_right if n & 1 else nodes[n >> 1].n_left for n in ids]
+        return sum(min(size * len(self.enc.names), self.root_rows) for size in sizes)
 
     def _note(self, ids: list[int], dead: dict[int, set[int]]) -> None:
         self.counted.append([(n, len(self.enc.names) - len(dead.get(n, ()))) for n in ids])
@@ -354,12 +412,12 @@ def _best_splits(routed: DataFrame, node_ids: list[int], label: str, kinds: dict
         hist.unpersist()
 
 
-def _label_leaves(model: TreeModel, frame: DataFrame) -> None:
+def _label_leaves(model: TreeModel, rows: _Rows) -> None:
     """One aggregation labels every leaf and counts every node's rows; its
     rows, one per leaf, reach the driver a partition at a time."""
-    routed = assign_leaves(frame, model.nodes, model.reference, "node_id").where(F.col("node_id").isNotNull())
-    per_leaf = majority_label(routed, ["node_id"], model.label)
-    found = {r["node_id"]: (r["n_rows"], r["label"]) for r in per_leaf.toLocalIterator()}
+    per_leaf = majority_label(rows.routed(model.nodes, model.reference), ["node_id"], model.label)
+    name = (lambda y: y) if rows.labels is None else rows.labels.__getitem__
+    found = {r["node_id"]: (r["n_rows"], name(r["label"])) for r in per_leaf.toLocalIterator()}
     for leaf in model.leaves():
         leaf.n_rows, leaf.label = found.get(leaf.node_id, (0, None))
     # Inner nodes: sum of their children, bottom-up.

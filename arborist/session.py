@@ -91,6 +91,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(tasks) if tasks > 1 else df
 
 
+# Rows of a small table a task holds.
+TASK_ROWS = 1 << 17
+
+
+def narrowed(df: DataFrame, rows: int) -> DataFrame:
+    """An aggregation of at most ``rows`` rows in no more tasks than they need.
+
+    A small table that is persisted in as many parts as the session shuffles
+    into costs that number squared of files in every later shuffle of it.
+    Its input is still combined in all tasks."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
 def small_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
     """DataFrame of tree-sized driver-side rows (thresholds, node table).
 

@@ -74,6 +74,56 @@ def test_written_node_ids_give_the_same_tree(frame, monkeypatch, semantics):
     assert repr(fit(frame, "y", FEATURES, settings).node_rows()) == want
 
 
+def test_levels_route_one_depth_and_small_tables_take_few_tasks(spark, frame, recorded, monkeypatch):
+    settings = TreeSettings(max_depth=4, min_leaf_size=5)
+    want = repr(fit(frame, "y", FEATURES, settings).node_rows())
+    steps, tasks = [], []
+    route, batch, parts = tree.assign_leaves, tree._KeptCounts._batch, cells._ranked_parts
+
+    def routed(df, nodes, *args, **kw):
+        steps.append((kw["start"], max((n.depth for n in nodes.values() if n.is_split), default=-1)))
+        return route(df, nodes, *args, **kw)
+
+    def seen(df):
+        tasks.append(df.rdd.getNumPartitions())
+        return df
+
+    monkeypatch.setattr(tree, "assign_leaves", routed)
+    monkeypatch.setattr(tree._KeptCounts, "_batch", lambda self, rows, table, ids: batch(self, rows, seen(table), ids))
+    monkeypatch.setattr(cells, "_ranked_parts", lambda df, opened: parts(seen(df), opened))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert repr(fit(frame, "y", FEATURES, settings).node_rows()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert steps == [(0, -1), (0, 0), (1, 1), (2, 2), (3, 3)]  # the levels, then the leaves
+    assert len(tasks) >= 8 and set(tasks) == {1}
+
+
+@pytest.mark.parametrize("semantics", ["consistent", "reference"])
+def test_numbered_rows_give_the_same_tree(spark, monkeypatch, semantics):
+    rnd = random.Random(5)
+    cats, ys = ["\U0001f600", "\uffee", "FILLER_STRING", "a", None], ["\U0001f600", "\uffee", "", "b"]
+    rows = [(rnd.choice(cats), rnd.choice([None, 1, 2, 3, 40]), rnd.choice(ys)) for _ in range(800)]
+    if semantics == "reference":  # its routing loses NULL categories, its fit does not
+        rows = [(c or "a", n, y) for c, n, y in rows]
+    df = spark.createDataFrame([(c, n, y if c != "a" else "b") for c, n, y in rows], "c string, n int, y string")
+    settings = TreeSettings(max_depth=3, min_leaf_size=5, semantics=semantics)
+    model = fit(df, "y", ["c", "n"], settings)
+    assert {n.category for n in model.nodes.values() if n.kind == "categorical"} <= set(cats[:2]) | {"a"}
+    at = model.leaf_assignment(df).groupBy("node_id", "y").count().collect()
+    by: dict = {}
+    for r in at:
+        by.setdefault(r["node_id"], []).append((-r["count"], r["y"].encode(), r["y"]))
+    for leaf in model.leaves():
+        if leaf.node_id in by:
+            assert leaf.label == min(by[leaf.node_id])[2] and leaf.n_rows == -sum(c for c, _, _ in by[leaf.node_id])
+    monkeypatch.setattr(cells, "BROADCAST_ROW_LIMIT", 2)  # more labels than that stay as they are
+    assert repr(fit(df, "y", ["c", "n"], settings).node_rows()) == repr(model.node_rows())
+    assert repr(fit(df, "y", ["c", "n"], settings.with_(persist_input=False)).node_rows()) == repr(model.node_rows())
+
+
 def test_row_index(spark):
     df = spark.range(5_000, numPartitions=7).select("id", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 4).alias("v"))
     scan = with_row_index(df).collect()
