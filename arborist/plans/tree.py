@@ -2,12 +2,12 @@
 
 The model is a table of nodes with heap ids (root 1, children 2i and
 2i+1).  The prepared input (label + features, categories bucketed, cell
-numbers of the numeric features) is persisted for the fit.  Fitting grows
-the tree one depth at a time, for every open node of the level in the same
-Spark jobs:
+numbers of the numeric features) is persisted for the fit, in exact mode
+with labels and categories as numbers.  Fitting grows the tree one depth
+at a time, for every open node of the level in the same Spark jobs:
 
-1. ``node_id`` of every row = the routing of ``routing.assign_leaves``
-   over the raw columns (map-only);
+1. ``node_id`` of every row = one step of ``routing.assign_leaves`` from
+   the ids of the level above (map-only), persisted for the level's passes;
 2. counts: the level's table of cells (``operators.cells``), persisted.
    Only the rows of the smaller child of every split are counted; the
    larger child is the parent's counts minus its sibling's.  Features that
@@ -24,8 +24,7 @@ Spark jobs:
 
 A level with many open nodes runs in batches, so that what is broadcast
 or collected at once stays within fixed bounds.  Every ``ROUTE_LEVELS``
-levels the open nodes' rows are written with their node id and routed from
-there, so that a deep tree is not walked from its root at every level.
+levels the rows are written with their node id, which cuts their lineage.
 
 Reference semantics lose rows between a node and its children, so there
 every open node is counted from its rows.  The approximate threshold mode
